@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, mixing
+from . import bpe, exact_dedup, fingerprints, license_scan, mixing, token_counts, token_files
 
 QUERIES = {
+    "op1_fingerprints": fingerprints.op1_fingerprints,
+    "op3_license_scan": license_scan.op3_license_scan,
+    "op4_bpe": bpe.op4_bpe,
+    "op6_token_counts": token_counts.op6_token_counts,
+    "op7_token_files": token_files.op7_token_files,
     "op9_mixing": mixing.op9_mixing,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
 
 ORACLE_SQL = {
+    "op3_license_scan": license_scan.ORACLE,
     "op9_mixing": mixing.ORACLE,
     "op10_exact_dedup": exact_dedup.ORACLE,
 }
