@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, fingerprints, license_scan, mixing, token_counts, token_files
+from . import bpe, exact_dedup, fingerprints, language_model, license_scan, mixing, ngram_join, token_counts, token_files, toxicity
 
 QUERIES = {
     "op1_fingerprints": fingerprints.op1_fingerprints,
+    "op2_language_model": language_model.op2_language_model,
     "op3_license_scan": license_scan.op3_license_scan,
     "op4_bpe": bpe.op4_bpe,
+    "op5_ngram_join": ngram_join.op5_ngram_join,
     "op6_token_counts": token_counts.op6_token_counts,
     "op7_token_files": token_files.op7_token_files,
+    "op8_toxicity": toxicity.op8_toxicity,
     "op9_mixing": mixing.op9_mixing,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
