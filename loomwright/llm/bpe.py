@@ -443,12 +443,13 @@ def decode(encoded: DataFrame, path: str | None = None, id_col: str = "doc_id",
     return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, text string").withColumnRenamed("id", id_col)
 
 
-def round_trip(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", lexicon: str | None = None) -> DataFrame:
-    """(id, n_tokens, ids_sha256, decoded_sha256) for each row of docs: ids as little-endian unsigned 32-bit integers,
+def round_trip(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", lexicon: str | None = None, with_ids: bool = False) -> DataFrame:
+    """(id, n_tokens, ids_sha256, decoded_sha256, on demand ids) for each row of docs: ids as little-endian unsigned 32-bit integers,
     the decoded text in UTF-8. Null and empty texts have no ids. Repeated rows come out each. Only id and text are read;
     an empty table gives no rows. A text is held whole with about 60 bytes a character while it is encoded."""
     path = path or default_vocabulary()
     lexicon = lexicon or lexicon_for(docs, text_col, path)
+    names = ["id", "n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * with_ids]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(path, lexicon)
@@ -460,10 +461,13 @@ def round_trip(docs: DataFrame, path: str | None = None, id_col: str = "doc_id",
                 spelled = coder.vocab.spelled(ids)
                 a = [hashlib.sha256(wide[s:e]).hexdigest() for s, e in zip(bounds[:-1], bounds[1:], strict=True)]
                 d = [hashlib.sha256(spelled[s : max(s, e - 1)]).hexdigest() for s, e in zip(sizes[:-1], sizes[1:], strict=True)]
-                yield pa.record_batch([b.column(0)[first:last], pa.array(np.diff(bounds), pa.int64()), pa.array(a), pa.array(d)], ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
+                columns = [b.column(0)[first:last], pa.array(np.diff(bounds), pa.int64()), pa.array(a), pa.array(d)]
+                if with_ids:
+                    columns.append(pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32())))
+                yield pa.record_batch(columns, names)
 
     rows = docs.select(F.col(id_col).alias("id"), whole_text(text_col).alias("text"))
-    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string").withColumnRenamed("id", id_col)
+    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string{', ids array<int>' * with_ids}").withColumnRenamed("id", id_col)
 
 
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -170,7 +171,7 @@ def linear_classifier(x: np.ndarray, q: np.ndarray, ridge: float = 3e-3, steps:
     n, k = x.shape
     w, b = np.zeros(k, np.float32), 0.0
     look, look_b = w.copy(), b
-    width = 4.0 / (1 + (x.sum(1) ** 1).mean())
+    width = 4.0 / (1 + x.sum(1).mean())
     for t in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ look + look_b, -30, 30)))
         g = (p - q).astype(np.float32)
@@ -223,6 +224,23 @@ def fitted(docs: DataFrame, labels: DataFrame, folds: int = 3, held: int = 1, sa
     return model
 
 
+def scorer(model: Model):
+    """A function from a text column without nulls to scores."""
+    table = Table.build(model.names)
+
+    def score(column: pa.Array) -> np.ndarray:
+        out = []
+        for first, last, found, rows, _ in features(column):
+            at = table.find(found)
+            hit = at >= 0
+            seen = np.unique(rows[hit] * max(len(model.names), 1) + at[hit])
+            z = np.bincount(seen // max(len(model.names), 1), model.weights[seen % max(len(model.names), 1)], last - first) + model.bias
+            out.append(1 / (1 + np.exp(-np.clip(z, -30, 30))))
+        return np.concatenate(out) if out else np.zeros(0)
+
+    return score
+
+
 def scores(docs: DataFrame, model: Model, folds: int = 3, held: int = 1, id_col: str = "doc_id", text_col: str = "text", limit: float = LIMIT) -> DataFrame:
     """(id, held_out, score, predicted) for each row of docs.
 
@@ -232,17 +250,9 @@ def scores(docs: DataFrame, model: Model, folds: int = 3, held: int = 1, id_col:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = Table.build(model.names) if len(model.names) else None
+        score = scorer(model)
         for b in batches:
-            if table is None:
-                yield pa.record_batch([b.column(0), b.column(1), pa.array(np.full(b.num_rows, 1 / (1 + math.exp(-model.bias))))], ["id", "held_out", "score"])
-                continue
-            for first, last, found, rows, _ in features(b.column(2)):
-                at = table.find(found)
-                hit = at >= 0
-                seen = np.unique(rows[hit] * len(model.names) + at[hit])
-                z = np.bincount(seen // len(model.names), model.weights[seen % len(model.names)], last - first) + model.bias
-                yield pa.record_batch([b.column(0)[first:last], b.column(1)[first:last], pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30))))], ["id", "held_out", "score"])
+            yield pa.record_batch([b.column(0), b.column(1), pa.array(score(b.column(2)))], ["id", "held_out", "score"])
 
     fold = F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % folds == held
     rows = docs.select(F.col(id_col).alias("id"), fold.alias("held_out"), whole_text(text_col).alias("text"))
@@ -250,6 +260,17 @@ def scores(docs: DataFrame, model: Model, folds: int = 3, held: int = 1, id_col:
     return out.select(F.col("id").alias(id_col), "held_out", "score", (F.col("score") >= limit).cast("int").alias("predicted"))
 
 
+def clean_rows(docs: DataFrame, model: Model, text_col: str = "text", limit: float = LIMIT) -> DataFrame:
+    """docs without the rows whose text scores `limit` or more; all columns as they are."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        score = scorer(model)
+        for b in batches:
+            yield b.filter(pa.array(score(pc.fill_null(b.column(text_col), "")) < limit))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def labels_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
 
