@@ -101,7 +101,8 @@ def fingerprinted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     next document, and each keeps its own row. A null id comes last. Only id and text are read.
     """
     key = F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1))
-    base = docs.select(F.col(id_col).alias("id"), key.alias("key"), whole_text(text_col).alias("text"))
+    # Both sides of the join below read these two columns alone, so they share one shuffle of the texts.
+    base = docs.select(key.alias("key"), whole_text(text_col).alias("text"))
     near = durable(neighbours(docs, id_col, text_col))
     ahead = base.select("key", "text").join(near, "key")
     if base.groupBy("key").count().where("count > 1").limit(1).count():
@@ -110,10 +111,10 @@ def fingerprinted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - half), F.substring(F.col("head"), F.lit(1), half))
-    rows = base.join(ahead, "key").select("id", n.cast("long").alias("n_chars"), "text", edited.alias("edited"), "next_sigs")
+    rows = base.join(ahead, "key").select("key", n.cast("long").alias("n_chars"), "text", edited.alias("edited"), "next_sigs")
     rows = with_signatures(with_signatures(rows, "text", "s"), "edited", "e")
     return rows.select(
-        F.col("id").alias(id_col), "n_chars", F.sha2("edited", 256).alias("edited_sha256"), as_text(F.col("s")).alias("fingerprint"), as_text(F.col("e")).alias("edited_fingerprint"),
+        F.nullif("key", F.lit((1 << 63) - 1)).cast(docs.schema[id_col].dataType).alias(id_col), "n_chars", F.sha2("edited", 256).alias("edited_sha256"), as_text(F.col("s")).alias("fingerprint"), as_text(F.col("e")).alias("edited_fingerprint"),
         likeness(F.col("s"), F.col("e")).alias("near_edited"), likeness(F.col("s"), F.col("next_sigs")).alias("near_next"), length_class(F.col("s")).alias("length_class"),
     )
 
