@@ -138,7 +138,7 @@ def blob_url(owner: str, repo: Column, path: Column, ref: str = "master") -> Col
 
 def split_items(c: Column, separator: str = ",") -> Column:
     """The trimmed, non-empty items of a list in a text."""
-    return F.filter(F.transform(F.split(text_of(c), separator), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(text_of(c), separator), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def key_values(c: Column, keys: tuple[str, ...]) -> Column:

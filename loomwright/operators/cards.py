@@ -25,7 +25,7 @@ def lines(*parts: tuple[str, Column]) -> Column:
 
 def bullets(text: Column, most: int = 12) -> Column:
     """The first lines of a text as a list."""
-    kept = F.slice(F.filter(F.transform(F.split(text, "\n"), F.trim), lambda x: x != ""), 1, most)
+    kept = F.slice(F.filter(F.transform(F.split(text, "\n"), lambda x: F.trim(x)), lambda x: x != ""), 1, most)
     return F.array_join(F.transform(kept, lambda x: F.concat(F.lit("- "), x)), "\n")
 
 
