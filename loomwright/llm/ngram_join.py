@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .components import roots
@@ -26,6 +26,10 @@ from .textscan import U64, mixed, word_hashes
 #: Words in an n-gram; the threshold as a fraction; an n-gram in so many different sets is frequent;
 #: how many frequent ones are remembered, and in a bit map of which size (a power of two).
 WORDS, NUM, DEN, FREQUENT, REMEMBERED, MAP_BITS = 5, 4, 5, 32, 1 << 20, 24
+#: Rows of a column from which its n-gram is dealt out late.
+WIDE = 12
+#: Ids that are sent to every task at most, to pick texts; more are joined by a shuffle.
+SENT = 100_000
 FACTORS = mixed(np.arange(1, WORDS + 1, dtype=U64)) | U64(1)
 
 
@@ -96,7 +100,9 @@ def signature(grams: np.ndarray) -> tuple[int, int]:
     return int.from_bytes(packed[:8], "little", signed=True), int.from_bytes(packed[8:], "little", signed=True)
 
 
-def _columns(frequent_file: str, shared: frozenset[int]):
+def _columns(frequent_file: str, shared: frozenset[int], grams_only: bool = False):
+    """Rows of the columns that each set is dealt to, equal sets of a batch once; on demand the n-grams alone."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent = np.asarray(np.memmap(local_file(frequent_file), np.uint8, "r"))
         for b in batches:
@@ -108,22 +114,67 @@ def _columns(frequent_file: str, shared: frozenset[int]):
                 p = prefix_of(s, frequent)
                 grams.append(p)
                 reps.append(len(p))
-                sides.append((_node(key, shared), len(s), *signature(s)))
+                if not grams_only:
+                    sides.append((_node(key, shared), len(s), *signature(s)))
                 held += len(p)
                 if held > 1 << 19:
-                    yield _column_rows(grams, reps, sides)
+                    yield _gram_rows(grams) if grams_only else _column_rows(grams, reps, sides)
                     grams, reps, sides, held = [], [], [], 0
             if held:
-                yield _column_rows(grams, reps, sides)
+                yield _gram_rows(grams) if grams_only else _column_rows(grams, reps, sides)
 
     return run
 
 
+def _gram_rows(grams) -> pa.RecordBatch:
+    return pa.record_batch([pa.array(np.concatenate(grams).view(np.int64))], ["gram"])
+
+
 def _column_rows(grams, reps, sides) -> pa.RecordBatch:
     side = np.repeat(np.array(sides, np.int64), reps, axis=0)
     return pa.record_batch([pa.array(np.concatenate(grams).view(np.int64)), *(pa.array(np.ascontiguousarray(side[:, i])) for i in range(4))], ["gram", "node", "n", "s1", "s2"])
 
 
+COLUMN = "gram long, node long, n long, s1 long, s2 long"
+
+
+def _prefix(n: Column) -> Column:
+    """How many n-grams of a set of size n are dealt out, as prefix_of takes them."""
+    return n - F.ceil(n * NUM / F.lit(DEN)) + 1
+
+
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by column and node, those of columns with several nodes, each once.
+
+    A column may run over many batches; only its first row is kept until a second node comes."""
+    first, last, told = None, None, False  # the open column's first row, the last (gram, node), whether the first row is out
+    for b in batches:
+        rows = np.stack([c.to_numpy() for c in b.columns])
+        gram, node = rows[0], rows[1]
+        if not len(gram):
+            continue
+        same, again = np.empty(len(gram), bool), np.empty(len(gram), bool)
+        same[1:] = gram[1:] == gram[:-1]
+        again[1:] = same[1:] & (node[1:] == node[:-1])
+        same[0] = last is not None and gram[0] == last[0]
+        again[0] = same[0] and node[0] == last[1]
+        begin = np.flatnonzero(~same)
+        which = np.cumsum(~same)  # 0: the column that was open
+        several = np.bincount(which[same & ~again], minlength=len(begin) + 1) > 0
+        out = same & ~again
+        out[begin] = several[1:]
+        parts = [rows[:, out]]
+        if several[0] and not told:
+            parts.insert(0, first[:, None])
+            told = True
+        table = np.concatenate(parts, 1)
+        if table.shape[1]:
+            yield pa.record_batch([pa.array(np.ascontiguousarray(c)) for c in table], ["gram", "node", "n", "s1", "s2"])
+        if len(begin):
+            first, told = rows[:, begin[-1]].copy(), bool(several[-1])
+        last = (gram[-1], node[-1])
+
+
 def _sets(shared: frozenset[int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -178,31 +229,54 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     members = sets.select("id", "n", node.alias("node"))
     nodes = written(members.where("n > 0").groupBy("node").agg(F.min("id").alias("rep"), F.min("n").alias("n")), "nodes")
 
-    columns = rows.select("text").mapInArrow(_columns(_frequent(survey), shared), "gram long, node long, n long, s1 long, s2 long")
-    span = columns.groupBy("gram").agg(F.min("node").alias("lead"), F.max("node").alias("_hi")).where("lead < _hi").drop("_hi")
-    # Columns with one row are most of all and end here; the two sides read one shuffle.
-    block = written(columns.join(span, "gram"), "columns")
+    # Which n-grams of the prefixes are frequent is counted exactly, so that the columns dealt out stay small.
+    early = _frequent(survey.where("gram is not null").groupBy("gram").agg(F.sum("n").alias("n")).where(F.col("n") >= FREQUENT))
+    prefixes = rows.select("text").mapInArrow(_columns(early, shared, grams_only=True), "gram long").groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    late = _frequent(prefixes.where(F.col("n") > WIDE), early)
+    # One shuffle of the columns; most hold one row and end in the task that reads them.
+    columns = rows.select("text").mapInArrow(_columns(late, shared), COLUMN).repartition("gram").sortWithinPartitions("gram", "node")
+    block = written(columns.mapInArrow(_shared, COLUMN), "columns")
 
     def linked(pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) that reach the threshold."""
         ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        wanted = nodes.join(ends, "node").select(F.col("rep").alias("id"))
+        wanted = written(nodes.join(ends, "node").select(F.col("rep").alias("id")), "wanted")
+        wanted = F.broadcast(wanted) if wanted.count() <= SENT else wanted
         texts = rows.join(wanted, rows["id"].eqNullSafe(wanted["id"]), "left_semi").select("text")
-        grams = texts.mapInArrow(_sets(shared), "node long, grams binary").dropDuplicates(["node"])
+        grams = texts.mapInArrow(_sets(shared), "node long, grams binary")
         right = pairs.join(grams, pairs["b"] == grams["node"]).select("a", "b", F.col("grams").alias("right"))
         both = right.join(grams.select(F.col("node").alias("a"), F.col("grams").alias("left")), "a").select("a", "b", "left", "right")
         return written(both.mapInArrow(_overlaps, "a long, b long"), "links")
 
-    sized = block.where("node != lead").select(F.col("lead").alias("a"), F.col("node").alias("b"), "n").distinct()
-    lead_n = nodes.select(F.col("node").alias("a"), F.col("n").alias("an"))
-    star = written(sized.join(lead_n, "a").where(NUM * F.greatest("n", "an") <= DEN * F.least("n", "an")).select("a", "b"), "pairs")
-    links = linked(star)
+    def star(open_columns: DataFrame) -> DataFrame:
+        """Pairs of a row with the leads of its columns, of leads that it shares an eighth of its columns with.
+
+        The lead of a column is its row that meets most others in all columns: the text that others were copied from."""
+        width = open_columns.groupBy("gram").agg(F.count(F.lit(1)).alias("width"))
+        weight = open_columns.join(width, "gram").groupBy("node").agg(F.sum("width").alias("weight"))
+        lead = open_columns.join(weight, "node").groupBy("gram").agg(F.max(F.struct("weight", "node", "n")).alias("lead"))
+        ends = open_columns.join(lead, "gram").select(F.col("lead.node").alias("a"), F.col("node").alias("b"), F.col("lead.n").alias("an"), F.col("n").alias("bn"))
+        ends = ends.where((F.col("a") != F.col("b")) & (NUM * F.greatest("an", "bn") <= DEN * F.least("an", "bn")))
+        counted = ends.groupBy("a", "b").agg(F.count(F.lit(1)).alias("both"), F.first("bn").alias("bn"))
+        return counted.where(F.col("both") * 8 >= _prefix(F.col("bn"))).select("a", "b")
+
+    def split_columns(found: DataFrame) -> DataFrame:
+        """The rows of columns where more than one component is left, with their components."""
+        placed = block.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        split = placed.groupBy("gram").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("gram")
+        return written(placed.join(split, "gram"), "rest")
+
+    tried = written(star(block), "pairs")
+    links = linked(tried)
+    rest = split_columns(roots(links))
+    again = written(star(rest).join(tried, ["a", "b"], "left_anti"), "pairs")
+    links = links.unionByName(linked(again))
     found = roots(links)
+    tried = tried.unionByName(again)
+    tried = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    rest = split_columns(found)
 
-    # Columns where more than one component is left.
-    placed = block.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    split = placed.groupBy("gram").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("gram")
-    rest = written(placed.join(split, "gram").select("gram", "node", "n", "s1", "s2", "root", "lead").distinct(), "rest")
+    # Columns where more than one component is left: their overlaps are accumulated for each pair of rows.
     step = F.floor(F.log("n") / F.log(F.lit(DEN / NUM))).cast("int")
     x = rest.withColumn("step", F.explode(F.array(step, step + 1))).alias("x")
     y = rest.withColumn("step", step).alias("y")
@@ -212,10 +286,12 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     close = (
         (F.col("x.gram") == F.col("y.gram")) & (F.col("x.step") == F.col("y.step")) & (F.col("x.root") != F.col("y.root")) & smaller
         & (NUM * F.col("y.n") <= DEN * F.col("x.n")) & (differing * (DEN + NUM) <= (F.col("x.n") + F.col("y.n")) * (DEN - NUM))
-        & (F.col("x.node") != F.col("x.lead")) & (F.col("y.node") != F.col("y.lead"))
     )
-    pairs = x.join(y, close).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
-    pairs = written(pairs.join(star, ["a", "b"], "left_anti"), "pairs")
+    overlaps = x.join(y, close).groupBy(F.col("x.node").alias("xn"), F.col("y.node").alias("yn")).agg(F.count(F.lit(1)).alias("both"), F.first("x.n").alias("n"), F.first("y.n").alias("m"))
+    # All that a pair shares lies in the columns counted or behind the prefix of one of the two.
+    least = F.ceil(NUM * (F.col("n") + F.col("m")) / F.lit(NUM + DEN)) - F.greatest(F.col("n") - _prefix(F.col("n")), F.col("m") - _prefix(F.col("m")))
+    pairs = overlaps.where(F.col("both") >= least).select(F.least("xn", "yn").alias("a"), F.greatest("xn", "yn").alias("b"))
+    pairs = written(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
     if pairs.limit(1).count():
         found = roots(links.unionByName(linked(pairs)))
 
@@ -227,15 +303,14 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
 
 
-def _frequent(survey: DataFrame) -> str:
-    """Publish the bit map of frequent n-grams: of fixed size, whatever the corpus. It changes the order, never a result."""
-    counted = survey.where("gram is not null").groupBy("gram").agg(F.sum("n").alias("n")).where(F.col("n") >= FREQUENT)
+def _frequent(counted: DataFrame, before: str | None = None) -> str:
+    """Publish the bit map of frequent n-grams, over an earlier one if given. It has a fixed size, whatever the corpus, and changes the order of n-grams, never a result."""
     place = F.shiftrightunsigned("gram", 64 - MAP_BITS)
     top = counted.orderBy(F.desc("n"), "gram").limit(REMEMBERED).select(place.cast("int").alias("place")).distinct().toArrow()
-    bits = np.zeros(1 << MAP_BITS - 3, np.uint8)
+    bits = np.fromfile(local_file(before), np.uint8) if before else np.zeros(1 << MAP_BITS - 3, np.uint8)
     at = top.column("place").to_numpy()
     np.bitwise_or.at(bits, at >> 3, (1 << (at & 7)).astype(np.uint8))
-    return publish(survey.sparkSession, bits.tobytes(), "frequent")
+    return publish(counted.sparkSession, bits.tobytes(), "frequent")
 
 
 def kept_of_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
