@@ -115,7 +115,8 @@ def write(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text
     lexicon = lexicon or lexicon_for(docs, text_col, path)
     folder = f"{shared_dir(spark)}/loomwright/{uuid.uuid4().hex}/tokens"
     rows = docs.select(F.col(id_col).alias("id"), whole_text(text_col).alias("text"))
-    ranged = rows.repartitionByRange(files, "id", "text") if files else rows.repartitionByRange("id", "text")
+    # Bounds by id alone: the sample that Spark takes for them holds no texts.
+    ranged = rows.repartitionByRange(files, "id") if files else rows.repartitionByRange("id")
     parts = ranged.sortWithinPartitions("id", "text").mapInArrow(partial(_write_part, folder, path, lexicon, length, end), "part int, docs long, n_tokens long")
     parts = durable(parts)
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
