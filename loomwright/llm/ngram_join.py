@@ -93,11 +93,10 @@ def prefix_of(grams: np.ndarray, frequent: np.ndarray) -> np.ndarray:
     return grams[order[: len(grams) - -(-NUM * len(grams) // DEN) + 1]]
 
 
-def signature(grams: np.ndarray) -> tuple[int, int]:
-    """128 parities of set members: sets differ in at least as many members as their signatures in bits."""
-    slots = np.bincount((grams & U64(127)).astype(np.int64), minlength=128) & 1
-    packed = np.packbits(slots.astype(np.uint8), bitorder="little").tobytes()
-    return int.from_bytes(packed[:8], "little", signed=True), int.from_bytes(packed[8:], "little", signed=True)
+def signature(grams: np.ndarray) -> tuple[int, ...]:
+    """256 parities of set members: sets differ in at least as many members as their signatures in bits."""
+    odd = np.bincount((grams & U64(255)).astype(np.int64), minlength=256) & 1
+    return tuple(np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64).tolist())
 
 
 def _columns(frequent_file: str, shared: frozenset[int], grams_only: bool = False):
@@ -132,10 +131,11 @@ def _gram_rows(grams) -> pa.RecordBatch:
 
 def _column_rows(grams, reps, sides) -> pa.RecordBatch:
     side = np.repeat(np.array(sides, np.int64), reps, axis=0)
-    return pa.record_batch([pa.array(np.concatenate(grams).view(np.int64)), *(pa.array(np.ascontiguousarray(side[:, i])) for i in range(4))], ["gram", "node", "n", "s1", "s2"])
+    return pa.record_batch([pa.array(np.concatenate(grams).view(np.int64)), *(pa.array(np.ascontiguousarray(side[:, i])) for i in range(6))], NAMES)
 
 
-COLUMN = "gram long, node long, n long, s1 long, s2 long"
+NAMES = ["gram", "node", "n", "s1", "s2", "s3", "s4"]
+COLUMN = ", ".join(f"{name} long" for name in NAMES)
 
 
 def _prefix(n: Column) -> Column:
@@ -169,7 +169,7 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             told = True
         table = np.concatenate(parts, 1)
         if table.shape[1]:
-            yield pa.record_batch([pa.array(np.ascontiguousarray(c)) for c in table], ["gram", "node", "n", "s1", "s2"])
+            yield pa.record_batch([pa.array(np.ascontiguousarray(c)) for c in table], NAMES)
         if len(begin):
             first, told = rows[:, begin[-1]].copy(), bool(several[-1])
         last = (gram[-1], node[-1])
@@ -282,7 +282,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     y = rest.withColumn("step", step).alias("y")
     # x is the smaller; sizes within the threshold lie in one step or in two next to each other.
     smaller = (F.col("x.n") < F.col("y.n")) | ((F.col("x.n") == F.col("y.n")) & (F.col("x.node") < F.col("y.node")))
-    differing = F.bit_count(F.col("x.s1").bitwiseXOR(F.col("y.s1"))) + F.bit_count(F.col("x.s2").bitwiseXOR(F.col("y.s2")))
+    differing = sum((F.bit_count(F.col(f"x.{s}").bitwiseXOR(F.col(f"y.{s}"))) for s in NAMES[3:]), F.lit(0))
     close = (
         (F.col("x.gram") == F.col("y.gram")) & (F.col("x.step") == F.col("y.step")) & (F.col("x.root") != F.col("y.root")) & smaller
         & (NUM * F.col("y.n") <= DEN * F.col("x.n")) & (differing * (DEN + NUM) <= (F.col("x.n") + F.col("y.n")) * (DEN - NUM))
