@@ -234,6 +234,36 @@ def test_mixing(docs, rows):
     assert all(used[g["doc_id"]] >= g["passes_taken"] for g in got if g["size"])
 
 
+def water_filled(sizes, mix):
+    """Targets of sources in code-point order by repeated sharing: whoever would pass its cap gets its cap, the rest is shared again."""
+    weight = {s: mix.weights[k % len(mix.weights)] for k, s in enumerate(sorted(sizes))}
+    left, free, out = mix.share * sum(sizes.values()), set(sizes), {}
+    while free:
+        level = left / sum(weight[s] for s in free)
+        full = {s for s in free if level * weight[s] > mix.passes * sizes[s]}
+        if not full:
+            return out | {s: level * weight[s] for s in free}
+        out |= {s: float(mix.passes * sizes[s]) for s in full}
+        left, free = left - sum(out[s] for s in full), free - full
+    return out
+
+
+@pytest.mark.parametrize("large", [50, 475])
+def test_mixing_many_sources(spark, large):
+    """Twenty sources, even or with one (of weight 5) that holds a third of the words."""
+    data = [(100 * s + k, "w " * (large if s == 0 else 50), f"s{s:02}") for s in range(20) for k in range(20)]
+    got = mixing.mixture(spark.createDataFrame(data, "doc_id long, text string, source string").repartition(4)).collect()
+    size, taken, target = Counter(), Counter(), {}
+    for g in got:
+        size[g["source"]] += g["size"]
+        taken[g["source"]] += g["taken"]
+        target[g["source"]] = g["target"]
+    total = sum(size.values())
+    assert target == pytest.approx(water_filled(size, mixing.Mix()))
+    assert sum(target.values()) == pytest.approx(1.5 * total) and min(target.values()) > 0
+    assert all(abs(taken[s] - target[s]) <= large for s in target) and sum(taken.values()) <= 1.5 * total
+
+
 def test_language_model(docs, rows):
     kept = [[*words(r[1]), None] for r in rows if zlib.crc32(str(r[0]).encode()) % 10]
     c = Counter(w for t in kept for w in t)
