@@ -1,14 +1,16 @@
 """Scores of whole texts under a log-bilinear neural model trained by noise-contrastive estimation.
 
-Classes are the most frequent words and, for all other words, buckets by their ending. The model predicts
-the next class from the two before it: the sum of their context vectors, times the class vectors, plus
-biases. Every task trains on all tokens of its split, in numpy; the vectors are averaged by tokens.
-Scoring normalises over all classes by batched matrix products, once for each distinct context of a
-batch. A bucket's word has its share of the bucket by its count in the whole training text.
+Every training word of LEAST or more counts has context vectors and an output vector of its own, so the model
+grows with the vocabulary. The model predicts the next word from the two before it in three steps, each a
+softmax over a few choices: the class (a most frequent word, the end, or a bucket of words by their ending),
+the bucket's group (or its rest), and the word in the group. Every task trains on all tokens of its split, in
+numpy, and hands on the rows it touched; these are averaged by touches. Scoring normalises every step. Only
+words below LEAST are known by their bucket's rest alone and have their share of it by their counts.
 """
 
 from __future__ import annotations
 
+import io
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -29,7 +31,8 @@ CLASSES = 1 + WORD_CLASSES + BUCKETS
 WIDTH, CONTEXT, BATCH, NOISE, RATE, SEED = 24, 2, 1024, 64, 0.2, 7
 #: Words whose counts every task holds; the counts of all others are joined. Smoothing of the base and of the buckets.
 HELD, SMOOTH = 1 << 20, 0.1
-PARAMETERS = (CONTEXT + 1) * CLASSES * WIDTH + CLASSES
+#: The least count of a word with vectors of its own; what the squared gradients of a row begin with.
+LEAST, PAST = 10, 3.0
 
 
 @dataclass
@@ -78,9 +81,51 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield rows()
 
 
-def classes_of(t: Tokens, table: Table) -> np.ndarray:
-    found = table.find(t.hashes)
-    return np.where(found >= 0, found + 1, 1 + WORD_CLASSES + t.bucket).astype(np.int32)
+class Layout:
+    """Where the vectors are. A word's number: 0 the end, then the frequent words, the buckets' rests, and all other
+    words with vectors, by bucket and falling count. The matrix has a row of each number for each place of the
+    context, and an output row for each class, group or rest, and word; the last column has the biases."""
+
+    def __init__(self, frequent: np.ndarray, frequent_c: np.ndarray, words: np.ndarray, bucket: np.ndarray, c: np.ndarray, ends: int, rest: np.ndarray):
+        self.parts = (frequent, frequent_c, words, bucket, c, np.array(ends), rest)
+        self.frequent, self.keys = len(frequent), np.concatenate((frequent, words))
+        size = np.bincount(bucket, minlength=BUCKETS)
+        self.step = max(1, math.isqrt(int(size.max())))
+        groups = -(-size // self.step)
+        #: Output rows of a bucket's groups and, last, its rest; words of each group.
+        self.nodes = CLASSES + np.concatenate(([0], np.cumsum(groups + 1)))
+        inside = np.arange(len(words)) - np.repeat(np.cumsum(size) - size, size)
+        node = self.nodes[bucket] + inside // self.step
+        self.first_word = int(self.nodes[-1])
+        self.numbers = CLASSES + len(words)
+        self.cls = np.concatenate((np.arange(CLASSES), 1 + WORD_CLASSES + bucket)).astype(np.int32)
+        self.node = np.concatenate((np.zeros(1 + WORD_CLASSES, np.int64), self.nodes[1:] - 1, node))
+        self.group_first = np.searchsorted(node, np.arange(self.first_word), "left")
+        self.group_last = np.searchsorted(node, np.arange(self.first_word), "right")
+        class_c = np.concatenate(([ends], frequent_c, np.zeros(WORD_CLASSES - len(frequent)), np.bincount(bucket, c, BUCKETS) + rest)) + SMOOTH
+        node_c = np.bincount(node - CLASSES, c, self.first_word - CLASSES)
+        node_c[self.nodes[1:] - 1 - CLASSES] = rest
+        #: Shares of the choices of each step among all tokens that reach it.
+        self.priors = [x / x.sum() for x in (class_c, node_c + SMOOTH, c + SMOOTH) if len(x)]
+
+    def packed(self) -> bytes:
+        out = io.BytesIO()
+        np.savez(out, *self.parts)
+        return out.getvalue()
+
+    @classmethod
+    def opened(cls, name: str) -> Layout:
+        with np.load(local_file(name)) as got:
+            x = [got[f"arr_{i}"] for i in range(7)]
+        return cls(*x[:5], int(x[5]), x[6])
+
+    def matrix(self) -> np.ndarray:
+        return initial(np.concatenate(self.priors), self.numbers)
+
+    def number(self, t: Tokens, table: Table) -> np.ndarray:
+        found = table.find(t.hashes)
+        own = np.where(found < self.frequent, found + 1, found - self.frequent + CLASSES)
+        return np.where(found >= 0, own, 1 + WORD_CLASSES + t.bucket).astype(np.int32)
 
 
 def sequences(t: Tokens, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -101,78 +146,138 @@ def sequences(t: Tokens, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return np.stack((target, one, two)), begins
 
 
-def initial(prior: np.ndarray) -> np.ndarray:
-    """Small fixed vectors, and biases at the log frequencies."""
-    vectors = (splitmix(PARAMETERS - CLASSES, SEED) >> U64(40)).astype(np.float64) / (1 << 24) - 0.5
-    return np.concatenate((vectors * 0.2, np.log(prior))).astype(np.float32)
+def initial(prior: np.ndarray, numbers: int = CLASSES) -> np.ndarray:
+    """Small fixed vectors, and biases at the log frequencies; context rows have none."""
+    rows = CONTEXT * numbers + len(prior)
+    p = np.zeros((rows, WIDTH + 1), np.float32)
+    for i in range(0, rows, 1 << 16):
+        n = min(rows - i, 1 << 16)
+        p[i : i + n, :WIDTH] = ((splitmix(n * WIDTH, SEED + i) >> U64(40)).astype(np.float32) / (1 << 24) - 0.5).reshape(n, WIDTH) * 0.2
+    p[CONTEXT * numbers :, WIDTH] = np.log(prior)
+    return p
 
 
-def unpacked(p: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(context vectors by place, class vectors, biases)."""
-    size = CLASSES * WIDTH
-    return p[: CONTEXT * size].reshape(CONTEXT, CLASSES, WIDTH), p[CONTEXT * size : (CONTEXT + 1) * size].reshape(CLASSES, WIDTH), p[(CONTEXT + 1) * size :]
+def unpacked(p: np.ndarray, numbers: int = CLASSES) -> tuple[tuple[np.ndarray, ...], np.ndarray, np.ndarray]:
+    """(context vectors by place, output vectors, biases)."""
+    return tuple(p[k * numbers : (k + 1) * numbers, :WIDTH] for k in range(CONTEXT)), p[CONTEXT * numbers :, :WIDTH], p[CONTEXT * numbers :, WIDTH]
 
 
 class Trainer:
-    """Steps of noise-contrastive estimation with noise shared in a step; step widths fall with the gradients so far."""
-
-    def __init__(self, prior: np.ndarray):
-        self.p = initial(prior)
-        self.context, self.out, self.bias = unpacked(self.p)
-        self.past = np.full_like(self.p, 1e-4)
-        self.log_noise = (np.log(prior) + math.log(NOISE)).astype(np.float32)
-        self.cumulated = np.cumsum(prior)
+    """Steps of noise-contrastive estimation with noise shared in a step; only touched rows change, and a row's step
+    width falls with its gradients so far."""
+
+    def __init__(self, layout: Layout):
+        self.layout, self.p = layout, layout.matrix()
+        self.begin = CONTEXT * layout.numbers
+        self.past = np.full(len(self.p), PAST, np.float32)
+        self.touched = np.zeros(len(self.p), np.int32)
+        self.cumulated = [np.cumsum(x) for x in layout.priors]
+        self.log_noise = [(np.log(x) + math.log(NOISE)).astype(np.float32) for x in layout.priors]
         self.draw = np.random.Generator(np.random.PCG64(SEED))
 
-    def step(self, target: np.ndarray, one: np.ndarray, two: np.ndarray) -> None:
-        noise = np.minimum(np.searchsorted(self.cumulated, self.draw.random(NOISE)), CLASSES - 1)
-        hidden = self.context[0][one] + self.context[1][two]
-        goal = self.out[target]
-        real = (hidden * goal).sum(1) + self.bias[target] - self.log_noise[target]
-        fake = hidden @ self.out[noise].T + (self.bias[noise] - self.log_noise[noise])
+    def contrast(self, k: int, offset: int, chosen: np.ndarray, hidden: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of step k of the prediction: the gradient of hidden, and output rows with their gradients."""
+        log_noise = self.log_noise[k]
+        noise = np.minimum(np.searchsorted(self.cumulated[k], self.draw.random(NOISE)), len(log_noise) - 1)
+        goal, other = self.p[self.begin + offset + chosen], self.p[self.begin + offset + noise]
+        real = np.einsum("ij,ij->i", hidden, goal[:, :WIDTH]) + goal[:, WIDTH] - log_noise[chosen]
+        fake = hidden @ other[:, :WIDTH].T + (other[:, WIDTH] - log_noise[noise])
         up = 1 / (1 + np.exp(np.clip(real, -30, 30)))
         down = -1 / (1 + np.exp(-np.clip(fake, -30, 30)))
-        grad = np.zeros_like(self.p)
-        c, o, b = unpacked(grad)
-        back = up[:, None] * goal + down @ self.out[noise]
-        np.add.at(c[0], one, back)
-        np.add.at(c[1], two, back)
-        np.add.at(o, target, up[:, None] * hidden)
-        np.add.at(o, noise, down.T @ hidden)
-        b += np.bincount(target, up, CLASSES).astype(np.float32)
-        b += np.bincount(noise, down.sum(0), CLASSES).astype(np.float32)
-        grad /= len(target)
-        self.past += grad * grad
-        self.p += RATE * grad / np.sqrt(self.past)
-
-
-def _train(frequent: np.ndarray, prior: np.ndarray):
+        grad = np.empty((len(chosen) + NOISE, WIDTH + 1), np.float32)
+        grad[: len(chosen), :WIDTH] = up[:, None] * hidden
+        grad[: len(chosen), WIDTH] = up
+        grad[len(chosen) :, :WIDTH] = down.T @ hidden
+        grad[len(chosen) :, WIDTH] = down.sum(0)
+        return up[:, None] * goal[:, :WIDTH] + down @ other[:, :WIDTH], self.begin + offset + np.concatenate((chosen, noise)), grad
+
+    def step(self, target: np.ndarray, one: np.ndarray, two: np.ndarray) -> None:
+        of = self.layout
+        hidden = self.p[one, :WIDTH] + self.p[of.numbers + two, :WIDTH]
+        back, r, g = self.contrast(0, 0, of.cls[target], hidden)
+        rows, grads = [r], [g]
+        inside, known = np.flatnonzero(target > WORD_CLASSES), np.flatnonzero(target >= CLASSES)
+        for k, offset, at, chosen in ((1, CLASSES, inside, of.node[target[inside]] - CLASSES), (2, of.first_word, known, target[known] - CLASSES)):
+            if len(at):
+                more, r, g = self.contrast(k, offset, chosen, hidden[at])
+                back[at] += more
+                rows.append(r)
+                grads.append(g)
+        both = np.zeros((2 * len(back), WIDTH + 1), np.float32)
+        both[: len(back), :WIDTH] = both[len(back) :, :WIDTH] = back
+        self.add(np.concatenate([one, of.numbers + two, *rows]), np.concatenate([both, *grads]))
+
+    def add(self, rows: np.ndarray, grads: np.ndarray) -> None:
+        order = np.argsort(rows, kind="stable")
+        r = rows[order]
+        starts = np.flatnonzero(np.concatenate(([True], r[1:] != r[:-1])))
+        g = np.add.reduceat(grads[order], starts, axis=0)
+        u = r[starts]
+        self.touched[u] += np.diff(np.append(starts, len(r))).astype(np.int32)
+        self.past[u] += np.einsum("ij,ij->i", g, g) / WIDTH
+        self.p[u] += (RATE / np.sqrt(self.past[u]))[:, None] * g
+
+
+def _train(name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, trainer, seen, rest = Table.build(frequent), Trainer(prior), 0, np.zeros((3, 0), np.int32)
+        trainer, rest = None, np.zeros((3, 0), np.int32)
         for b in batches:
+            if trainer is None:
+                layout = Layout.opened(name)
+                table, trainer = Table.build(layout.keys), Trainer(layout)
             for t in tokens(b.column(0)):
-                rows, _ = sequences(t, classes_of(t, table))
+                rows, _ = sequences(t, layout.number(t, table))
                 rest = np.concatenate((rest, rows), 1)
                 full = rest.shape[1] - rest.shape[1] % BATCH
                 for i in range(0, full, BATCH):
                     trainer.step(*rest[:, i : i + BATCH])
-                seen += full
                 rest = rest[:, full:]
         if rest.shape[1]:
             trainer.step(*rest)
-            seen += rest.shape[1]
-        if seen:
-            yield pa.record_batch([pa.array(np.arange(PARAMETERS, dtype=np.int32)), pa.array(trainer.p.astype(np.float64) * seen), pa.array(np.full(PARAMETERS, float(seen)))], ["i", "v", "w"])
+        if trainer is not None:
+            at = np.flatnonzero(trainer.touched)
+            for i in range(0, len(at), 1 << 14):
+                u = at[i : i + (1 << 14)]
+                half = trainer.p[u].astype(np.float16)
+                yield pa.record_batch([pa.array(u), pa.array(trainer.touched[u].astype(np.int64)), _binary(half)], ["i", "w", "v"])
 
     return run
 
 
+def _binary(rows: np.ndarray) -> pa.Array:
+    """Each row's bytes."""
+    size = rows.shape[1] * rows.itemsize
+    return pa.BinaryArray.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(np.arange(0, (len(rows) + 1) * size, size, dtype=np.int32)), pa.py_buffer(np.ascontiguousarray(rows))])
+
+
+def _rows(column: pa.Array) -> np.ndarray:
+    """The rows that _binary took, of one array."""
+    data, offsets = buffers(column)
+    return np.frombuffer(data[offsets[0] : offsets[-1]].tobytes(), np.float16).reshape(-1, WIDTH + 1)
+
+
+def _average(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows of a partition, which has all rows of its numbers: the averages by touches."""
+    held = [(b.column(0).to_numpy(), b.column(1).to_numpy(), _rows(b.column(2))) for b in batches if len(b)]
+    if held:
+        i, which = np.unique(np.concatenate([x for x, _, _ in held]), return_inverse=True)
+        total, weight, done = np.zeros((len(i), WIDTH + 1), np.float64), np.zeros(len(i)), 0
+        for x, w, v in held:
+            at = which[done : done + len(x)]
+            np.add.at(weight, at, w)
+            np.add.at(total, at, v.astype(np.float64) * w[:, None])
+            done += len(x)
+        mean = (total / weight[:, None]).astype(np.float16)
+        for k in range(0, len(i), 1 << 14):
+            yield pa.record_batch([pa.array(i[k : k + (1 << 14)]), _binary(mean[k : k + (1 << 14)])], ["i", "v"])
+
+
 @dataclass
 class Model:
-    """What scoring needs: parameters, the frequent words, counts over the training text and its buckets."""
+    """What scoring needs: files of parameters and words, counts over the training text and of the buckets' rests."""
 
-    p: np.ndarray
-    frequent: np.ndarray
+    p_file: str
+    layout_file: str
     total: int
     distinct: int
     ends: int
@@ -182,23 +287,25 @@ class Model:
 
 def _score(m: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = Table.build(m.frequent)
+        layout = Layout.opened(m.layout_file)
+        table = Table.build(layout.keys)
         raw = np.asarray(np.memmap(local_file(m.held_file), np.uint8, "r"))
         size = int.from_bytes(raw[:8].tobytes(), "little")
         held_h, held_c = raw[8 : 8 + 8 * size].view(U64), raw[8 + 8 * size :].view(np.int64)
-        context, out, bias = unpacked(m.p)
+        context, out, bias = unpacked(np.memmap(local_file(m.p_file), np.float32, "r").reshape(-1, WIDTH + 1), layout.numbers)
         uid = TaskContext.get().partitionId() << 33
         log_end = math.log10(m.ends + SMOOTH)
         for b in batches:
             for t in tokens(b.column(2)):
-                classes = classes_of(t, table)
-                rows, begins = sequences(t, classes)
-                logs = log_probabilities(rows, context, out, bias)
+                number = layout.number(t, table)
+                rows, begins = sequences(t, number)
+                logs = log_probabilities(np.stack((layout.cls[rows[0]], rows[1], rows[2])), context, out, bias)
+                logs += log_inside(layout, rows, context, out, bias)
                 # Counts of the words that every task holds; others are left to the join.
                 at = np.minimum(np.searchsorted(held_h, t.hashes), max(size - 1, 0))
                 known = (held_h[at] == t.hashes) if size else np.zeros(len(at), bool)
                 counts = np.log10(np.where(known, held_c[at] if size else 0, 1) + SMOOTH) * known
-                other = classes > WORD_CLASSES
+                other = (number > WORD_CLASSES) & (number < CLASSES)
                 places = t.before
                 count_sum = sums(counts, places)
                 bucket_counts = sums(counts * other, places)
@@ -228,9 +335,11 @@ def sums(values: np.ndarray, places: np.ndarray) -> np.ndarray:
 def log_probabilities(rows: np.ndarray, context: np.ndarray, out: np.ndarray, bias: np.ndarray, block: int = 1 << 13) -> np.ndarray:
     """log10 of each token's class after its context, normalised over all classes."""
     target, one, two = rows
-    pair = one.astype(np.int64) * CLASSES + two
+    size = len(context[0])
+    out, bias = np.ascontiguousarray(out[:CLASSES]), bias[:CLASSES]
+    pair = one.astype(np.int64) * size + two
     seen, which = np.unique(pair, return_inverse=True)
-    hidden = context[0][seen // CLASSES] + context[1][seen % CLASSES]
+    hidden = context[0][seen // size] + context[1][seen % size]
     norm = np.empty(len(seen))
     for i in range(0, len(seen), block):
         s = hidden[i : i + block] @ out.T + bias
@@ -243,6 +352,32 @@ def log_probabilities(rows: np.ndarray, context: np.ndarray, out: np.ndarray, bi
     return result / math.log(10)
 
 
+def log_inside(layout: Layout, rows: np.ndarray, context: tuple[np.ndarray, ...], out: np.ndarray, bias: np.ndarray, block: int = 1 << 13) -> np.ndarray:
+    """log10 of each token's group or rest in its bucket, and of its word in the group, normalised over their neighbours."""
+    target, one, two = rows
+    result = np.zeros(len(target))
+
+    def chosen(at: np.ndarray, parent: np.ndarray, choice: np.ndarray, first: np.ndarray, last: np.ndarray) -> None:
+        """Adds to the tokens at: the choice of each among the output rows from first to last of its parent."""
+        order = np.argsort(parent, kind="stable")
+        bounds = np.flatnonzero(np.diff(parent[order], prepend=-1, append=-1))
+        for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+            p = parent[order[a]]
+            v, c = out[first[p] : last[p]].T, bias[first[p] : last[p]]
+            for i in range(a, b, block):
+                o = order[i : min(i + block, b)]
+                t = at[o]
+                s = (context[0][one[t]] + context[1][two[t]]) @ v + c
+                top = s.max(1)
+                result[t] += s[np.arange(len(t)), choice[o] - first[p]] - top - np.log(np.exp(s - top[:, None]).sum(1, dtype=np.float64))
+
+    at = np.flatnonzero(target > WORD_CLASSES)
+    chosen(at, layout.cls[target[at]] - WORD_CLASSES - 1, layout.node[target[at]], layout.nodes[:-1], layout.nodes[1:])
+    at = np.flatnonzero(target >= CLASSES)
+    chosen(at, layout.node[target[at]], target[at] - CLASSES + layout.first_word, layout.group_first + layout.first_word, layout.group_last + layout.first_word)
+    return result / math.log(10)
+
+
 def held_out_fold(id_col: str, folds: int = 10):
     """Rows whose crc32 of the id as text leaves no remainder; a null id is the empty text."""
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % folds == 0
@@ -263,20 +398,33 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fold
     total, distinct = n + ends, v + (ends > 0)
     top = counts.orderBy(F.desc("c"), "h").limit(WORD_CLASSES).collect()
     frequent = np.array([r["h"] for r in top], np.int64).view(U64)
-    # Counts of buckets without the frequent words.
+    own = counts.where(F.col("c") >= LEAST).toArrow()
+    h, at, c = own.column("h").to_numpy().view(U64), own.column("bucket").to_numpy(), own.column("c").to_numpy()
+    inside = ~np.isin(h, frequent)
+    h, at, c = h[inside], at[inside], c[inside]
+    order = np.lexsort((h, -c, at))
+    h, at, c = h[order], at[order], c[order]
+    # Counts of the buckets' rests: without the frequent words and those with vectors of their own.
     weight, kinds = np.zeros(BUCKETS), np.zeros(BUCKETS)
     for r in counts.groupBy("bucket").agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("v")).collect():
         weight[r["bucket"]], kinds[r["bucket"]] = r["c"], r["v"]
     for r in top:
         weight[r["bucket"]] -= r["c"]
         kinds[r["bucket"]] -= 1
-    prior = np.concatenate(([ends], [r["c"] for r in top], np.zeros(WORD_CLASSES - len(top)), weight)) + SMOOTH
-    prior = prior / prior.sum()
-    averaged = train.select("text").mapInArrow(_train(frequent, prior), "i int, v double, w double").groupBy("i").agg((F.sum("v") / F.sum("w")).alias("v"))
-    p = initial(prior)
-    got = averaged.toArrow()
-    p[got.column("i").to_numpy()] = got.column("v").to_numpy()
-    m = Model(p, frequent, total, distinct, ends, np.log10(weight + SMOOTH * (kinds + 1)), publish(docs.sparkSession, _held(counts), "counts"))
+    weight -= np.bincount(at, c, BUCKETS)
+    kinds -= np.bincount(at, minlength=BUCKETS)
+    spark = docs.sparkSession
+    layout = Layout(frequent, np.array([r["c"] for r in top], np.int64), h, at, c, ends, weight)
+    words_file = publish(spark, layout.packed(), "words")
+    learned = train.select("text").mapInArrow(_train(words_file), "i long, w long, v binary")
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    averaged = written(learned.repartition(parts, "i").mapInArrow(_average, "i long, v binary"), "averages")
+    p = layout.matrix()
+    for b in averaged.toArrow().to_batches():
+        if len(b):
+            p[b.column(0).to_numpy()] = _rows(b.column(1))
+    m = Model(publish(spark, memoryview(p).cast("B"), "model"), words_file, total, distinct, ends, np.log10(weight + SMOOTH * (kinds + 1)), publish(spark, _held(counts), "counts"))
+    del p
     kind = rows.schema["id"].dataType.simpleString()
     first = written(rows.mapInArrow(_score(m), f"uid long, id {kind}, held_out boolean, n_tokens long, n_known long, held_log double, model_log double, others array<long>"), "scores")
     joined = first.select("uid", F.explode("others").alias("h")).join(counts.select("h", "c"), "h", "left")

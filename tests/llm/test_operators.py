@@ -283,6 +283,30 @@ def test_language_model_is_normalised():
     assert (10 ** language_model.log_probabilities(rows, *language_model.unpacked(p))).sum() == pytest.approx(1, abs=1e-4)
 
 
+def test_language_model_tells_words_of_one_ending_apart(spark):
+    """Words outside the most frequent ones, all of one ending and one count, are predicted from the words before them."""
+    ids = [i for i in range(20000) if zlib.crc32(str(i).encode()) % 10]
+    filler = " ".join(f"f{k}" for k in range(447))
+    text = [filler] * 2001 + [" ".join([f"a{j}end b{j}end"] * 100) for j in range(12) for _ in range(20)]
+    held = [i for i in range(20000) if not zlib.crc32(str(i).encode()) % 10]
+    right = [(held[j], f"a{j}end b{j}end") for j in range(12)]
+    wrong = [(held[12 + j], f"a{j}end b{(j + 1) % 12}end") for j in range(12)]
+    frame = spark.createDataFrame([*zip(ids, text, strict=False), *right, *wrong], "doc_id long, text string").coalesce(1)
+    score = {r["doc_id"]: r["score"] for r in language_model.scored(frame).where("held_out").collect()}
+    assert sum(score[i] for i, _ in right) > sum(score[i] for i, _ in wrong) + 12 * 0.3
+
+
+def test_language_model_is_normalised_over_all_words():
+    m, r = language_model, np.random.default_rng(1)
+    words = np.arange(1000, 4000).astype(np.uint64)
+    bucket = np.sort(r.integers(0, m.BUCKETS, len(words)))
+    layout = m.Layout(np.arange(m.WORD_CLASSES).astype(np.uint64), np.full(m.WORD_CLASSES, 90), words, bucket, np.full(len(words), 20), 50, np.full(m.BUCKETS, 7.0))
+    parts = m.unpacked(layout.matrix(), layout.numbers)
+    rows = np.stack([np.arange(layout.numbers), np.full(layout.numbers, 2000), np.full(layout.numbers, 9)]).astype(np.int32)
+    logs = m.log_probabilities(np.stack((layout.cls[rows[0]], rows[1], rows[2])), *parts) + m.log_inside(layout, rows, *parts)
+    assert layout.numbers == m.CLASSES + len(words) and (10**logs).sum() == pytest.approx(1, abs=1e-4)
+
+
 def test_fingerprints(docs, rows):
     got = by_id(fingerprints.fingerprinted(docs))
     by_text = {}
