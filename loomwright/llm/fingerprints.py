@@ -2,8 +2,9 @@
 
 Native. Each anchor (a common word of one of four languages, or the start of a line) is followed by a
 chain of the next two content words, over other anchors where they stand between; anchor and chain make
-a signature. A document's fingerprint is the sorted set of its 64-bit signature hashes. Fingerprints
-are partitioned by set length and compared through Jaccard pruned by the lengths.
+a signature. Where no anchor comes for more than RUN content words, each of them starts a signature with
+the words after it, so that the whole text counts. A document's fingerprint is the sorted set of its
+64-bit signature hashes.
 """
 
 from __future__ import annotations
@@ -23,11 +24,14 @@ ANCHORS = (
 
 #: The length of a chain, the likeness from which documents are near, and the marks used inside a text.
 CHAIN, NEAR = 2, 0.8
+#: The content words after an anchor from which anchors are sparse.
+RUN = 8
 LINE, MARK = "\u0001", "\u0002"
 
 
 def with_signatures(rows: DataFrame, text_col: str, out: str) -> DataFrame:
-    """rows with the sorted distinct signature hashes of a text; every text with a word has one at least."""
+    """rows with the sorted distinct signature hashes of a text; every text with more than white space has one at least.
+    A text of symbols alone is hashed as it is."""
     plain = F.regexp_replace(F.lower(text_col), r"[^\p{L}\p{N}\n]+", " ")
     lines = F.concat(F.lit(LINE + " "), F.regexp_replace(plain, r" ?\n[ \n]*", f" {LINE} "))
     words = F.filter(F.split(lines, " "), lambda w: w != "")
@@ -46,9 +50,15 @@ def with_signatures(rows: DataFrame, text_col: str, out: str) -> DataFrame:
         chain = F.substring_index(joined, " ", CHAIN)
         return F.when((chain != "") | (x["anchor"] != LINE), F.xxhash64(F.concat_ws(" ", x["anchor"], chain)))
 
+    # Runs without anchors: every content word with the CHAIN words after it.
+    runs = F.filter(F.transform(parts, lambda p: F.split(F.rtrim(p), " ")), lambda ws: F.size(ws) > RUN + 1)
+    inside = F.flatten(F.transform(runs, lambda ws: F.transform(F.sequence(F.lit(2), F.size(ws) - CHAIN), lambda i: F.xxhash64(F.array_join(F.slice(ws, i, CHAIN + 1), " ")))))
+
     # _heads is a column of its own, used several times, so it is computed once for each row.
-    headed = rows.withColumn("_heads", F.transform(parts, head))
-    return headed.withColumn(out, F.array_sort(F.array_distinct(F.array_compact(F.transform("_heads", signature))))).drop("_heads")
+    headed = rows.withColumn("_heads", F.transform(parts, head)).withColumn("_runs", inside)
+    found = F.array_sort(F.array_distinct(F.concat(F.array_compact(F.transform("_heads", signature)), "_runs")))
+    signed = headed.withColumn(out, found).drop("_heads", "_runs")
+    return signed.withColumn(out, F.when((F.size(out) == 0) & F.col(text_col).rlike(r"\S"), F.array(F.xxhash64(text_col))).otherwise(F.col(out)))
 
 
 def as_text(sigs: Column) -> Column:

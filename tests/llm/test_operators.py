@@ -324,6 +324,14 @@ def test_fingerprints(docs, rows):
     assert len(the_river) == 1
 
 
+def test_fingerprints_cover_texts_without_anchors(spark):
+    line = "cat dog " + " ".join(f"wort{k}" for k in range(60))
+    texts = [line, "cat dog " + " ".join(f"other{k}" for k in range(60)), line.replace("wort40", "else"), "!!! ---", "?? ++", " \n "]
+    sigs = [set(r["s"]) for r in fingerprints.with_signatures(spark.createDataFrame(list(enumerate(texts)), "i int, text string").coalesce(1), "text", "s").orderBy("i").collect()]
+    assert len(sigs[0]) == 61 and len(sigs[0] & sigs[1]) == 1 and len(sigs[0] ^ sigs[2]) == 6
+    assert len(sigs[3]) == len(sigs[4]) == 1 and sigs[3] != sigs[4] and not sigs[5]
+
+
 def test_toxicity(spark, docs, labels, nothing):
     import random
 
