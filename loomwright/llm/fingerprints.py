@@ -4,7 +4,8 @@ Native. Each anchor (a common word of one of four languages, or the start of a l
 chain of the next two content words, over other anchors where they stand between; anchor and chain make
 a signature. Where no anchor comes for more than RUN content words, each of them starts a signature with
 the words after it, so that the whole text counts. A document's fingerprint is the sorted set of its
-64-bit signature hashes.
+64-bit signature hashes. near_pairs compares fingerprints partitioned by set length, through Jaccard
+pruned by the lengths; the registered query compares each with two given ones and needs no partitions.
 """
 
 from __future__ import annotations
@@ -82,6 +83,23 @@ def likeness(a: Column, b: Column, least: float = 0.0) -> Column:
     )
 
 
+def near_pairs(rows: DataFrame, id_col: str, sigs_col: str, near: float = NEAR) -> DataFrame:
+    """(a, b, likeness), a < b, of all pairs of ids whose signature sets have a Jaccard of `near` or more; sets in
+    ascending order, as with_signatures makes them. A null id is in no pair.
+
+    A set meets those of its length class and the next. In it, pairs that reach `near` share one of the first
+    n - ceil(near n) + 1 hashes of each; empty sets, all alike, share a mark."""
+    n = F.size("s")
+    lead = F.when(n > 0, F.slice("s", F.lit(1), (n - F.ceil(n * F.lit(near) - F.lit(1e-9)) + 1).cast("int"))).otherwise(F.array(F.lit(0).cast("long")))
+    sets = durable(rows.select(F.col(id_col).alias("id"), F.col(sigs_col).alias("s")))
+    led = sets.select("id", length_class(F.col("s"), near).alias("class"), F.explode(lead).alias("h"))
+    low = led.select(F.col("id").alias("x"), "h", F.explode(F.array(F.col("class"), F.col("class") + 1)).alias("class"))
+    met = low.join(led.withColumnRenamed("id", "y"), ["class", "h"]).where("x != y")
+    pairs = met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    both = pairs.join(sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a").join(sets.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b")
+    return both.select("a", "b", likeness(F.col("sa"), F.col("sb"), near).alias("likeness")).where(F.col("likeness") >= near).distinct()
+
+
 def neighbours(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(key, before, half): for each distinct id, the id before it (for the first: the last) and half the
     largest length among rows with that id. Ids are dealt out by range; ranges meet in a table of one row each."""

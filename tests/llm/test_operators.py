@@ -324,6 +324,15 @@ def test_fingerprints(docs, rows):
     assert len(the_river) == 1
 
 
+def test_fingerprint_pairs(spark):
+    r = np.random.default_rng(3)
+    sets = [sorted(r.choice(10**6, n, replace=False).tolist()) for n in (1, 3, 4, 5, 9, 20, 50)]
+    sets += [sorted(s[: max(1, int(len(s) * cut))]) for s in sets for cut in (0.7, 0.8, 0.9, 1)] + [[], []]
+    want = {(i, j) for i, j in combinations(range(len(sets)), 2) if len({*sets[i]} & {*sets[j]}) >= 0.8 * len({*sets[i]} | {*sets[j]}) - 1e-9}
+    got = fingerprints.near_pairs(spark.createDataFrame(list(enumerate(sets)), "i long, s array<long>"), "i", "s").collect()
+    assert len(want) > 20 and len(got) == len(want) and {(g["a"], g["b"]) for g in got} == want
+
+
 def test_fingerprints_cover_texts_without_anchors(spark):
     line = "cat dog " + " ".join(f"wort{k}" for k in range(60))
     texts = [line, "cat dog " + " ".join(f"other{k}" for k in range(60)), line.replace("wort40", "else"), "!!! ---", "?? ++", " \n "]
