@@ -52,10 +52,10 @@ def score_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def full_outer_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labels and documents that hold a benchmark passage's first 40 characters, on the document."""
-    heads = table(spark, sf_dir, "benchmark").select(F.substring(text_of("text"), 1, 40).alias("h")).where("length(h) = 40").distinct()
+    """Labels and documents that hold a whole benchmark passage, on the document."""
+    passages = table(spark, sf_dir, "benchmark").select(text_of("text").alias("h")).where("h != ''").distinct()
     # The benchmark's items are the query set; all documents are held against them.
-    hit = table(spark, sf_dir, "documents").join(heads, F.contains(text_of("text"), F.col("h")), "left_semi").select("doc_id", F.lit(1).alias("leak"))
+    hit = table(spark, sf_dir, "documents").join(passages, F.contains(text_of("text"), F.col("h")), "left_semi").select("doc_id", F.lit(1).alias("leak"))
     return cards.merged(table(spark, sf_dir, "labels"), hit, "doc_id").select("doc_id", "quality", "leak")
 
 

@@ -84,3 +84,14 @@ def test_stream_upsert(spark, tmp_path):
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
         upserts.upsert_stream(spark.readStream.schema(schema).parquet(source), target, ["k"], str(tmp_path / "c")).awaitTermination()
     assert sorted(map(tuple, upserts.latest(spark, target).collect())) == [(1, "a"), (2, "c"), (3, "d")]
+
+
+def test_full_outer_cards_matches_whole_passages(spark, tmp_path):
+    from loomwright.plans.cards import full_outer_cards
+
+    long = "a passage of the benchmark that is longer than forty characters"
+    made = {"benchmark": ([(1, long), (2, "short one"), (3, "")], "item_id long, text string"), "labels": ([(1, 1)], "doc_id long, quality int")}
+    made["documents"] = ([(1, f"x {long} y"), (2, long[:50]), (3, "a short one here"), (4, "none")], "doc_id long, text string")
+    for name, (rows, schema) in made.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    assert sorted(map(tuple, full_outer_cards(spark, str(tmp_path)).collect())) == [(1, 1, 1), (3, None, 1)]
