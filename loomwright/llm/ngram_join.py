@@ -5,29 +5,33 @@ pairs. Equal sets are one row of the matrix. A pair can only reach the threshold
 first n - ceil(0.8 n) + 1 n-grams of each in one global order (here: rare ones first, then by hash), so
 only those columns are dealt out. In each column the rows are first multiplied with one of them, a star;
 rows that are connected by then need no product with each other. What is left in columns with several
-components is paired under bounds from the set sizes and from parity signatures, and its overlaps are
-counted. So no column is expanded into all its pairs, and no link between different texts is lost.
+components is paired under bounds from the set sizes and from the places of the n-gram in both sets, and
+not again where an earlier common n-gram is known; pairs whose parity signatures differ too much are
+discarded, and the overlaps of the others are accumulated, block by block. So no column is expanded into
+all its pairs, and no link between different texts is lost.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .components import roots
 from .support import documents, durable, local_file, publish, whole_text, written
-from .textscan import U64, mixed, word_hashes
+from .textscan import U64, mixed, within, word_hashes
 
 #: Words in an n-gram; the threshold as a fraction; an n-gram in so many different sets is frequent;
 #: how many frequent ones are remembered, and in a bit map of which size (a power of two).
 WORDS, NUM, DEN, FREQUENT, REMEMBERED, MAP_BITS = 5, 4, 5, 32, 1 << 20, 24
-#: Rows of a column from which its n-gram is dealt out late.
-WIDE = 12
+#: Rows of a column from which its n-gram is dealt out late; n-grams before its own that a row of an open column knows.
+WIDE, BEFORE = 12, 3
 #: Ids that are sent to every task at most, to pick texts; more are joined by a shuffle.
 SENT = 100_000
 FACTORS = mixed(np.arange(1, WORDS + 1, dtype=U64)) | U64(1)
@@ -60,25 +64,29 @@ def set_key(grams: np.ndarray) -> tuple[int, int]:
 
 
 def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each document with its set's size and key, and rows for n-grams that several different sets of a block hold."""
+    """A row for each document with its set's size and key (and, once in a batch, its signature), and rows for n-grams that several different sets of a block hold."""
     for b in batches:
-        n, k1, k2, held, seen = [], [], [], [], set()
+        n, k1, k2, held, seen, signed = [], [], [], [], set(), []
         for grams in ngram_sets(b.column(1)):
             key = set_key(grams)
             n.append(len(grams))
             k1.append(key[0])
             k2.append(key[1])
+            signed.append(None if key in seen else np.array(signature(grams), np.int64).tobytes())
             if key not in seen:
                 seen.add(key)
                 held.append(grams)
         rows = len(n)
-        yield pa.record_batch([b.column(0), pa.array(n, pa.int64()), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), pa.nulls(rows, pa.int64())], ["id", "n", "k1", "k2", "gram"])
+        yield pa.record_batch([b.column(0), pa.array(n, pa.int64()), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), pa.array(signed, pa.binary()), pa.nulls(rows, pa.int64())], SURVEY)
         grams, count = np.unique(np.concatenate(held) if held else np.zeros(0, U64), return_counts=True)
         often = count > 1
         grams, count = grams[often].view(np.int64), count[often]
         if len(grams):
             none = pa.nulls(len(grams), pa.int64())
-            yield pa.record_batch([pa.nulls(len(grams), b.column(0).type), pa.array(count, pa.int64()), none, none, pa.array(grams, pa.int64())], ["id", "n", "k1", "k2", "gram"])
+            yield pa.record_batch([pa.nulls(len(grams), b.column(0).type), pa.array(count, pa.int64()), none, none, pa.nulls(len(grams), pa.binary()), pa.array(grams, pa.int64())], SURVEY)
+
+
+SURVEY = ["id", "n", "k1", "k2", "sig", "gram"]
 
 
 def _node(key: tuple[int, int], shared: frozenset[int]) -> int:
@@ -94,33 +102,51 @@ def prefix_of(grams: np.ndarray, frequent: np.ndarray) -> np.ndarray:
 
 
 def signature(grams: np.ndarray) -> tuple[int, ...]:
-    """256 parities of set members: sets differ in at least as many members as their signatures in bits."""
-    odd = np.bincount((grams & U64(255)).astype(np.int64), minlength=256) & 1
+    """Parities of the set's members, about four bits for each: sets differ in at least as many members as their signatures in bits."""
+    bits = 1 << min(max((4 * len(grams) - 1).bit_length(), 9), 16)
+    odd = np.bincount((grams & U64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return tuple(np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64).tolist())
 
 
+def differing(a: np.ndarray, b: np.ndarray) -> int:
+    """In how many bits two signatures (as arrays) differ; the longer one is folded to the length of the other, which keeps its parities."""
+    while len(a) > len(b):
+        a = a[: len(a) // 2] ^ a[len(a) // 2 :]
+    while len(b) > len(a):
+        b = b[: len(b) // 2] ^ b[len(b) // 2 :]
+    return int(np.bitwise_count((a ^ b).view(U64)).sum())  # of signed numbers it would count the bits of the absolute value
+
+
+def _close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of pairs with sizes and signatures, those whose signatures let them reach the threshold."""
+    for b in batches:
+        n, m = b.column(2).to_numpy(), b.column(3).to_numpy()
+        most = (n + m) * (DEN - NUM) // (DEN + NUM)
+        left, right = b.column(4), b.column(5)
+        good = np.fromiter((differing(np.frombuffer(left[k].as_buffer(), np.int64), np.frombuffer(right[k].as_buffer(), np.int64)) <= most[k] for k in range(len(n))), bool, len(n))
+        yield pa.record_batch([b.column(0).filter(pa.array(good)), b.column(1).filter(pa.array(good))], ["a", "b"])
+
+
 def _columns(frequent_file: str, shared: frozenset[int], grams_only: bool = False):
     """Rows of the columns that each set is dealt to, equal sets of a batch once; on demand the n-grams alone."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent = np.asarray(np.memmap(local_file(frequent_file), np.uint8, "r"))
         for b in batches:
-            grams, reps, sides, seen, held = [], [], [], set(), 0
+            grams, sides, seen, held = [], [], set(), 0
             for s in ngram_sets(b.column(0)):
                 if not len(s) or (key := set_key(s)) in seen:
                     continue
                 seen.add(key)
                 p = prefix_of(s, frequent)
                 grams.append(p)
-                reps.append(len(p))
-                if not grams_only:
-                    sides.append((_node(key, shared), len(s), *signature(s)))
+                sides.append((_node(key, shared), len(s)))
                 held += len(p)
                 if held > 1 << 19:
-                    yield _gram_rows(grams) if grams_only else _column_rows(grams, reps, sides)
-                    grams, reps, sides, held = [], [], [], 0
+                    yield _gram_rows(grams) if grams_only else _column_rows(grams, sides)
+                    grams, sides, held = [], [], 0
             if held:
-                yield _gram_rows(grams) if grams_only else _column_rows(grams, reps, sides)
+                yield _gram_rows(grams) if grams_only else _column_rows(grams, sides)
 
     return run
 
@@ -129,12 +155,14 @@ def _gram_rows(grams) -> pa.RecordBatch:
     return pa.record_batch([pa.array(np.concatenate(grams).view(np.int64))], ["gram"])
 
 
-def _column_rows(grams, reps, sides) -> pa.RecordBatch:
-    side = np.repeat(np.array(sides, np.int64), reps, axis=0)
-    return pa.record_batch([pa.array(np.concatenate(grams).view(np.int64)), *(pa.array(np.ascontiguousarray(side[:, i])) for i in range(6))], NAMES)
+def _column_rows(grams, sides) -> pa.RecordBatch:
+    """Rows of n-gram, node, set size and the n-gram's place in the set."""
+    lens = np.array([len(g) for g in grams])
+    side = np.repeat(np.array(sides, np.int64), lens, axis=0)
+    return pa.record_batch([pa.array(np.concatenate(grams).view(np.int64)), *(pa.array(np.ascontiguousarray(side[:, i])) for i in range(2)), pa.array(within(lens))], NAMES)
 
 
-NAMES = ["gram", "node", "n", "s1", "s2", "s3", "s4"]
+NAMES = ["gram", "node", "n", "place"]
 COLUMN = ", ".join(f"{name} long" for name in NAMES)
 
 
@@ -219,7 +247,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("id"), whole_text(text_col).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    survey = written(rows.mapInArrow(_survey, f"id {kind}, n long, k1 long, k2 long, gram long"), "survey")
+    survey = written(rows.mapInArrow(_survey, f"id {kind}, n long, k1 long, k2 long, sig binary, gram long"), "survey")
     sets = survey.where("gram is null")
 
     # A set goes by the first half of its key; where sets share it, by the second.
@@ -227,7 +255,8 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     shared = frozenset(r["k1"] for r in twice)
     node = F.when(F.col("k1").isin(sorted(shared)), F.col("k2")).otherwise(F.col("k1")) if shared else F.col("k1")
     members = sets.select("id", "n", node.alias("node"))
-    nodes = written(members.where("n > 0").groupBy("node").agg(F.min("id").alias("rep"), F.min("n").alias("n")), "nodes")
+    signed = sets.where("n > 0").select("id", "n", node.alias("node"), "sig")
+    nodes = written(signed.groupBy("node").agg(F.min("id").alias("rep"), F.min("n").alias("n"), F.first("sig", ignorenulls=True).alias("sig")), "nodes")
 
     # Which n-grams of the prefixes are frequent is counted exactly, so that the columns dealt out stay small.
     early = _frequent(survey.where("gram is not null").groupBy("gram").agg(F.sum("n").alias("n")).where(F.col("n") >= FREQUENT))
@@ -276,22 +305,27 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     tried = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     rest = split_columns(found)
 
-    # Columns where more than one component is left: their overlaps are accumulated for each pair of rows.
+    # Columns where more than one component is left: each pair meets at its first common n-gram, and again only where
+    # the BEFORE open n-grams in front of that have none in common. All that two components share is in open columns.
+    ahead = Window.partitionBy("node").orderBy("place")
+    rest = rest.select("*", *(F.lag("gram", k).over(ahead).alias(f"p{k}") for k in range(1, BEFORE + 1)))
     step = F.floor(F.log("n") / F.log(F.lit(DEN / NUM))).cast("int")
     x = rest.withColumn("step", F.explode(F.array(step, step + 1))).alias("x")
     y = rest.withColumn("step", step).alias("y")
     # x is the smaller; sizes within the threshold lie in one step or in two next to each other.
     smaller = (F.col("x.n") < F.col("y.n")) | ((F.col("x.n") == F.col("y.n")) & (F.col("x.node") < F.col("y.node")))
-    differing = sum((F.bit_count(F.col(f"x.{s}").bitwiseXOR(F.col(f"y.{s}"))) for s in NAMES[3:]), F.lit(0))
+    least = F.ceil(NUM * (F.col("x.n") + F.col("y.n")) / F.lit(NUM + DEN))
+    # What the two can share from their first common n-gram on.
+    behind = F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place"))
+    earlier = reduce(or_, (F.col(f"x.p{i}") == F.col(f"y.p{j}") for i in range(1, BEFORE + 1) for j in range(1, BEFORE + 1)))
     close = (
         (F.col("x.gram") == F.col("y.gram")) & (F.col("x.step") == F.col("y.step")) & (F.col("x.root") != F.col("y.root")) & smaller
-        & (NUM * F.col("y.n") <= DEN * F.col("x.n")) & (differing * (DEN + NUM) <= (F.col("x.n") + F.col("y.n")) * (DEN - NUM))
+        & (NUM * F.col("y.n") <= DEN * F.col("x.n")) & (behind >= least) & ~F.coalesce(earlier, F.lit(False))
     )
-    overlaps = x.join(y, close).groupBy(F.col("x.node").alias("xn"), F.col("y.node").alias("yn")).agg(F.count(F.lit(1)).alias("both"), F.first("x.n").alias("n"), F.first("y.n").alias("m"))
-    # All that a pair shares lies in the columns counted or behind the prefix of one of the two.
-    least = F.ceil(NUM * (F.col("n") + F.col("m")) / F.lit(NUM + DEN)) - F.greatest(F.col("n") - _prefix(F.col("n")), F.col("m") - _prefix(F.col("m")))
-    pairs = overlaps.where(F.col("both") >= least).select(F.least("xn", "yn").alias("a"), F.greatest("xn", "yn").alias("b"))
-    pairs = written(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
+    met = x.join(y, close).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+    met = met.join(tried, ["a", "b"], "left_anti")
+    signed = met.join(nodes.select(F.col("node").alias("a"), "n", F.col("sig").alias("left")), "a").join(nodes.select(F.col("node").alias("b"), F.col("n").alias("m"), F.col("sig").alias("right")), "b")
+    pairs = written(signed.select("a", "b", "n", "m", "left", "right").mapInArrow(_close, "a long, b long"), "pairs")
     if pairs.limit(1).count():
         found = roots(links.unionByName(linked(pairs)))
 

@@ -122,6 +122,16 @@ def test_ngram_parts():
             assert len(np.intersect1d(ngram_join.prefix_of(a, none), ngram_join.prefix_of(b, none)))
 
 
+def test_ngram_signatures_of_other_lengths():
+    r = np.random.default_rng(2)
+    for n in (100, 130, 700, 5000):
+        a = np.unique(r.integers(0, 2**63, n).astype(np.uint64))
+        for b in (a[: n // 5], a[3:], np.union1d(a, r.integers(0, 2**63, 3 * n).astype(np.uint64))):
+            x, y = (np.array(ngram_join.signature(s), np.int64) for s in (a, b))
+            assert ngram_join.differing(x, y) == ngram_join.differing(y, x) <= len(np.setxor1d(a, b))
+    assert ngram_join.differing(x, x) == 0
+
+
 def test_token_counts(docs, rows):
     tok = library("byte_bpe_50k.json")
     got = by_id(token_counts.token_counts(docs, piece_chars=500, batch_chars=2000))
