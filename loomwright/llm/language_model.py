@@ -1,11 +1,12 @@
 """Scores of whole texts under a log-bilinear neural model trained by noise-contrastive estimation.
 
-Every training word of LEAST or more counts has context vectors and an output vector of its own, so the model
-grows with the vocabulary. The model predicts the next word from the two before it in three steps, each a
+The VECTORS * sqrt(tokens) most frequent training words of LEAST or more counts have context vectors and an output
+vector of their own, so the model grows with the corpus. Each training task reads SPLIT tokens or more for each of
+these words: tasks times vectors, which is what the averaging shuffles, stays in proportion to the corpus. The model predicts the next word from the two before it in three steps, each a
 softmax over a few choices: the class (a most frequent word, the end, or a bucket of words by their ending),
 the bucket's group (or its rest), and the word in the group. Every task trains on all tokens of its split, in
-numpy, and hands on the rows it touched; these are averaged by touches. Scoring normalises every step. Only
-words below LEAST are known by their bucket's rest alone and have their share of it by their counts.
+numpy, and hands on the rows it touched; these are averaged by touches. Scoring normalises every step. All other
+words are known by their bucket's rest alone and have their share of it by their counts.
 """
 
 from __future__ import annotations
@@ -25,14 +26,15 @@ from .support import documents, local_file, publish, whole_text, written
 from .textscan import TO_LOWER, U64, Table, buffers, row_blocks, span_hashes, splitmix, word_spans
 
 #: Class 0 ends (and begins) a text, then the frequent words, then the buckets of other words.
-WORD_CLASSES, BUCKETS = 447, 64
+WORD_CLASSES, BUCKETS = 127, 64
 CLASSES = 1 + WORD_CLASSES + BUCKETS
 #: Width of the vectors, words of context, tokens in a step, noise classes in a step, step width, seed.
 WIDTH, CONTEXT, BATCH, NOISE, RATE, SEED = 24, 2, 1024, 64, 0.2, 7
 #: Words whose counts every task holds; the counts of all others are joined. Smoothing of the base and of the buckets.
 HELD, SMOOTH = 1 << 20, 0.1
-#: The least count of a word with vectors of its own; what the squared gradients of a row begin with.
-LEAST, PAST = 10, 3.0
+#: Words with vectors of their own for each square root of the tokens, the least count of such a word, the tokens
+#: of a training task for each such word; what the squared gradients of a row begin with.
+VECTORS, LEAST, SPLIT, PAST = 4, 10, 64, 3.0
 
 
 @dataclass
@@ -181,15 +183,21 @@ class Trainer:
         noise = np.minimum(np.searchsorted(self.cumulated[k], self.draw.random(NOISE)), len(log_noise) - 1)
         goal, other = self.p[self.begin + offset + chosen], self.p[self.begin + offset + noise]
         real = np.einsum("ij,ij->i", hidden, goal[:, :WIDTH]) + goal[:, WIDTH] - log_noise[chosen]
-        fake = hidden @ other[:, :WIDTH].T + (other[:, WIDTH] - log_noise[noise])
-        up = 1 / (1 + np.exp(np.clip(real, -30, 30)))
-        down = -1 / (1 + np.exp(-np.clip(fake, -30, 30)))
+        down = hidden @ other[:, :WIDTH].T
+        down += other[:, WIDTH] - log_noise[noise]
+        with np.errstate(over="ignore"):  # beyond the range of exp the shares are 0
+            up = 1 / (1 + np.exp(real))
+            np.exp(np.negative(down, out=down), out=down)
+        down += 1
+        np.divide(-1, down, out=down)
         grad = np.empty((len(chosen) + NOISE, WIDTH + 1), np.float32)
-        grad[: len(chosen), :WIDTH] = up[:, None] * hidden
+        np.multiply(up[:, None], hidden, out=grad[: len(chosen), :WIDTH])
         grad[: len(chosen), WIDTH] = up
         grad[len(chosen) :, :WIDTH] = down.T @ hidden
         grad[len(chosen) :, WIDTH] = down.sum(0)
-        return up[:, None] * goal[:, :WIDTH] + down @ other[:, :WIDTH], self.begin + offset + np.concatenate((chosen, noise)), grad
+        back = down @ other[:, :WIDTH]
+        back += up[:, None] * goal[:, :WIDTH]
+        return back, self.begin + offset + np.concatenate((chosen, noise)), grad
 
     def step(self, target: np.ndarray, one: np.ndarray, two: np.ndarray) -> None:
         of = self.layout
@@ -203,12 +211,14 @@ class Trainer:
                 back[at] += more
                 rows.append(r)
                 grads.append(g)
-        both = np.zeros((2 * len(back), WIDTH + 1), np.float32)
-        both[: len(back), :WIDTH] = both[len(back) :, :WIDTH] = back
-        self.add(np.concatenate([one, of.numbers + two, *rows]), np.concatenate([both, *grads]))
+        context = np.zeros((len(back), WIDTH + 1), np.float32)
+        context[:, :WIDTH] = back
+        for part in (one, of.numbers + two):
+            self.add(part, context)
+        self.add(np.concatenate(rows), np.concatenate(grads))
 
     def add(self, rows: np.ndarray, grads: np.ndarray) -> None:
-        order = np.argsort(rows, kind="stable")
+        order = np.argsort(rows)
         r = rows[order]
         starts = np.flatnonzero(np.concatenate(([True], r[1:] != r[:-1])))
         g = np.add.reduceat(grads[order], starts, axis=0)
@@ -398,7 +408,8 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fold
     total, distinct = n + ends, v + (ends > 0)
     top = counts.orderBy(F.desc("c"), "h").limit(WORD_CLASSES).collect()
     frequent = np.array([r["h"] for r in top], np.int64).view(U64)
-    own = counts.where(F.col("c") >= LEAST).toArrow()
+    size = int(VECTORS * math.sqrt(total))
+    own = counts.where(F.col("c") >= max(LEAST, _count_above(counts, size))).toArrow()
     h, at, c = own.column("h").to_numpy().view(U64), own.column("bucket").to_numpy(), own.column("c").to_numpy()
     inside = ~np.isin(h, frequent)
     h, at, c = h[inside], at[inside], c[inside]
@@ -416,7 +427,8 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fold
     spark = docs.sparkSession
     layout = Layout(frequent, np.array([r["c"] for r in top], np.int64), h, at, c, ends, weight)
     words_file = publish(spark, layout.packed(), "words")
-    learned = train.select("text").mapInArrow(_train(words_file), "i long, w long, v binary")
+    tasks = max(1, total // (SPLIT * max(size, 1)))
+    learned = train.select("text").coalesce(tasks).mapInArrow(_train(words_file), "i long, w long, v binary")
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     averaged = written(learned.repartition(parts, "i").mapInArrow(_average, "i long, v binary"), "averages")
     p = layout.matrix()
@@ -438,14 +450,19 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fold
     )
 
 
-def _held(counts: DataFrame) -> bytes:
-    """The counts of the most frequent words, at most HELD, sorted by hash: all words above the count that fits."""
-    steps = counts.groupBy("c").count().orderBy(F.desc("c"))
+def _count_above(counts: DataFrame, most: int) -> int:
+    """The least count from which there are at most so many words."""
     least, size = 1 << 62, 0
-    for r in steps.toLocalIterator():
-        if size + r["count"] > HELD:
+    for r in counts.groupBy("c").count().orderBy(F.desc("c")).toLocalIterator():
+        if size + r["count"] > most:
             break
         least, size = r["c"], size + r["count"]
+    return least
+
+
+def _held(counts: DataFrame) -> bytes:
+    """The counts of the most frequent words, at most HELD, sorted by hash: all words above the count that fits."""
+    least = _count_above(counts, HELD)
     got = counts.where(F.col("c") >= F.lit(least)).select("h", "c").toArrow()
     h, c = got.column("h").to_numpy().view(U64), got.column("c").to_numpy()
     order = np.argsort(h)
