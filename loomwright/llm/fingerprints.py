@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .support import documents, durable, whole_text
 
@@ -25,8 +26,8 @@ ANCHORS = (
 
 #: The length of a chain, the likeness from which documents are near, and the marks used inside a text.
 CHAIN, NEAR = 2, 0.8
-#: The content words after an anchor from which anchors are sparse.
-RUN = 8
+#: The content words after an anchor from which anchors are sparse; ranges of ids for each shuffle partition.
+RUN, RANGES = 8, 8
 LINE, MARK = "\u0001", "\u0002"
 
 
@@ -100,24 +101,39 @@ def near_pairs(rows: DataFrame, id_col: str, sigs_col: str, near: float = NEAR)
     return both.select("a", "b", likeness(F.col("sa"), F.col("sb"), near).alias("likeness")).where(F.col("likeness") >= near).distinct()
 
 
-def neighbours(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(key, before, half): for each distinct id, the id before it (for the first: the last) and half the
-    largest length among rows with that id. Ids are dealt out by range; ranges meet in a table of one row each."""
-    key = F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1)).alias("key")
-    ids = docs.select(key, F.length(whole_text(text_col)).alias("n")).groupBy("key").agg(F.max("n").alias("n"))
-    spark = docs.sparkSession
-    count = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    ranged = durable(ids.repartitionByRange(count, "key").withColumn("range", F.spark_partition_id()))
-    w = Window.partitionBy("range").orderBy("key")
-    inside = ranged.withColumn("before", F.lag("key").over(w)).withColumn("half", F.floor(F.lag("n").over(w) / 2))
-    ends = ranged.groupBy("range").agg(F.max_by(F.struct("key", "n"), "key").alias("end"))
-    over = Window.orderBy("range")
-    everything = over.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    edges = ends.select("range", F.coalesce(F.lag("end").over(over), F.last("end").over(everything)).alias("edge"))
-    # One row for each range: no more rows than shuffle partitions.
-    return inside.join(F.broadcast(edges), "range").select(
-        "key", F.coalesce("before", "edge.key").alias("before"), F.coalesce("half", F.floor(F.col("edge.n") / 2)).alias("half")
-    )
+def ranges(docs: DataFrame, id_col: str) -> list:
+    """The least ids, ascending, of RANGES ranges of about equally many ids for each shuffle partition; none for a table without ids."""
+    ids = docs.select(F.col(id_col).alias("id")).where("id is not null")
+    count = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1) * RANGES
+    least = ids.repartitionByRange(count, "id").groupBy(F.spark_partition_id()).agg(F.min("id").alias("id"))
+    return sorted(r["id"] for r in least.collect())
+
+
+def with_next(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, text, s, next) for each row: its signatures, and text and signatures of the next document in ascending id.
+
+    Rows are dealt out once, by ranges of ids, and each range also gets the first row of the one after it (the last range
+    that of the first). Inside a range the next document is what comes before in descending order."""
+    least = ranges(docs, id_col)
+    bounds = F.array(*map(F.lit, least[1:]))
+    at = F.size(F.filter(bounds, lambda x: x <= F.col("id"))) if len(least) > 1 else F.lit(0)
+    rows = docs.select(F.col(id_col).alias("id"), whole_text(text_col).alias("text"))
+    rows = rows.withColumn("range", F.when(F.col("id").isNull(), F.lit(max(len(least) - 1, 0))).otherwise(at))
+    kind = docs.schema[id_col].dataType
+    # One id for each range, so no more than RANGES for each shuffle partition. Without ids the first document is the least text.
+    if least:
+        heads = docs.sparkSession.createDataFrame([(x, (k - 1) % len(least)) for k, x in enumerate(least)], T.StructType([T.StructField("head", kind), T.StructField("to", T.IntegerType())]))
+        heads = rows.join(F.broadcast(heads), F.col("id") == F.col("head")).groupBy("id", "to").agg(F.min("text").alias("text"))
+    else:
+        heads = rows.groupBy("id", F.lit(0).alias("to")).agg(F.min("text").alias("text"))
+    extra = heads.select("id", "text", F.col("to").alias("range"), F.lit(True).alias("extra"))
+    count = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    dealt = with_signatures(rows.withColumn("extra", F.lit(False)).unionByName(extra).repartition(count, "range"), "text", "s")
+    w = Window.partitionBy("range").orderBy(F.desc("extra"), F.desc_nulls_first("id"), F.desc("text"))
+    stands = F.col("extra") | F.lead("extra").over(w).isNull() | ~F.lead("id").over(w).eqNullSafe(F.col("id"))
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    chained = dealt.withColumn("stands", stands).withColumn("next", F.last(F.when(F.col("stands"), F.struct("text", "s")), ignorenulls=True).over(before))
+    return chained.where(~F.col("extra")).select("id", "text", "s", "next")
 
 
 def fingerprinted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -126,23 +142,15 @@ def fingerprinted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     The edited text has the last floor(n/2) code points replaced by the first as many of the next document in
     ascending id, after the last the first. A null text is the empty text: no signatures, likeness 1 to another
     empty text and 0 to others. Of rows that share an id, the one with the smallest text stands for the id as a
-    next document, and each keeps its own row. A null id comes last. Only id and text are read.
+    next document, and each keeps its own row. Null ids are one id that comes last. Ids may be of any type that
+    has an order. Only id and text are read.
     """
-    key = F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1))
-    # Both sides of the join below read these two columns alone, so they share one shuffle of the texts.
-    base = docs.select(key.alias("key"), whole_text(text_col).alias("text"))
-    near = durable(neighbours(docs, id_col, text_col))
-    ahead = base.select("key", "text").join(near, "key")
-    if base.groupBy("key").count().where("count > 1").limit(1).count():
-        ahead = ahead.withColumn("_first", F.row_number().over(Window.partitionBy("key").orderBy("text"))).where("_first = 1")
-    ahead = with_signatures(ahead, "text", "next_sigs").select(F.col("before").alias("key"), F.substring(F.col("text"), F.lit(1), F.col("half").cast("int")).alias("head"), "next_sigs")
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
-    edited = F.concat(F.substring(F.col("text"), F.lit(1), n - half), F.substring(F.col("head"), F.lit(1), half))
-    rows = base.join(ahead, "key").select("key", n.cast("long").alias("n_chars"), "text", edited.alias("edited"), "next_sigs")
-    rows = with_signatures(with_signatures(rows, "text", "s"), "edited", "e")
-    return rows.select(
-        F.nullif("key", F.lit((1 << 63) - 1)).cast(docs.schema[id_col].dataType).alias(id_col), "n_chars", F.sha2("edited", 256).alias("edited_sha256"), as_text(F.col("s")).alias("fingerprint"), as_text(F.col("e")).alias("edited_fingerprint"),
+    edited = F.concat(F.substring(F.col("text"), F.lit(1), n - half), F.substring(F.col("next.text"), F.lit(1), half))
+    rows = with_next(docs, id_col, text_col).select("id", n.cast("long").alias("n_chars"), "s", F.col("next.s").alias("next_sigs"), edited.alias("edited"))
+    return with_signatures(rows, "edited", "e").select(
+        F.col("id").alias(id_col), "n_chars", F.sha2("edited", 256).alias("edited_sha256"), as_text(F.col("s")).alias("fingerprint"), as_text(F.col("e")).alias("edited_fingerprint"),
         likeness(F.col("s"), F.col("e")).alias("near_edited"), likeness(F.col("s"), F.col("next_sigs")).alias("near_next"), length_class(F.col("s")).alias("length_class"),
     )
 

@@ -317,6 +317,40 @@ def test_language_model_is_normalised_over_all_words():
     assert layout.numbers == m.CLASSES + len(words) and (10**logs).sum() == pytest.approx(1, abs=1e-4)
 
 
+def test_language_model_scores_like_a_plain_loop():
+    """Batched log probabilities against softmaxes written out, one token at a time."""
+    m, r = language_model, np.random.default_rng(5)
+    words = np.arange(1000, 1400).astype(np.uint64)
+    bucket = np.sort(r.integers(0, m.BUCKETS, len(words)))
+    layout = m.Layout(np.arange(m.WORD_CLASSES).astype(np.uint64), np.full(m.WORD_CLASSES, 90), words, bucket, np.full(len(words), 20), 50, np.full(m.BUCKETS, 7.0))
+    p = layout.matrix()
+    p += r.normal(0, 0.3, p.shape).astype(np.float32)
+    context, out, bias = m.unpacked(p, layout.numbers)
+    rows = r.integers(0, layout.numbers, (3, 300)).astype(np.int32)
+    got = m.log_probabilities(np.stack((layout.cls[rows[0]], rows[1], rows[2])), context, out, bias) + m.log_inside(layout, rows, context, out, bias)
+
+    def log_softmax(hidden, first, last, chosen):
+        s = [float(hidden @ out[k] + bias[k]) for k in range(first, last)]
+        return s[chosen - first] - math.log(sum(math.exp(v) for v in s))
+
+    for k, (target, one, two) in enumerate(rows.T):
+        hidden = (context[0][one] + context[1][two]).astype(np.float64)
+        want = log_softmax(hidden, 0, m.CLASSES, layout.cls[target])
+        if target > m.WORD_CLASSES:
+            b = layout.cls[target] - m.WORD_CLASSES - 1
+            want += log_softmax(hidden, layout.nodes[b], layout.nodes[b + 1], layout.node[target])
+        if target >= m.CLASSES:
+            parent = layout.node[target]
+            want += log_softmax(hidden, layout.group_first[parent] + layout.first_word, layout.group_last[parent] + layout.first_word, target - m.CLASSES + layout.first_word)
+        assert got[k] == pytest.approx(want / math.log(10), abs=1e-4)
+
+
+def test_language_model_learns(spark):
+    """Held-out text is likelier than under the counts alone."""
+    out = language_model.scored(documents(spark, "/root/testdata/sf0.01")).where("held_out").selectExpr("sum(score) / sum(n_tokens) AS s", "sum(base_score) / sum(n_tokens) AS b").first()
+    assert out["s"] > out["b"] + 0.05
+
+
 def test_fingerprints(docs, rows):
     got = by_id(fingerprints.fingerprinted(docs))
     by_text = {}
@@ -334,6 +368,35 @@ def test_fingerprints(docs, rows):
     assert len(the_river) == 1
 
 
+def test_fingerprints_next_document(spark, docs, odd_ids):
+    """The next document's likeness against the signature sets themselves; ids as text, null ids, one id alone."""
+    def sets(f):
+        return {f[j : j + 16] for j in range(0, len(f), 16)}
+
+    for frame in (docs, docs.withColumn("doc_id", docs["doc_id"].cast("string")), odd_ids, docs.where("doc_id = 63"), docs.where("false").unionByName(odd_ids.where("doc_id is null"))):
+        order = sorted(frame.collect(), key=lambda r: (r["doc_id"] is None, r["doc_id"] or "" if isinstance(r["doc_id"], str) else r["doc_id"] or 0, r["text"] or ""))
+        print_of = {}
+        got = fingerprints.fingerprinted(frame).collect()
+        text_of = defaultdict(list)
+        for r in order:
+            text_of[r["doc_id"]].append(r["text"] or "")
+        ids = list(text_of)
+        for g in got:
+            for t in text_of[g["doc_id"]]:
+                if len(text_of[g["doc_id"]]) == 1 or len(set(text_of[g["doc_id"]])) == 1:
+                    print_of[t] = g["fingerprint"]
+        assert len(got) == len(order)
+        for g in got:
+            if len(set(text_of[g["doc_id"]])) > 1:
+                continue
+            t, after = text_of[g["doc_id"]][0], text_of[ids[(ids.index(g["doc_id"]) + 1) % len(ids)]][0]
+            half = len(t) // 2
+            assert g["edited_sha256"] == hashlib.sha256((t[: len(t) - half] + after[:half]).encode()).hexdigest()
+            if after in print_of:
+                a, b = sets(g["fingerprint"]), sets(print_of[after])
+                assert g["near_next"] == pytest.approx(len(a & b) / len(a | b) if a | b else 1.0)
+
+
 def test_fingerprint_pairs(spark):
     r = np.random.default_rng(3)
     sets = [sorted(r.choice(10**6, n, replace=False).tolist()) for n in (1, 3, 4, 5, 9, 20, 50)]
