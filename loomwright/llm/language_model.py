@@ -67,9 +67,12 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     size = 0
 
     def rows() -> pa.RecordBatch:
-        h, first, which = np.unique(np.concatenate([x for x, _ in held]), return_index=True, return_inverse=True)
-        bucket = np.concatenate([x for _, x in held])[first]
-        return pa.record_batch([pa.array(h.view(np.int64)), pa.array(bucket), pa.array(np.bincount(which, minlength=len(h)).astype(np.int64))], ["h", "bucket", "c"])
+        h = np.concatenate([x for x, _ in held])
+        order = np.argsort(h)
+        h = h[order]
+        first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
+        bucket = np.concatenate([x for _, x in held])[order[first]]
+        return pa.record_batch([pa.array(h[first].view(np.int64)), pa.array(bucket), pa.array(np.diff(np.append(first, len(h))))], ["h", "bucket", "c"])
 
     for b in batches:
         for t in tokens(b.column(0)):
@@ -169,63 +172,67 @@ class Trainer:
     width falls with its gradients so far."""
 
     def __init__(self, layout: Layout):
-        self.layout, self.p = layout, layout.matrix()
+        self.layout, start = layout, layout.matrix()
         self.begin = CONTEXT * layout.numbers
-        self.past = np.full(len(self.p), PAST, np.float32)
-        self.touched = np.zeros(len(self.p), np.int32)
+        #: Behind a row's vector and bias: the squared gradients so far and the touches.
+        self.rows = np.concatenate((start, np.full((len(start), 1), PAST, np.float32), np.zeros((len(start), 1), np.float32)), 1)
+        self.p = self.rows[:, : WIDTH + 1]
         self.cumulated = [np.cumsum(x) for x in layout.priors]
         self.log_noise = [(np.log(x) + math.log(NOISE)).astype(np.float32) for x in layout.priors]
         self.draw = np.random.Generator(np.random.PCG64(SEED))
 
     def contrast(self, k: int, offset: int, chosen: np.ndarray, hidden: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of step k of the prediction: the gradient of hidden, and output rows with their gradients."""
+        """Of step k of the prediction, from hidden vectors with a 1 behind them: the gradient of hidden, and output rows with their gradients."""
         log_noise = self.log_noise[k]
         noise = np.minimum(np.searchsorted(self.cumulated[k], self.draw.random(NOISE)), len(log_noise) - 1)
-        goal, other = self.p[self.begin + offset + chosen], self.p[self.begin + offset + noise]
-        real = np.einsum("ij,ij->i", hidden, goal[:, :WIDTH]) + goal[:, WIDTH] - log_noise[chosen]
-        down = hidden @ other[:, :WIDTH].T
-        down += other[:, WIDTH] - log_noise[noise]
+        goal, other = (self.rows.take(self.begin + offset + x, 0)[:, : WIDTH + 1] for x in (chosen, noise))
+        goal[:, WIDTH] -= log_noise[chosen]
+        against = -other
+        against[:, WIDTH] += log_noise[noise]
         with np.errstate(over="ignore"):  # beyond the range of exp the shares are 0
-            up = 1 / (1 + np.exp(real))
-            np.exp(np.negative(down, out=down), out=down)
+            up = 1 / (1 + np.exp(np.einsum("ij,ij->i", hidden, goal)))
+            down = hidden @ against.T
+            np.exp(down, out=down)
         down += 1
         np.divide(-1, down, out=down)
         grad = np.empty((len(chosen) + NOISE, WIDTH + 1), np.float32)
-        np.multiply(up[:, None], hidden, out=grad[: len(chosen), :WIDTH])
-        grad[: len(chosen), WIDTH] = up
-        grad[len(chosen) :, :WIDTH] = down.T @ hidden
-        grad[len(chosen) :, WIDTH] = down.sum(0)
-        back = down @ other[:, :WIDTH]
-        back += up[:, None] * goal[:, :WIDTH]
-        return back, self.begin + offset + np.concatenate((chosen, noise)), grad
+        np.multiply(up[:, None], hidden, out=grad[: len(chosen)])
+        np.matmul(down.T, hidden, out=grad[len(chosen) :])
+        goal *= up[:, None]
+        goal += down @ other
+        return goal, self.begin + offset + np.concatenate((chosen, noise)), grad
 
     def step(self, target: np.ndarray, one: np.ndarray, two: np.ndarray) -> None:
         of = self.layout
-        hidden = self.p[one, :WIDTH] + self.p[of.numbers + two, :WIDTH]
+        hidden = self.rows.take(one, 0)[:, : WIDTH + 1]
+        hidden += self.rows.take(of.numbers + two, 0)[:, : WIDTH + 1]
+        hidden[:, WIDTH] = 1
         back, r, g = self.contrast(0, 0, of.cls[target], hidden)
         rows, grads = [r], [g]
         inside, known = np.flatnonzero(target > WORD_CLASSES), np.flatnonzero(target >= CLASSES)
         for k, offset, at, chosen in ((1, CLASSES, inside, of.node[target[inside]] - CLASSES), (2, of.first_word, known, target[known] - CLASSES)):
             if len(at):
-                more, r, g = self.contrast(k, offset, chosen, hidden[at])
+                more, r, g = self.contrast(k, offset, chosen, hidden.take(at, 0))
                 back[at] += more
                 rows.append(r)
                 grads.append(g)
-        context = np.zeros((len(back), WIDTH + 1), np.float32)
-        context[:, :WIDTH] = back
+        back[:, WIDTH] = 0  # context rows have no bias
         for part in (one, of.numbers + two):
-            self.add(part, context)
+            self.add(part, back)
         self.add(np.concatenate(rows), np.concatenate(grads))
 
     def add(self, rows: np.ndarray, grads: np.ndarray) -> None:
         order = np.argsort(rows)
         r = rows[order]
         starts = np.flatnonzero(np.concatenate(([True], r[1:] != r[:-1])))
-        g = np.add.reduceat(grads[order], starts, axis=0)
+        g = np.add.reduceat(grads.take(order, 0), starts, axis=0)
         u = r[starts]
-        self.touched[u] += np.diff(np.append(starts, len(r))).astype(np.int32)
-        self.past[u] += np.einsum("ij,ij->i", g, g) / WIDTH
-        self.p[u] += (RATE / np.sqrt(self.past[u]))[:, None] * g
+        now = self.rows.take(u, 0)
+        now[:, WIDTH + 1] += np.einsum("ij,ij->i", g, g) / WIDTH
+        now[:, WIDTH + 2] += np.diff(np.append(starts, len(r)))
+        g *= (RATE / np.sqrt(now[:, WIDTH + 1]))[:, None]
+        now[:, : WIDTH + 1] += g
+        self.rows[u] = now
 
 
 def _train(name: str):
@@ -245,11 +252,12 @@ def _train(name: str):
         if rest.shape[1]:
             trainer.step(*rest)
         if trainer is not None:
-            at = np.flatnonzero(trainer.touched)
+            touched = trainer.rows[:, WIDTH + 2]
+            at = np.flatnonzero(touched)
             for i in range(0, len(at), 1 << 14):
                 u = at[i : i + (1 << 14)]
                 half = trainer.p[u].astype(np.float16)
-                yield pa.record_batch([pa.array(u), pa.array(trainer.touched[u].astype(np.int64)), _binary(half)], ["i", "w", "v"])
+                yield pa.record_batch([pa.array(u), pa.array(touched[u].astype(np.int64)), _binary(half)], ["i", "w", "v"])
 
     return run
 
@@ -299,10 +307,11 @@ def _score(m: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         layout = Layout.opened(m.layout_file)
         table = Table.build(layout.keys)
-        raw = np.asarray(np.memmap(local_file(m.held_file), np.uint8, "r"))
-        size = int.from_bytes(raw[:8].tobytes(), "little")
-        held_h, held_c = raw[8 : 8 + 8 * size].view(U64), raw[8 + 8 * size :].view(np.int64)
-        context, out, bias = unpacked(np.memmap(local_file(m.p_file), np.float32, "r").reshape(-1, WIDTH + 1), layout.numbers)
+        # Slots of a hash table, and the count at each.
+        held_slots, held_counts = np.asarray(np.memmap(local_file(m.held_file), np.int64, "r")).reshape(2, -1)
+        held = Table(held_slots.view(U64), held_counts)
+        context, out, bias = unpacked(np.asarray(np.memmap(local_file(m.p_file), np.float32, "r")).reshape(-1, WIDTH + 1), layout.numbers)
+        context, out, bias = tuple(map(np.ascontiguousarray, context)), np.ascontiguousarray(out), np.ascontiguousarray(bias)
         uid = TaskContext.get().partitionId() << 33
         log_end = math.log10(m.ends + SMOOTH)
         for b in batches:
@@ -312,9 +321,9 @@ def _score(m: Model):
                 logs = log_probabilities(np.stack((layout.cls[rows[0]], rows[1], rows[2])), context, out, bias)
                 logs += log_inside(layout, rows, context, out, bias)
                 # Counts of the words that every task holds; others are left to the join.
-                at = np.minimum(np.searchsorted(held_h, t.hashes), max(size - 1, 0))
-                known = (held_h[at] == t.hashes) if size else np.zeros(len(at), bool)
-                counts = np.log10(np.where(known, held_c[at] if size else 0, 1) + SMOOTH) * known
+                found = held.find(t.hashes)
+                known = found >= 0
+                counts = np.log10(np.maximum(found, 1) + SMOOTH) * known
                 other = (number > WORD_CLASSES) & (number < CLASSES)
                 places = t.before
                 count_sum = sums(counts, places)
@@ -342,44 +351,51 @@ def sums(values: np.ndarray, places: np.ndarray) -> np.ndarray:
     return out
 
 
-def log_probabilities(rows: np.ndarray, context: np.ndarray, out: np.ndarray, bias: np.ndarray, block: int = 1 << 13) -> np.ndarray:
+def log_softmax(hidden: np.ndarray, out: np.ndarray, bias: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """Of each row of hidden the logarithm of its chosen output's share among all outputs."""
+    s = hidden @ out.T
+    s += bias
+    top = max(float(s.max(initial=0)) - 60, 0)  # exp of float32 ends at 88
+    if top:
+        s -= top
+    got = s[np.arange(len(s)), chosen]
+    return got - np.log(np.exp(s, out=s) @ np.ones(len(bias), np.float32))
+
+
+def log_probabilities(rows: np.ndarray, context: np.ndarray, out: np.ndarray, bias: np.ndarray, block: int = 1 << 10) -> np.ndarray:
     """log10 of each token's class after its context, normalised over all classes."""
     target, one, two = rows
-    size = len(context[0])
     out, bias = np.ascontiguousarray(out[:CLASSES]), bias[:CLASSES]
-    pair = one.astype(np.int64) * size + two
-    seen, which = np.unique(pair, return_inverse=True)
-    hidden = context[0][seen // size] + context[1][seen % size]
-    norm = np.empty(len(seen))
-    for i in range(0, len(seen), block):
-        s = hidden[i : i + block] @ out.T + bias
-        top = s.max(1)
-        norm[i : i + block] = top + np.log(np.exp(s - top[:, None]).sum(1, dtype=np.float64))
     result = np.empty(len(target))
-    for i in range(0, len(target), 1 << 17):
-        w, t = which[i : i + (1 << 17)], target[i : i + (1 << 17)]
-        result[i : i + (1 << 17)] = np.einsum("ij,ij->i", hidden[w], out[t]) + bias[t] - norm[w]
+    for i in range(0, len(target), block):
+        hidden = context[0].take(one[i : i + block], 0)
+        hidden += context[1].take(two[i : i + block], 0)
+        result[i : i + block] = log_softmax(hidden, out, bias, target[i : i + block])
     return result / math.log(10)
 
 
-def log_inside(layout: Layout, rows: np.ndarray, context: tuple[np.ndarray, ...], out: np.ndarray, bias: np.ndarray, block: int = 1 << 13) -> np.ndarray:
+def log_inside(layout: Layout, rows: np.ndarray, context: tuple[np.ndarray, ...], out: np.ndarray, bias: np.ndarray, block: int = 1 << 10) -> np.ndarray:
     """log10 of each token's group or rest in its bucket, and of its word in the group, normalised over their neighbours."""
     target, one, two = rows
     result = np.zeros(len(target))
 
     def chosen(at: np.ndarray, parent: np.ndarray, choice: np.ndarray, first: np.ndarray, last: np.ndarray) -> None:
         """Adds to the tokens at: the choice of each among the output rows from first to last of its parent."""
-        order = np.argsort(parent, kind="stable")
-        bounds = np.flatnonzero(np.diff(parent[order], prepend=-1, append=-1))
-        for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-            p = parent[order[a]]
-            v, c = out[first[p] : last[p]].T, bias[first[p] : last[p]]
-            for i in range(a, b, block):
-                o = order[i : min(i + block, b)]
-                t = at[o]
-                s = (context[0][one[t]] + context[1][two[t]]) @ v + c
-                top = s.max(1)
-                result[t] += s[np.arange(len(t)), choice[o] - first[p]] - top - np.log(np.exp(s - top[:, None]).sum(1, dtype=np.float64))
+        order = np.argsort(parent)
+        at, parent, choice = at[order], parent[order], choice[order]
+        begins = np.flatnonzero(np.diff(parent, prepend=-1, append=-1))
+        logs = np.empty(len(at))
+        for k in range(0, len(at), 1 << 16):  # bounds the hidden vectors held at once
+            hidden = context[0].take(one[at[k : k + (1 << 16)]], 0)
+            hidden += context[1].take(two[at[k : k + (1 << 16)]], 0)
+            to = k + len(hidden)
+            cuts = [k, *begins[np.searchsorted(begins, k, "right") : np.searchsorted(begins, to, "left")].tolist(), to]
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                f, e = first[parent[a]], last[parent[a]]
+                for i in range(a, b, block):
+                    j = min(i + block, b)
+                    logs[i:j] = log_softmax(hidden[i - k : j - k], out[f:e], bias[f:e], choice[i:j] - f)
+        result[at] += logs
 
     at = np.flatnonzero(target > WORD_CLASSES)
     chosen(at, layout.cls[target[at]] - WORD_CLASSES - 1, layout.node[target[at]], layout.nodes[:-1], layout.nodes[1:])
@@ -461,12 +477,10 @@ def _count_above(counts: DataFrame, most: int) -> int:
 
 
 def _held(counts: DataFrame) -> bytes:
-    """The counts of the most frequent words, at most HELD, sorted by hash: all words above the count that fits."""
-    least = _count_above(counts, HELD)
-    got = counts.where(F.col("c") >= F.lit(least)).select("h", "c").toArrow()
-    h, c = got.column("h").to_numpy().view(U64), got.column("c").to_numpy()
-    order = np.argsort(h)
-    return len(h).to_bytes(8, "little") + h[order].tobytes() + c[order].astype(np.int64).tobytes()
+    """The counts of the most frequent words, at most HELD (all words above the count that fits), as a hash table: its slots, then the count at each."""
+    got = counts.where(F.col("c") >= F.lit(_count_above(counts, HELD))).select("h", "c").toArrow()
+    table = Table.build(got.column("h").to_numpy().view(U64), 2)
+    return table.slots.tobytes() + np.append(got.column("c").to_numpy(), 0)[table.rows].astype(np.int64).tobytes()
 
 
 def op2_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
