@@ -2,7 +2,9 @@
 
 Native: DataFrame functions only. Plan: one shuffle of the texts, keyed by (hash, bytes) and combined
 on the map side, so a text that fills a third of the rows travels once per map task; then a join of
-narrow rows (ids and hashes) that AQE can split at a hot hash.
+narrow rows (ids and hashes) that AQE can split at a hot hash. Where a hash has one text, as a group-by
+of the bytes has shown, its rows have that text; only rows of a hash with several texts meet them again
+byte by byte.
 """
 
 from __future__ import annotations
@@ -10,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .support import SPACE, documents, whole_text
+from .support import SPACE, documents, durable, whole_text
 
 
 def content_hash(text: Column) -> Column:
@@ -28,35 +30,35 @@ def decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", h
 
     Texts are equal when their bytes are, after white space is deleted; a hash that different texts
     share gives as many groups as texts. The row with the most code points in the original text stays,
-    then the smallest id (null ids last). Null and empty texts are one group. Rows that repeat the kept
-    id with the same text are all marked kept. Only id and text are read, so other columns may have any
-    name. An empty table gives no rows.
+    then the smallest id (null ids last; ids of any type that has an order). Null and empty texts are one
+    group. Rows that repeat the kept id with the same text are all marked kept. Only id and text are read,
+    so other columns may have any name. An empty table gives no rows.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.length(whole_text(text_col)).alias("n"), normalised(text_col).alias("norm"))
-    keyed = rows.withColumn("h", hash_of(F.col("norm")))
-    same_bytes = keyed.groupBy("h", "norm", "n").agg(F.count(F.lit(1)).alias("rows"), F.min("id").alias("first_id"))
-    groups = (
-        same_bytes.select("h", F.unhex(F.sha2("norm", 256)).alias("sha"), "n", "rows", "first_id")
-        .groupBy("h", "sha")
-        .agg(F.sum("rows").alias("group_size"), F.max_by("first_id", F.struct("n", F.col("first_id").isNotNull(), -F.col("first_id"))).alias("keep_id"))
-    )
-    narrow = keyed.select("id", "h", F.unhex(F.sha2("norm", 256)).alias("sha"))
-    return narrow.join(groups, ["h", "sha"]).select(
-        F.col("id").alias(id_col), "keep_id", F.col("group_size").cast("long").alias("group_size"),
-        F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"),
-    )
-
-
-def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs without the rows that decisions() drops; repeated rows of a kept id leave one row."""
-    kept = decisions(docs, id_col, text_col).where("kept").select(F.col(id_col).alias("_kept_id"), F.col("text_sha256").alias("_kept_sha")).distinct()
-    sha = F.sha2(normalised(docs[text_col]), 256)
-    marked = docs.withColumn("_sha", sha)
-    return (
-        marked.join(kept, marked[id_col].eqNullSafe(F.col("_kept_id")) & (F.col("_sha") == F.col("_kept_sha")), "left_semi")
-        .dropDuplicates([id_col, "_sha"])
-        .drop("_sha")
-    )
+    keyed = docs.select(F.col(id_col).alias("id"), F.length(whole_text(text_col)).alias("n"), normalised(text_col).alias("norm")).withColumn("h", hash_of(F.col("norm")))
+    best = F.min(F.struct((-F.col("n")).alias("n"), F.col("id").isNull().alias("none"), F.col("id").alias("id")))
+
+    def grouped(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("h", "norm").agg(F.count(F.lit(1)).alias("group_size"), best.alias("best"))
+
+    found = grouped(keyed).select("h", F.sha2("norm", 256).alias("text_sha256"), "group_size", F.col("best.id").alias("keep_id"))
+    narrow = found.groupBy("h").agg(F.count(F.lit(1)).alias("texts"), *(F.first(c).alias(c) for c in ("text_sha256", "group_size", "keep_id")))
+    narrow = durable(narrow)
+    out = keyed.select("id", "h").join(narrow.where("texts = 1"), "h")
+    clashing = narrow.where("texts > 1").select("h")
+    if clashing.limit(1).count():
+        again = keyed.join(clashing, "h", "left_semi")
+        apart = grouped(again).select("h", "norm", F.sha2("norm", 256).alias("text_sha256"), "group_size", F.col("best.id").alias("keep_id"))
+        out = out.select("id", "text_sha256", "group_size", "keep_id").unionByName(again.join(apart, ["h", "norm"]).select("id", "text_sha256", "group_size", "keep_id"))
+    return out.select(F.col("id").alias(id_col), "keep_id", F.col("group_size").cast("long").alias("group_size"), F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
+
+
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hash_of=content_hash) -> DataFrame:
+    """docs without the rows that decisions() drops; repeated rows of a kept id leave one row. Columns may have any name."""
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    text, key = F.col("row").getField(text_col), F.col("row").getField(id_col)
+    keyed = rows.withColumn("norm", normalised(text)).withColumn("h", hash_of(F.col("norm")))
+    place = F.struct(-F.length(whole_text(text)), key.isNull(), key, text)
+    return keyed.groupBy("h", "norm").agg(F.min_by("row", place).alias("row")).select("row.*")
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
