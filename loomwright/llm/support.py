@@ -27,18 +27,31 @@ def whole_text(column: str | Column = "text") -> Column:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share: spark.checkpoint.dir of the session.
 
-    Only where that is unset, as in tests on one machine, a local folder is set.
+    Only where that is unset on one machine, as in tests, a local folder is set; on a cluster that is an error.
     """
     sc = spark.sparkContext
     base = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         current = sc._jsc.sc().getCheckpointDir()
+        if not current.isDefined() and not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("spark.checkpoint.dir is not set: on a cluster it has to name a folder that the driver and all executors share")
         base = current.get() if current.isDefined() else "file://" + tempfile.mkdtemp(prefix="loomwright-")
     if not sc._jsc.sc().getCheckpointDir().isDefined():
         sc.setCheckpointDir(base)
     return base.rstrip("/")
 
 
+def _own_dir(spark: SparkSession) -> str:
+    """The part of the shared folder that this application fills."""
+    return f"{shared_dir(spark)}/loomwright/{spark.sparkContext.applicationId}"
+
+
+def clean_up(spark: SparkSession) -> None:
+    """Remove the tables and files that this application has put into the shared folder. Results that are not yet read or written need them."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_own_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def durable(df: DataFrame) -> DataFrame:
     """The frame cut from its lineage, in the shared folder, so that lost executors cost nothing."""
     shared_dir(df.sparkSession)
@@ -48,7 +61,7 @@ def durable(df: DataFrame) -> DataFrame:
 def written(df: DataFrame, name: str) -> DataFrame:
     """As durable, but a compressed Parquet table with known size: for what is wide or read in part."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/loomwright/{uuid.uuid4().hex}/{name}"
+    path = f"{_own_dir(spark)}/{uuid.uuid4().hex}/{name}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -59,7 +72,7 @@ def publish(spark: SparkSession, data: bytes, stem: str) -> str:
     Returns the name for SparkFiles.get, also valid on executors that join later.
     """
     name = f"{stem}-{uuid.uuid4().hex}.bin"
-    uri = f"{shared_dir(spark)}/loomwright/{name}"
+    uri = f"{_own_dir(spark)}/{name}"
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(uri)
     out = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(path, True)

@@ -73,6 +73,19 @@ def test_exact_dedup_weak_hash_keeps_texts_apart(docs):
     assert {(r["doc_id"], r["keep_id"], r["group_size"]) for r in weak.collect()} == strong
 
 
+def test_exact_dedup_of_text_ids_and_any_column_names(docs, rows):
+    named = docs.withColumn("doc_id", docs["doc_id"].cast("string")).withColumnsRenamed({"h": "_sha", "id": "row", "n": "best"})
+    size = {r[0]: len(r[1] or "") for r in rows}
+    groups = defaultdict(set)
+    for r in rows:
+        groups[re.sub(r"[\x20\x09-\x0d]", "", r[1] or "")].add(r[0])
+    want = sorted(min(map(str, {j for j in g if size[j] == max(size[i] for i in g)})) for g in groups.values())
+    for hash_of in (exact_dedup.content_hash, lambda t: t.substr(1, 1)):
+        assert sorted({r["doc_id"] for r in exact_dedup.decisions(named, hash_of=hash_of).where("kept").collect()}) == want
+    left = exact_dedup.deduplicated(named)
+    assert left.columns == named.columns and sorted(r["doc_id"] for r in left.collect()) == want
+
+
 def test_ngram_join(docs, rows):
     sets = {}
     for r in rows:
@@ -147,6 +160,22 @@ def test_pieces_are_whole_and_safe():
     assert "".join(found) == text and len(found) > 10
 
 
+def test_pieces_of_any_script_keep_the_counts():
+    """Texts without ASCII or without spaces are cut too, and counts stay the library's; special tokens stay whole."""
+    import random
+
+    tok, r = library("byte_bpe_50k.json"), random.Random(6)
+    count, special = token_counts.counter(token_counts.default_vocabulary())
+    scripts = ["привет мир, ", "世界。你好、", "été déjà — ", "don't 12½ ", "a_b'll  x\n\n", "<|endoftext|>x", "שלום ", "नमस्ते, ", "e\u0301! "]
+    for _ in range(40):
+        text = "".join(r.choice(scripts) for _ in range(300))
+        found = list(token_counts.pieces(text, 50, special))
+        assert "".join(found) == text and max(map(len, found)) < 200
+        assert sum(count(found)) == len(tok.encode(text, add_special_tokens=False).ids)
+    for text in ("привет мир " * 3000, "世界。" * 5000):
+        assert len(list(token_counts.pieces(text, 1 << 12))) >= 4
+
+
 def test_bpe_round_trip_and_lexicon(docs, rows):
     tok = library("word_bpe_49k.json")
     want = {r[0]: tok.encode(r[1] or "", add_special_tokens=False).ids for r in rows}
@@ -274,6 +303,15 @@ def test_mixing_many_sources(spark, large):
     assert all(abs(taken[s] - target[s]) <= large for s in target) and sum(taken.values()) <= 1.5 * total
 
 
+def test_mixing_a_source_for_each_document(spark):
+    data = [(k, "w " * (1 + k % 7), f"s{k:05}" if k else None) for k in range(900)]
+    got = mixing.mixture(spark.createDataFrame(data, "doc_id long, text string, source string").repartition(4)).collect()
+    size = {g["source"] or "~": g["size"] for g in got}
+    want = water_filled(size, mixing.Mix())
+    assert {g["source"] or "~": g["target"] for g in got} == pytest.approx(want)
+    assert sum(g["taken"] for g in got) <= 1.5 * sum(size.values()) < sum(g["taken"] for g in got) + 8
+
+
 def test_language_model(docs, rows):
     kept = [[*words(r[1]), None] for r in rows if zlib.crc32(str(r[0]).encode()) % 10]
     c = Counter(w for t in kept for w in t)
