@@ -13,6 +13,11 @@ def text_of(c: Column | str) -> Column:
     return F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(""))
 
 
+def let(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f of a value that is computed once, also where f uses it several times or inside a lambda over an array."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def ordered_case(rules: Sequence[tuple[Column, str]], default: str | None) -> Column:
     """The label of the first condition that holds."""
     first, *rest = rules

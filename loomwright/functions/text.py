@@ -149,3 +149,134 @@ def key_values(c: Column, keys: tuple[str, ...]) -> Column:
     pairs = F.transform(F.reverse(lines), lambda x: F.struct(F.regexp_extract(x, pattern, 1).alias("k"), F.trim(F.regexp_extract(x, pattern, 2)).alias("v")))
     once = F.reduce(pairs, F.array().cast("array<struct<k:string,v:string>>"), lambda acc, p: F.when(F.exists(acc, lambda a: a["k"] == p["k"]), acc).otherwise(F.array_append(acc, p)))
     return F.map_from_entries(once)
+
+
+# Sections of a register header and their titles, sign-offs, and prefixes of talk without signal.
+IRQ_ENUM = r"(?s)(typedef\s+enum\s*\{[^}]*IRQn[^}]*\}[^;]*;)"
+REGISTER_STRUCT = r"(?s)(typedef\s+struct\s*\{[^}]{10,2000}\}\s*\w+_TypeDef\s*;)"
+BASE_ADDRESS = r"^#define\s+(\w+_BASE|PERIPH_BASE)\s+"
+IRQ_TITLE, BASE_TITLE, STRUCT_TITLE = "/* ===== Interrupt Number Definition ===== */", "\n/* ===== Peripheral Base Addresses ===== */", "\n/* ===== Peripheral Register Structures ===== */"
+SIGN_OFFS = ("with regards,", "best regards,", "regards,", "thanks,")
+TALK = ("hi @", "hello @", "thank you", "thanks", "best regards", "with regards", "st internal reference")
+METADATA_TAGS = ("name", "version", "description", "license", "url", "PackName", "PackVersion")
+
+
+def register_header(c: Column) -> Column:
+    """Of a device's register header the interrupt numbers, base addresses and register structures, under a summary; else its first 5000 characters."""
+    code = text_of(c)
+    irq = F.regexp_extract(code, IRQ_ENUM, 1)
+    bases = F.filter(F.transform(F.split(code, "\n"), strip), lambda x: x.rlike(BASE_ADDRESS))
+    structs = F.regexp_extract_all(code, F.lit(REGISTER_STRUCT), F.lit(1))
+    defines = F.regexp_count(code, F.lit("#define"))
+    number = lambda n: F.format_number(n, 0)
+    summary = F.concat(
+        F.lit("/* CMSIS Device Header — Filtered for RAG relevance */\n/* Original: "), number(F.length(code)), F.lit(" chars, "), number(defines), F.lit(" #defines */\n/* Kept: IRQ enum, "),
+        F.size(bases).cast("string"), F.lit(" base addresses, "), F.size(structs).cast("string"), F.lit(" peripheral structs */\n/* Full file: see GitHub link for complete register map */\n"),
+    )
+    sections = F.array_compact(F.concat(
+        F.when(irq != "", F.array(F.lit(IRQ_TITLE), irq)).otherwise(F.array().cast("array<string>")),
+        F.when(F.size(bases) > 0, F.array(F.lit(BASE_TITLE), F.array_join(bases, "\n"))).otherwise(F.array().cast("array<string>")),
+        F.when(F.size(structs) > 0, F.concat(F.array(F.lit(STRUCT_TITLE)), structs)).otherwise(F.array().cast("array<string>")),
+    ))
+    return F.concat(summary, F.when(F.size(sections) > 0, F.array_join(sections, "\n\n")).otherwise(F.substring(code, 1, 5000)))
+
+
+def clean_by_type(c: Column, kind: Column, path: Column) -> Column:
+    """The cleaning that a file's type, ending and size ask for; an empty text stays empty."""
+    from loomwright.functions.paths import is_register_header, suffix
+
+    end, text = suffix(path), text_of(c)
+    sources = ("driver_source", "hal_driver_source", "bsp_board_source", "middleware_source", "cmsis_source", "bsp_component_source", "utilities_content")
+    code = end.isin(".c", ".h", ".hpp", ".hh", ".s", ".asm")
+    return (
+        F.when(text == "", "")
+        .when((kind == "release_notes") & end.isin(".html", ".htm"), strip_html(text))
+        .when(kind.isin("root_readme", "project_readme", "doc_readme"), clean_markdown(text))
+        .when(kind.isin(*sources) & code & is_register_header(path, F.length(text)), register_header(text))
+        .when(kind.isin(*sources) & code, clean_source_code(text))
+        .when(kind.isin(*sources, "release_notes") & end.isin(".md", ".txt"), clean_markdown(text))
+        .when((kind == "repo_metadata") & (end == ".xml"), xml_metadata(text, METADATA_TAGS))
+        .when((kind == "repo_metadata") & (end == ".json"), json_metadata(text))
+        .when((kind == "repo_metadata") & (end == ".md"), clean_markdown(text))
+        .when(kind == "documentation_pdf", strip(F.regexp_replace(text, r"\n{3,}", "\n\n")))
+        .otherwise(strip(text))
+    )
+
+
+def without_noisy_lines(c: Column) -> Column:
+    """Comments without the lines `[author - date` and without sign-offs."""
+    kept = F.filter(F.split(text_of(c), "\r\n|\n|\r"), lambda x: ~strip(x).rlike(r"^\[[A-Za-z0-9_-]+\s-\s\d{4}-\d{2}-\d{2}T") & ~F.lower(strip(x)).isin(*SIGN_OFFS))
+    return strip(F.array_join(kept, "\n"))
+
+
+def compact_comments(c: Column, most: int) -> Column:
+    """Comments without noisy lines, blank lines single, at most so many characters."""
+    return strip(F.substring(strip(F.regexp_replace(without_noisy_lines(c), r"\n{3,}", "\n\n")), 1, most))
+
+
+def is_talk(c: Column) -> Column:
+    """A greeting, thanks or nothing at all: no signal."""
+    t = F.lower(normalize_whitespace(c))
+    return (t == "") | t.rlike(f"^({'|'.join(TALK)})")
+
+
+def signal_sentence(c: Column, most: int = 260) -> Column:
+    """The first sentence, or nothing if it is talk."""
+    s = first_sentence(c, most)
+    return F.when(is_talk(s), "").otherwise(s)
+
+
+def request_body(c: Column, most: int = 1500) -> Column:
+    """A request's text for a card: images marked, blank lines single, cut at a space."""
+    t = F.regexp_replace(F.regexp_replace(strip(text_of(c)), r"!\[[^\]]*\]\([^)]+\)", "[IMAGE ATTACHED]"), r"(?i)<img\b[^>]*>", "[IMAGE ATTACHED]")
+    return cut_at_space(F.regexp_replace(t, r"\n{3,}", "\n\n"), most)
+
+
+def clean_context(c: Column) -> Column:
+    """A context without what image analysis has added to it."""
+    t = F.substring_index(text_of(c), "\n\nImage-derived context:", 1)
+    return normalize_whitespace(F.regexp_replace(t, r"(?i)\[IMAGE (DESCRIPTION|TEXT)\]", " "))
+
+
+def technical_body(c: Column) -> Column:
+    """What follows the `Technical details:` line of a card; the whole text without one."""
+    t = text_of(c)
+    mark = "\nTechnical details:\n"
+    at = F.when(F.instr(t, "\n" + mark) > 0, F.instr(t, "\n" + mark) + 1).otherwise(F.instr(t, mark))
+    return strip(F.when(at > 0, F.substring(t, at + len(mark), F.length(t))).otherwise(t))
+
+
+def unescaped_url(base: str, repo: Column, path: Column) -> Column:
+    """A file's address with the path as it is; null without a path."""
+    p = F.regexp_replace(F.replace(text_of(path), F.lit("\\"), F.lit("/")), "^/+", "")
+    return F.when(p != "", F.concat(F.lit(base), repo, F.lit("/blob/master/"), p))
+
+
+def json_escaped(c: Column) -> Column:
+    """A text as it stands inside a JSON string."""
+    out = F.replace(text_of(c), F.lit("\\"), F.lit("\\\\"))
+    for char, code in (('"', '\\"'), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
+        out = F.replace(out, F.lit(char), F.lit(code))
+    return out
+
+
+def access_token(*fields: Column) -> Column:
+    """SHA-1 of the fields, joined by underscores, in lower-case hex."""
+    return F.sha1(F.concat_ws("_", *fields))
+
+
+def relaxed_pairs(c: Column) -> Column:
+    """map of an object whose quotes a shell has eaten: `{a:b,c:d}`, keys up to the first colon, values to the next `,key:`.
+
+    null where there are no braces. Values that are base64 of such an object are given by `decoded_pairs`."""
+    t = F.regexp_replace(F.trim(F.regexp_replace(F.trim(text_of(c)), r"""^["'](.*)["']$""", "$1")), "^@", "")
+    inner = F.regexp_extract(F.trim(t), r"(?s)^\{(.*)\}$", 1)
+    bare = r"""^["'\s]+|["'\s]+$"""
+    items = F.filter(F.split(inner, r""",(?=\s*["']?[A-Za-z_][A-Za-z0-9_]*["']?\s*:)"""), lambda x: F.contains(x, F.lit(":")))
+    entry = lambda x: F.struct(F.regexp_replace(F.substring_index(x, ":", 1), bare, "").alias("k"), F.regexp_replace(F.substring(x, F.instr(x, ":") + 1, F.length(x)), bare, "").alias("v"))
+    return F.when(F.trim(t).rlike(r"(?s)^\{.*\}$"), F.map_from_entries(F.transform(items, entry)))
+
+
+def decoded_pairs(c: Column) -> Column:
+    """relaxed_pairs of a text in base64; null where it is none."""
+    return relaxed_pairs(F.try_to_binary(c, F.lit("base64")).cast("string"))

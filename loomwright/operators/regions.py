@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: The gap over which rectangles are merged, and the bounds of a figure region (fixed values).
@@ -21,6 +21,28 @@ def is_figure(box: Column, page_area: Column) -> Column:
     return (box["w"] >= LEAST_WIDTH) & (box["h"] >= LEAST_HEIGHT) & share.between(LEAST_SHARE, MOST_SHARE) & (box["w"] / box["h"]).between(0.12, 15.0)
 
 
+def text_share(box: Column, texts: Column) -> Column:
+    """The share of a box that text boxes (array of structs) cover, at most 1; their areas are summed."""
+    covered = F.aggregate(texts, F.lit(0).cast("long"), lambda s, t: s + intersection(box, t).cast("long"))
+    return F.when(box["w"] * box["h"] <= 0, 0.0).otherwise(F.least(covered / (box["w"] * box["h"]), F.lit(1.0)))
+
+
+def figures(boxes: DataFrame, page: str, page_area: Column, texts: DataFrame, gap: int = GAP, most_text: float = 0.65) -> DataFrame:
+    """(page, rank, x, y, w, h): outlines of a page's ink that may be figures, merged where close, without those mostly of text, by (y, x).
+
+    texts: page, texts (array of boxes)."""
+    box = F.struct("x", "y", "w", "h")
+    merged = merge_close(boxes.where(is_figure(box, page_area)), page, gap).join(texts, page, "left")
+    none = F.array().cast("array<struct<x:bigint,y:bigint,w:bigint,h:bigint>>")
+    kept = merged.where(text_share(box, F.coalesce("texts", none)) <= most_text)
+    return kept.select(page, (F.row_number().over(Window.partitionBy(page).orderBy("y", "x")) - 1).alias("rank"), "x", "y", "w", "h")
+
+
+def figure_id(repo: Column, path: Column, page: Column, rank: Column) -> Column:
+    """repo:path:p<page>:f<figure>, counted from 1."""
+    return F.concat_ws(":", repo, path, F.concat(F.lit("p"), page.cast("string")), F.concat(F.lit("f"), (rank + 1).cast("string")))
+
+
 def merge_close(boxes: DataFrame, page: str, gap: int = GAP) -> DataFrame:
     """(page, x, y, w, h): boxes of a page closer than gap become their hull, again and again until none are.
 

@@ -13,45 +13,83 @@ from loomwright.functions.rules import text_of
 from loomwright.operators.windows import top_per_key
 
 TERM = "[a-z0-9]{2,}"
-TOKEN = "[a-z0-9_]{3,}"
-STOPWORDS = ("the", "and", "for", "with", "that", "this", "from", "are", "was", "des", "les", "une", "est", "pour", "dans", "que", "qui", "sur", "par", "avec")
-POSITIVE = ("works", "working", "fixed", "correct", "success", "valid", "enabled", "ok")
-NEGATIVE = ("not", "no", "fail", "fails", "failed", "error", "wrong", "disabled", "invalid", "never")
+#: Letters and numbers of any script.
+WORD = r"[\p{L}\p{N}_]{2,}"
+# The tokens of lexical grounding, words that do not count, and hints of a negative or positive finding.
+TOKEN = r"[a-z][a-z0-9_\-/]{2,}"
+STOPWORDS = (
+    "the", "and", "for", "with", "that", "this", "from", "into", "when", "then", "than",
+    "have", "has", "had", "was", "were", "are", "is", "be", "been", "being", "will", "would",
+    "can", "could", "should", "may", "might", "not", "you", "your", "they", "their", "them",
+    "our", "nous", "vous", "avec", "sans", "dans", "pour", "sur", "par", "les", "des", "une",
+    "est", "sont", "été", "être", "cela", "ceci", "comme", "plus", "moins", "very", "also",
+    "image", "description", "text", "figure", "technical", "issue", "github", "url", "none",
+)
+NEGATIVE = (
+    "not", "no", "never", "without", "cannot", "can't", "failed", "fail", "fails",
+    "error", "errors", "missing", "none", "disabled", "disable", "wrong",
+    "pas", "sans", "jamais", "erreur", "echec", "manquant",
+)
+POSITIVE = (
+    "works", "working", "ok", "fixed", "resolved", "success", "enabled", "available",
+    "correct", "valid", "supported", "stable", "fonctionne", "corrige", "actif",
+)
 
 
 def terms(text: Column, pattern: str = TERM) -> Column:
     return F.regexp_extract_all(F.lower(text_of(text)), F.lit(pattern), F.lit(0))
 
 
-def weights(docs: DataFrame, block: str, id_col: str, text_col: str) -> DataFrame:
-    """(block, id, term, w): L2-normalised tf * (ln((1 + n) / (1 + df)) + 1), n and df within the block."""
-    tf = docs.select(F.col(block).alias("block"), F.col(id_col).alias("id"), F.explode(terms(F.col(text_col))).alias("term")).groupBy("block", "id", "term").agg(F.count(F.lit(1)).alias("tf"))
-    df = tf.groupBy("block", "term").agg(F.count(F.lit(1)).alias("df"))
+def weights(docs: DataFrame, block: str, id_col: str, text_col: str, pattern: str = TERM, most_terms: int | None = None) -> DataFrame:
+    """(block, id, term, w, df): L2-normalised tf * (ln((1 + n) / (1 + df)) + 1), n and df within the block.
+
+    With most_terms only so many terms of a block count, the most frequent ones, ties by the term."""
+    tf = docs.select(F.col(block).alias("block"), F.col(id_col).alias("id"), F.explode(terms(F.col(text_col), pattern)).alias("term")).groupBy("block", "id", "term").agg(F.count(F.lit(1)).alias("tf"))
+    df = tf.groupBy("block", "term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("_all"))
+    if most_terms:
+        df = top_per_key(df, ["block"], [F.desc("_all"), F.col("term")], most_terms)
     n = docs.groupBy(F.col(block).alias("block")).agg(F.count(F.lit(1)).alias("n"))
     # One row for each block: small beside its documents, and Spark broadcasts it only where its size is known to be.
-    raw = tf.join(df, ["block", "term"]).join(n, "block").select("block", "id", "term", (F.col("tf") * (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1)).alias("w"))
-    norm = raw.groupBy("block", "id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return raw.join(norm, ["block", "id"]).select("block", "id", "term", (F.col("w") / F.col("norm")).alias("w"))
-
-
-def related(docs: DataFrame, block: str, id_col: str, text_col: str, k: int = 3, least: float = 0.4) -> DataFrame:
-    """(id, related, sim, rank): for each document the k nearest of its block by cosine, from `least` up, ties by id."""
-    w = weights(docs, block, id_col, text_col)
-    a, b = w.alias("a"), w.alias("b")
-    pairs = a.join(b, (F.col("a.block") == F.col("b.block")) & (F.col("a.term") == F.col("b.term")) & (F.col("a.id") < F.col("b.id")))
-    sims = pairs.groupBy(F.col("a.id").alias("i"), F.col("b.id").alias("j")).agg(F.sum(F.col("a.w") * F.col("b.w")).alias("s")).where(F.col("s") >= least)
+    raw = tf.join(df.drop("_all"), ["block", "term"]).join(n, "block").select("block", "id", "term", "df", (F.col("tf") * (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1)).alias("w"))
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("block", "id")))
+    return raw.withColumn("w", F.col("w") / norm)
+
+
+def related(docs: DataFrame, block: str, id_col: str, text_col: str, k: int = 3, least: float = 0.4, pattern: str = TERM, most_terms: int | None = None) -> DataFrame:
+    """(id, related, sim, rank): for each document the k nearest of its block by cosine, from `least` up, ties by id.
+
+    A document's terms stand in one order, rare ones first. What is behind the place from which the rest of its unit vector is
+    shorter than `least` cannot reach it, so two documents that do share a term in front of that place in both: only these terms
+    are joined, so a term of every document joins nothing. Candidates are then summed over all terms."""
+    w = weights(docs, block, id_col, text_col, pattern, most_terms)
+    rest = Window.partitionBy("block", "id").orderBy(F.desc("df"), F.desc("term")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    front = w.withColumn("_rest", F.sum(F.col("w") * F.col("w")).over(rest)).where(F.col("_rest") >= least * least - 1e-9).select("block", "id", "term")
+    a, b = front.alias("a"), front.alias("b")
+    met = a.join(b, (F.col("a.block") == F.col("b.block")) & (F.col("a.term") == F.col("b.term")) & (F.col("a.id") < F.col("b.id"))).select("a.block", F.col("a.id").alias("i"), F.col("b.id").alias("j")).distinct()
+    left, right = w.select("block", F.col("id").alias("i"), "term", F.col("w").alias("u")), w.select("block", F.col("id").alias("j"), "term", F.col("w").alias("v"))
+    sims = met.join(left, ["block", "i"]).join(right, ["block", "j", "term"]).groupBy("i", "j").agg(F.sum(F.col("u") * F.col("v")).alias("s")).where(F.col("s") >= least)
     both = sims.select("i", "j", "s").unionByName(sims.select(F.col("j").alias("i"), F.col("i").alias("j"), "s")).withColumn("sim", F.round("s", 6))
     return top_per_key(both, ["i"], [F.desc("sim"), F.col("j")], k, "rank").select(F.col("i").alias(id_col), F.col("j").alias("related"), "sim", "rank")
 
 
-def search(queries: DataFrame, query_id: str, query_text: str, docs: DataFrame, id_col: str, text_col: str, k: int = 5) -> DataFrame:
+def titled(title: Column, body: Column) -> Column:
+    """The text of an issue for search: its title above its body."""
+    return F.concat(text_of(title), F.lit("\n"), text_of(body))
+
+
+def headed(path: Column, kind: Column, body: Column) -> Column:
+    """The text of a file for search: its path and type above its body."""
+    return F.concat(text_of(path), F.lit("\n["), text_of(kind), F.lit("]\n"), text_of(body))
+
+
+def search(queries: DataFrame, query_id: str, query_text: str, docs: DataFrame, id_col: str, text_col: str, k: int = 5, pattern: str = TERM) -> DataFrame:
     """(query, id, sim, rank): the k best documents of each query; df and n come from the documents."""
-    tf = docs.select(F.col(id_col).alias("id"), F.explode(terms(F.col(text_col))).alias("term")).groupBy("id", "term").agg(F.count(F.lit(1)).alias("tf"))
+    tf = docs.select(F.col(id_col).alias("id"), F.explode(terms(F.col(text_col), pattern)).alias("term")).groupBy("id", "term").agg(F.count(F.lit(1)).alias("tf"))
     df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     idf = df.crossJoin(docs.agg(F.count(F.lit(1)).alias("n"))).select("term", (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("idf"))  # one row of n
     dw = tf.join(idf, "term").select("id", "term", (F.col("tf") * F.col("idf")).alias("w"))
     dn = dw.groupBy("id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("dn"))
-    qtf = queries.select(F.col(query_id).alias("q"), F.explode(terms(F.col(query_text))).alias("term")).groupBy("q", "term").agg(F.count(F.lit(1)).alias("tf"))
+    qtf = queries.select(F.col(query_id).alias("q"), F.explode(terms(F.col(query_text), pattern)).alias("term")).groupBy("q", "term").agg(F.count(F.lit(1)).alias("tf"))
     qw = qtf.join(idf, "term").select("q", "term", (F.col("tf") * F.col("idf")).alias("qw"))
     qn = qw.groupBy("q").agg(F.sqrt(F.sum(F.col("qw") * F.col("qw"))).alias("qn"))
     dots = qw.join(dw, "term").groupBy("q", "id").agg(F.sum(F.col("qw") * F.col("w")).alias("dot"))
@@ -88,6 +126,17 @@ def trigram_counts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return counts.withColumn("norm", F.sqrt(F.sum(F.col("c") * F.col("c")).over(Window.partitionBy("id"))))
 
 
+def semantic_lite(a: Column, b: Column) -> Column:
+    """0.7 of the tokens' Jaccard and 0.3 of the trigrams' cosine, from two texts; 0 where neither has tokens."""
+    ta, tb = tokens(a), tokens(b)
+    ga, gb = trigrams(a), trigrams(b)
+    count = lambda xs, g: F.size(F.filter(xs, lambda x: x == g))
+    square = lambda xs: F.sqrt(F.aggregate(F.array_distinct(xs), F.lit(0.0), lambda s, g: s + count(xs, g).cast("double") * count(xs, g)))
+    dot = F.aggregate(F.array_intersect(ga, gb), F.lit(0.0), lambda s, g: s + count(ga, g).cast("double") * count(gb, g))
+    cosine = F.when((F.size(ga) == 0) | (F.size(gb) == 0), F.lit(0.0)).otherwise(dot / (square(ga) * square(gb)))
+    return F.when((F.size(ta) == 0) & (F.size(tb) == 0), F.lit(0.0)).otherwise(F.least(F.lit(1.0), 0.7 * jaccard(ta, tb) + 0.3 * cosine))
+
+
 def polarity(toks: Column) -> Column:
     """struct(sign, magnitude) of a token array."""
     diff = F.size(F.filter(toks, lambda t: t.isin(*POSITIVE))) - F.size(F.filter(toks, lambda t: t.isin(*NEGATIVE)))

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomwright.functions.rules import let
+
 
 def top_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int, rank: str | None = None) -> DataFrame:
     """The first k rows of each key. Spark limits groups before the shuffle (WindowGroupLimit)."""
@@ -20,22 +22,21 @@ def prefer(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataF
     return top_per_key(df, keys, order, 1)
 
 
-def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of old and new; for a key in both the new row wins."""
+def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str], order: Sequence[Column] = ()) -> DataFrame:
+    """Rows of old and new; for a key in both the new row wins, of several in one of them the first by `order`, then by all columns."""
     both = old.withColumn("_batch", F.lit(0)).unionByName(new.withColumn("_batch", F.lit(1)))
-    return prefer(both, keys, [F.desc("_batch")]).drop("_batch")
+    rest = [F.col(c) for c in old.columns if c not in keys and old.schema[c].dataType.typeName() not in ("map", "variant")]
+    return prefer(both, keys, [F.desc("_batch"), *order, *rest]).drop("_batch")
 
 
 def ordered_distinct(items: Column, most: int | None = None, fold_case: bool = True) -> Column:
     """Items in order of their first place, each once, at most so many; case-insensitive on demand.
 
     array_distinct keeps the first place and hashes, so long arrays stay linear."""
-    if not fold_case:
-        out = F.array_distinct(items)
-    else:
-        lowered = F.transform(items, F.lower)
-        first = F.array_distinct(lowered)
-        out = F.transform(first, lambda x: F.get(items, (F.array_position(lowered, x) - 1).cast("int")))
+    def folded(xs: Column) -> Column:
+        return let(F.transform(xs, F.lower), lambda low: F.transform(F.array_distinct(low), lambda x: F.get(xs, (F.array_position(low, x) - 1).cast("int"))))
+
+    out = let(items, folded) if fold_case else F.array_distinct(items)
     return F.slice(out, 1, most) if most else out
 
 
