@@ -9,7 +9,7 @@ import time
 from loomwright import catalog
 from loomwright.session import local_session
 
-HEADLINE = ("link_status", "link_summary", "html_strip_pages", "noise_line_density", "chunk_paragraphs", "tfidf_related", "tfidf_search", "strategy_score", "card_text", "topk_per_key", "changed_files_agg", "pack_parts_size")
+HEADLINE = ("link_status", "link_summary", "html_strip_pages", "signal_density", "chunk_paragraphs", "tfidf_related", "tfidf_search", "strategy_score", "card_text", "topk_per_key", "changed_files_agg", "pack_parts_size", "diagnostic_cards", "resolver_cards")
 
 
 def main() -> None:

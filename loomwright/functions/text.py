@@ -122,8 +122,8 @@ def slugify(c: Column, most: int = 80) -> Column:
 def cut_at_space(c: Column, most: int = 1500, mark: str = " [truncated]") -> Column:
     """At most so many characters, cut at the last space, with a mark where cut."""
     t = strip(text_of(c))
-    head = F.regexp_extract(t, rf"(?s)^(.{{1,{most}}}) ", 1)
-    return F.when(F.length(t) <= most, t).otherwise(F.concat(F.when(head != "", head).otherwise(F.substring(t, 1, most)), F.lit(mark)))
+    head = F.regexp_replace(F.substring(t, 1, most), " [^ ]*$", "")
+    return F.when(F.length(t) <= most, t).otherwise(F.concat(head, F.lit(mark)))
 
 
 def normalize_path(c: Column) -> Column:

@@ -33,9 +33,12 @@ def wanted(cases: DataFrame, reference_only: bool = False) -> DataFrame:
 
 
 def linked_commits(cases: DataFrame, commits: DataFrame) -> DataFrame:
-    """(issue_number, pos, sha, message, url, files_changed) of each linked commit that is known; shas compare without case."""
+    """(issue_number, pos, sha, message, url, files_changed) of each linked commit that is known; shas compare without case.
+
+    Of several rows with one sha the one with the most changed files stays, then the least message."""
     refs = cases.select("issue_number", F.posexplode("linked_commit_shas").alias("pos", "_sha")).select("issue_number", "pos", F.lower(F.trim("_sha")).alias("sha"))
     known = commits.select(F.lower(F.trim("sha")).alias("sha"), "message", F.col("github_url").alias("url"), "files_changed")
+    known = prefer(known, ["sha"], [F.desc(F.size("files_changed")), F.col("message"), F.col("url")])
     return refs.where("sha <> ''").join(known, "sha").select("issue_number", "pos", "sha", "message", "url", "files_changed")
 
 

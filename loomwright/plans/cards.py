@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomwright.functions.rules import ordered_case, score_band, text_of
+from loomwright.functions.rules import score_band, text_of
 from loomwright.operators import cards, quality, regions
 from loomwright.session import table
 
@@ -63,11 +63,6 @@ def anti_join_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.missing(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ["doc_id"]).groupBy("source").agg(F.count(F.lit(1)).alias("unlabelled"))
 
 
-def set_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, labels = table(spark, sf_dir, "documents").select("doc_id"), table(spark, sf_dir, "labels").where("doc_id % 2 = 0").select((F.col("doc_id") + 100).alias("doc_id"))
-    return docs.exceptAll(labels).select("doc_id", F.lit("missing").alias("side")).unionByName(labels.exceptAll(docs).select("doc_id", F.lit("extra").alias("side")))
-
-
 def duplicate_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.repeated(table(spark, sf_dir, "documents").select(F.md5(text_of("text")).alias("h")), ["h"])
 
@@ -119,14 +114,6 @@ def tag_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tags.join(dim, F.upper(tags["tag"]) == dim["tag"], "left").select(tags["tag"], "tag_id", F.col("tag_id").isNull().alias("unresolved"))
 
 
-def unlinked_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Why customers have no orders, with counts and the first ids."""
-    none = quality.missing(table(spark, sf_dir, "customer"), table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey")), ["c_custkey"])
-    reason = ordered_case([(F.col("c_acctbal") < 0, "negative_balance"), (F.col("c_mktsegment") == "BUILDING", "building")], "no_reference")
-    grouped = none.withColumn("reason", reason).groupBy("reason").agg(F.count(F.lit(1)).alias("n"), F.slice(F.sort_array(F.collect_list("c_custkey")), 1, 25).alias("ids"))
-    return grouped.select("reason", "n", F.array_join(F.col("ids").cast("array<string>"), ",").alias("samples"))
-
-
 def union_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = table(spark, sf_dir, "orders").groupBy(F.col("o_orderstatus").alias("name")).agg(F.count(F.lit(1)).alias("n")).withColumn("kind", F.lit("status"))
     b = table(spark, sf_dir, "customer").groupBy(F.col("c_mktsegment").alias("name")).agg(F.count(F.lit(1)).alias("n")).withColumn("kind", F.lit("segment"))
@@ -159,8 +146,8 @@ def region_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "strategy_score": strategy_score, "ab_delta": ab_delta, "offline_online_delta": offline_online_delta, "coverage_pct": coverage_pct, "score_labels": score_labels, "full_outer_cards": full_outer_cards, "anti_join_gate": anti_join_gate,
-    "set_difference": set_difference, "duplicate_gate": duplicate_gate, "schema_validator": schema_validator, "placeholder_gate": placeholder_gate, "cross_template": cross_template, "card_text": card_text, "markdown_card": markdown_card,
-    "evidence_cards": evidence_cards, "component_split": component_split, "tag_mapping": tag_mapping, "unlinked_reasons": unlinked_reasons, "union_summary": union_summary, "weighted_score": weighted_score, "bbox_overlap": bbox_overlap,
+    "duplicate_gate": duplicate_gate, "schema_validator": schema_validator, "placeholder_gate": placeholder_gate, "cross_template": cross_template, "card_text": card_text, "markdown_card": markdown_card,
+    "evidence_cards": evidence_cards, "component_split": component_split, "tag_mapping": tag_mapping, "union_summary": union_summary, "weighted_score": weighted_score, "bbox_overlap": bbox_overlap,
     "region_merge": region_merge,
 }
 
@@ -181,7 +168,6 @@ ORACLE_SQL = {
     "full_outer_cards": """WITH h AS (SELECT DISTINCT text[1:40] AS h FROM benchmark WHERE length(text) >= 40), d AS (SELECT DISTINCT doc_id, 1 AS leak FROM documents, h WHERE contains(text, h))
       SELECT coalesce(l.doc_id, d.doc_id) AS doc_id, quality, leak FROM labels l FULL JOIN d ON l.doc_id = d.doc_id""",
     "anti_join_gate": "SELECT source, count(*) AS unlabelled FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id) GROUP BY 1",
-    "set_difference": """WITH l AS (SELECT doc_id + 100 AS doc_id FROM labels WHERE doc_id % 2 = 0) SELECT doc_id, 'missing' AS side FROM (SELECT doc_id FROM documents EXCEPT ALL SELECT doc_id FROM l) UNION ALL SELECT doc_id, 'extra' FROM (SELECT doc_id FROM l EXCEPT ALL SELECT doc_id FROM documents)""",
     "duplicate_gate": "SELECT md5(coalesce(text, '')) AS h, count(*) AS n FROM documents GROUP BY 1 HAVING count(*) > 1",
     "schema_validator": """WITH d AS (SELECT count(*) AS n, count(*) FILTER (doc_id IS NULL) AS a, count(*) FILTER (coalesce(lang NOT IN ('en', 'fr', 'de'), true)) AS b, count(*) FILTER (coalesce(n_chars < 100, true)) AS c, count(*) FILTER (coalesce(n_chars <> length(text), true)) AS d FROM documents),
       e AS (SELECT count(*) AS n, count(*) FILTER (coalesce(value < 0, true)) AS a, count(*) FILTER (coalesce(event_type NOT IN ('click', 'view'), true)) AS b, count(*) FILTER (NOT coalesce(json_valid(props), false)) AS c FROM events)
@@ -196,8 +182,6 @@ ORACLE_SQL = {
       SELECT l_orderkey, array_to_string(list_concat(['issue:' || l_orderkey], list_transform(s[1:2], lambda x: 'pr:' || x), list_transform(p, lambda x: 'commit:' || x))[1:6], ' ') AS refs FROM s""",
     "component_split": "SELECT p_brand, count(*) AS parts, count(DISTINCT p_type) AS types, min(p_partkey) AS first, max(p_size) AS largest FROM part GROUP BY 1",
     "tag_mapping": "WITH t AS (SELECT DISTINCT CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment ELSE 'NATION_' || c_nationkey END AS tag FROM customer) SELECT tag, n_nationkey AS tag_id, n_nationkey IS NULL AS unresolved FROM t LEFT JOIN nation ON upper(tag) = upper(n_name)",
-    "unlinked_reasons": """WITH n AS (SELECT c_custkey, CASE WHEN c_acctbal < 0 THEN 'negative_balance' WHEN c_mktsegment = 'BUILDING' THEN 'building' ELSE 'no_reference' END AS reason FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey))
-      SELECT reason, count(*) AS n, array_to_string(list_sort(list(c_custkey))[1:25], ',') AS samples FROM n GROUP BY 1""",
     "union_summary": "SELECT o_orderstatus AS name, count(*) AS n, 'status' AS kind FROM orders GROUP BY 1 UNION ALL SELECT c_mktsegment, count(*), 'segment' FROM customer GROUP BY 1",
     "weighted_score": "WITH s AS (SELECT p_size, count(*) AS w, floor(max(p_retailprice)) AS s FROM part GROUP BY 1) SELECT round(sum(w * s) / sum(w), 6) AS score FROM s",
     "bbox_overlap": f"""WITH b AS ({_BOX}), p AS (SELECT a.l_orderkey, CAST(greatest(least(a.x + a.w, b.x + b.w) - greatest(a.x, b.x), 0) * greatest(least(a.y + a.h, b.y + b.h) - greatest(a.y, b.y), 0) AS BIGINT) AS area FROM b a JOIN b ON a.l_orderkey = b.l_orderkey AND (a.x, a.y, a.w, a.h) < (b.x, b.y, b.w, b.h))

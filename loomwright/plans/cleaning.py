@@ -26,11 +26,6 @@ def html_length_reduction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("reduction_pct", quality.percent(F.col("before") - F.col("after"), F.col("before")))
 
 
-def noise_line_density(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "documents").select("source", F.explode(F.split(rules.text_of("text"), "\n")).alias("line"))
-    return lines.groupBy("source", F.coalesce(quality.noise_reason(F.col("line")), F.lit("signal")).alias("reason")).agg(F.count(F.lit(1)).alias("lines"), F.sum(F.length("line")).alias("chars"))
-
-
 def normalize_ws_first_sentence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", F.md5(text.normalize_whitespace(F.col("text"))).alias("ws"), text.first_sentence(F.col("text")).alias("sentence"))
 
@@ -168,7 +163,7 @@ h AS (SELECT conv_id, 'Title: ' || conv_id || chr(10) || chr(10) || 'Body:' || c
 """
 
 QUERIES = {
-    "html_strip_pages": html_strip_pages, "html_length_reduction": html_length_reduction, "noise_line_density": noise_line_density, "normalize_ws_first_sentence": normalize_ws_first_sentence, "truncate_marker": truncate_marker,
+    "html_strip_pages": html_strip_pages, "html_length_reduction": html_length_reduction, "normalize_ws_first_sentence": normalize_ws_first_sentence, "truncate_marker": truncate_marker,
     "slugify_titles": slugify_titles, "thread_assembly": thread_assembly, "main_comment_split": main_comment_split, "doc_validity": doc_validity, "rule_classifier": rule_classifier, "regex_first_match": regex_first_match,
     "signal_count": signal_count, "file_type_by_path": file_type_by_path, "issue_number_extraction": issue_number_extraction, "ordered_distinct_cap": ordered_distinct_cap, "keyword_match_any_all": keyword_match_any_all,
     "rubric_score": rubric_score, "rubric_averages": rubric_averages, "markdown_and_images": markdown_and_images, "json_props_extract": json_props, "turn_pairs": turn_pairs,
@@ -177,9 +172,6 @@ QUERIES = {
 ORACLE_SQL = {
     "html_strip_pages": _HTML + "SELECT page_id, clean_text FROM f",
     "html_length_reduction": _HTML + "SELECT sum(length(html)) AS before, sum(length(clean_text)) AS after, floor((before - after) * 1000 / before + 0.5) / 10 AS reduction_pct FROM f",
-    "noise_line_density": rf"""WITH l AS (SELECT source, unnest(string_split({_TEXT}, chr(10))) AS line FROM documents), s AS (SELECT source, line, {_STRIP.format('line')} AS s FROM l), p AS (SELECT *, {_STRIP.format("regexp_replace(s, '<[^>]+>', '', 'g')")} AS plain FROM s)
-      SELECT source, CASE WHEN s = '' THEN 'empty' WHEN regexp_matches(s, '(?i)(copyright|all rights reserved|licensed under|spdx-license|permission is hereby)') THEN 'license_or_legal' WHEN regexp_matches(s, '!\[[^\]]*\]\(') THEN 'markdown_image_or_badge'
-        WHEN regexp_matches(s, '<[^>]+>') AND length(plain) <= greatest(8, floor(length(s) / 4)) THEN 'html_structure' WHEN regexp_matches(s, '^[*=#_-]{{4,}}$') THEN 'ascii_banner' ELSE 'signal' END AS reason, count(*) AS lines, sum(length(line)) AS chars FROM p GROUP BY ALL""",
     "normalize_ws_first_sentence": rf"""WITH w AS (SELECT doc_id, trim(regexp_replace({_TEXT}, '\s+', ' ', 'g')) AS t FROM documents), e AS (SELECT *, length(regexp_extract(t, '^[^.!?]*[.!?]', 0)) AS n FROM w)
       SELECT doc_id, md5(t) AS ws, CASE WHEN n > 0 AND n <= 260 THEN t[1:n] ELSE rtrim(t[1:260]) END AS sentence FROM e""",
     "truncate_marker": f"SELECT doc_id, CASE WHEN length({_TEXT}) > 200 THEN rtrim(text[1:200], ' ') ELSE {_TEXT} END AS text, length({_TEXT}) > 200 AS truncated FROM documents",
