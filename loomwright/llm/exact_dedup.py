@@ -54,11 +54,15 @@ def decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", h
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hash_of=content_hash) -> DataFrame:
     """docs without the rows that decisions() drops; repeated rows of a kept id leave one row. Columns may have any name."""
+    kept = decisions(docs, id_col, text_col, hash_of).where("kept").groupBy(F.col(id_col).alias("id"), "text_sha256").agg(F.count(F.lit(1)).alias("n"))
+    kept = durable(kept)
+    # Whole rows are dealt out once, by id and text; only where an id is repeated are they aggregated too.
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
-    text, key = F.col("row").getField(text_col), F.col("row").getField(id_col)
-    keyed = rows.withColumn("norm", normalised(text)).withColumn("h", hash_of(F.col("norm")))
-    place = F.struct(-F.length(whole_text(text)), key.isNull(), key, text)
-    return keyed.groupBy("h", "norm").agg(F.min_by("row", place).alias("row")).select("row.*")
+    marked = rows.withColumn("key", F.col("row").getField(id_col)).withColumn("sha", F.sha2(normalised(F.col("row").getField(text_col)), 256))
+    out = marked.join(kept, marked["key"].eqNullSafe(kept["id"]) & (marked["sha"] == kept["text_sha256"]), "left_semi")
+    if kept.where("n > 1").limit(1).count():
+        out = out.dropDuplicates(["key", "sha"])
+    return out.select("row.*")
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
