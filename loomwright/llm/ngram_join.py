@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from .components import roots
 from .support import documents, durable, local_file, publish, whole_text, written
-from .textscan import U64, mixed, within, word_hashes
+from .textscan import U64, mixed, released, within, word_hashes
 
 #: Words in an n-gram; the threshold as a fraction; an n-gram in so many different sets is frequent;
 #: how many frequent ones are remembered, and in a bit map of which size (a power of two).
@@ -66,7 +66,7 @@ def set_key(grams: np.ndarray) -> tuple[int, int]:
 def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for each document with its set's size and key (and, once in a batch, its signature), and rows for n-grams that several different sets of a block hold."""
     for b in batches:
-        n, k1, k2, held, seen, signed = [], [], [], [], set(), []
+        n, k1, k2, held, seen, signed, size = [], [], [], [], set(), [], 0
         for grams in ngram_sets(b.column(1)):
             key = set_key(grams)
             n.append(len(grams))
@@ -76,14 +76,22 @@ def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if key not in seen:
                 seen.add(key)
                 held.append(grams)
+                size += len(grams)
+                if size > 1 << 21:
+                    yield _repeated(held, b.column(0).type)
+                    held, size = [], 0
         rows = len(n)
         yield pa.record_batch([b.column(0), pa.array(n, pa.int64()), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), pa.array(signed, pa.binary()), pa.nulls(rows, pa.int64())], SURVEY)
-        grams, count = np.unique(np.concatenate(held) if held else np.zeros(0, U64), return_counts=True)
-        often = count > 1
-        grams, count = grams[often].view(np.int64), count[often]
-        if len(grams):
-            none = pa.nulls(len(grams), pa.int64())
-            yield pa.record_batch([pa.nulls(len(grams), b.column(0).type), pa.array(count, pa.int64()), none, none, pa.nulls(len(grams), pa.binary()), pa.array(grams, pa.int64())], SURVEY)
+        yield _repeated(held, b.column(0).type)
+
+
+def _repeated(held: list[np.ndarray], id_type: pa.DataType) -> pa.RecordBatch:
+    """Survey rows of the n-grams that several of the sets hold."""
+    grams, count = np.unique(np.concatenate(held) if held else np.zeros(0, U64), return_counts=True)
+    often = count > 1
+    grams, count = grams[often].view(np.int64), count[often]
+    none = pa.nulls(len(grams), pa.int64())
+    return pa.record_batch([pa.nulls(len(grams), id_type), pa.array(count, pa.int64()), none, none, pa.nulls(len(grams), pa.binary()), pa.array(grams, pa.int64())], SURVEY)
 
 
 SURVEY = ["id", "n", "k1", "k2", "sig", "gram"]
@@ -247,7 +255,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("id"), whole_text(text_col).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    survey = written(rows.mapInArrow(_survey, f"id {kind}, n long, k1 long, k2 long, sig binary, gram long"), "survey")
+    survey = written(rows.mapInArrow(released(_survey), f"id {kind}, n long, k1 long, k2 long, sig binary, gram long"), "survey")
     sets = survey.where("gram is null")
 
     # A set goes by the first half of its key; where sets share it, by the second.
@@ -260,11 +268,11 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     # Which n-grams of the prefixes are frequent is counted exactly, so that the columns dealt out stay small.
     early = _frequent(survey.where("gram is not null").groupBy("gram").agg(F.sum("n").alias("n")).where(F.col("n") >= FREQUENT))
-    prefixes = rows.select("text").mapInArrow(_columns(early, shared, grams_only=True), "gram long").groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    prefixes = rows.select("text").mapInArrow(released(_columns(early, shared, grams_only=True)), "gram long").groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
     late = _frequent(prefixes.where(F.col("n") > WIDE), early)
     # One shuffle of the columns; most hold one row and end in the task that reads them.
-    columns = rows.select("text").mapInArrow(_columns(late, shared), COLUMN).repartition("gram").sortWithinPartitions("gram", "node")
-    block = written(columns.mapInArrow(_shared, COLUMN), "columns")
+    columns = rows.select("text").mapInArrow(released(_columns(late, shared)), COLUMN).repartition("gram").sortWithinPartitions("gram", "node")
+    block = written(columns.mapInArrow(released(_shared), COLUMN), "columns")
 
     def linked(pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) that reach the threshold."""
@@ -272,10 +280,10 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         wanted = written(nodes.join(ends, "node").select(F.col("rep").alias("id")), "wanted")
         wanted = F.broadcast(wanted) if wanted.count() <= SENT else wanted
         texts = rows.join(wanted, rows["id"].eqNullSafe(wanted["id"]), "left_semi").select("text")
-        grams = texts.mapInArrow(_sets(shared), "node long, grams binary")
+        grams = texts.mapInArrow(released(_sets(shared)), "node long, grams binary")
         right = pairs.join(grams, pairs["b"] == grams["node"]).select("a", "b", F.col("grams").alias("right"))
         both = right.join(grams.select(F.col("node").alias("a"), F.col("grams").alias("left")), "a").select("a", "b", "left", "right")
-        return written(both.mapInArrow(_overlaps, "a long, b long"), "links")
+        return written(both.mapInArrow(released(_overlaps), "a long, b long"), "links")
 
     def star(open_columns: DataFrame) -> DataFrame:
         """Pairs of a row with the leads of its columns, of leads that it shares an eighth of its columns with.
@@ -325,7 +333,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     met = x.join(y, close).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
     met = met.join(tried, ["a", "b"], "left_anti")
     signed = met.join(nodes.select(F.col("node").alias("a"), "n", F.col("sig").alias("left")), "a").join(nodes.select(F.col("node").alias("b"), F.col("n").alias("m"), F.col("sig").alias("right")), "b")
-    pairs = written(signed.select("a", "b", "n", "m", "left", "right").mapInArrow(_close, "a long, b long"), "pairs")
+    pairs = written(signed.select("a", "b", "n", "m", "left", "right").mapInArrow(released(_close), "a long, b long"), "pairs")
     if pairs.limit(1).count():
         found = roots(links.unionByName(linked(pairs)))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import unicodedata
 from dataclasses import dataclass
 from functools import lru_cache
@@ -12,6 +13,30 @@ import pyarrow as pa
 U64 = np.uint64
 
 
+def released(run):
+    """An Arrow function that gives the memory it no longer needs back to the system after each batch: workers are used
+    again by later stages, and what an allocator keeps counts against the executor."""
+
+    def wrapped(batches):
+        try:
+            for out in run(batches):
+                yield out
+                if out.num_rows > 1 << 10:
+                    _give_back()
+        finally:
+            _give_back()
+
+    return wrapped
+
+
+def _give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # a C library without it
+        pass
+
+
 def splitmix(n: int, seed: int) -> np.ndarray:
     """n pseudo-random 64-bit numbers, the same on every machine."""
     with np.errstate(over="ignore"):

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .support import documents, whole_text
-from .textscan import IS_SPACE, TO_LOWER, U64, Table, buffers, mixed, row_blocks, span_hashes, word_spans
+from .textscan import IS_SPACE, TO_LOWER, U64, Table, buffers, mixed, row_blocks, span_hashes, word_spans, released
 
 #: Labelled rows that lexicons and models are fitted on at most, taken in the order of a hash of their id.
 SAMPLE = 20_000
@@ -189,7 +189,7 @@ def fitted(docs: DataFrame, labels: DataFrame, folds: int = 3, held: int = 1, sa
     # At most `sample` pairs of an id and a bit.
     rows = docs.select(F.col(id_col).alias("id"), whole_text(text_col).alias("text")).join(F.broadcast(known), F.col("id") == F.col("_id")).select("toxic", "text")
     rows = rows.dropDuplicates(["text"])  # a copied text speaks once
-    counted = rows.mapInArrow(_label_counts, "f long, toxic long, n long").groupBy("f").agg(F.sum("toxic").alias("toxic"), F.sum("n").alias("n"))
+    counted = rows.mapInArrow(released(_label_counts), "f long, toxic long, n long").groupBy("f").agg(F.sum("toxic").alias("toxic"), F.sum("n").alias("n"))
     total = counted.where("f = 0").first()
     if total is None or not 0 < total["toxic"] < total["n"]:
         share = 0.0 if total is None or not total["n"] else total["toxic"] / total["n"]
@@ -213,7 +213,7 @@ def fitted(docs: DataFrame, labels: DataFrame, folds: int = 3, held: int = 1, sa
                 packed = np.packbits(x, axis=1)
                 yield pa.record_batch([pa.array([r.tobytes() for r in packed], pa.binary()), pa.array(list(patterns), pa.list_(pa.float64()))], ["x", "patterns"])
 
-    sample_rows = rows.mapInArrow(gathered, "x binary, patterns array<double>").toArrow()
+    sample_rows = rows.mapInArrow(released(gathered), "x binary, patterns array<double>").toArrow()
     x = np.unpackbits(np.frombuffer(b"".join(sample_rows.column("x").to_pylist()), np.uint8).reshape(len(sample_rows), -1), axis=1)[:, : len(names)].astype(bool)
     patterns = np.array(sample_rows.column("patterns").to_pylist())
     order = np.lexsort(np.concatenate([patterns.T, x[:, ::-1][:, -64:].T]))  # rows come in any order; sums do not depend on it beyond rounding
@@ -256,7 +256,7 @@ def scores(docs: DataFrame, model: Model, folds: int = 3, held: int = 1, id_col:
 
     fold = F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % folds == held
     rows = docs.select(F.col(id_col).alias("id"), fold.alias("held_out"), whole_text(text_col).alias("text"))
-    out = rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, held_out boolean, score double")
+    out = rows.mapInArrow(released(run), f"id {rows.schema['id'].dataType.simpleString()}, held_out boolean, score double")
     return out.select(F.col("id").alias(id_col), "held_out", "score", (F.col("score") >= limit).cast("int").alias("predicted"))
 
 
@@ -268,7 +268,7 @@ def clean_rows(docs: DataFrame, model: Model, text_col: str = "text", limit: flo
         for b in batches:
             yield b.filter(pa.array(score(pc.fill_null(b.column(text_col), "")) < limit))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(released(run), docs.schema)
 
 
 def labels_table(spark: SparkSession, sf_dir: str) -> DataFrame:
