@@ -58,16 +58,11 @@ def weights(docs: DataFrame, block: str, id_col: str, text_col: str, pattern: st
 def related(docs: DataFrame, block: str, id_col: str, text_col: str, k: int = 3, least: float = 0.4, pattern: str = TERM, most_terms: int | None = None) -> DataFrame:
     """(id, related, sim, rank): for each document the k nearest of its block by cosine, from `least` up, ties by id.
 
-    A document's terms stand in one order, rare ones first. What is behind the place from which the rest of its unit vector is
-    shorter than `least` cannot reach it, so two documents that do share a term in front of that place in both: only these terms
-    are joined, so a term of every document joins nothing. Candidates are then summed over all terms."""
+    With most_terms the terms of a block are bounded; without, a term of very many documents joins them all."""
     w = weights(docs, block, id_col, text_col, pattern, most_terms)
-    rest = Window.partitionBy("block", "id").orderBy(F.desc("df"), F.desc("term")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    front = w.withColumn("_rest", F.sum(F.col("w") * F.col("w")).over(rest)).where(F.col("_rest") >= least * least - 1e-9).select("block", "id", "term")
-    a, b = front.alias("a"), front.alias("b")
-    met = a.join(b, (F.col("a.block") == F.col("b.block")) & (F.col("a.term") == F.col("b.term")) & (F.col("a.id") < F.col("b.id"))).select("a.block", F.col("a.id").alias("i"), F.col("b.id").alias("j")).distinct()
-    left, right = w.select("block", F.col("id").alias("i"), "term", F.col("w").alias("u")), w.select("block", F.col("id").alias("j"), "term", F.col("w").alias("v"))
-    sims = met.join(left, ["block", "i"]).join(right, ["block", "j", "term"]).groupBy("i", "j").agg(F.sum(F.col("u") * F.col("v")).alias("s")).where(F.col("s") >= least)
+    a, b = w.alias("a"), w.alias("b")
+    pairs = a.join(b, (F.col("a.block") == F.col("b.block")) & (F.col("a.term") == F.col("b.term")) & (F.col("a.id") < F.col("b.id")))
+    sims = pairs.groupBy(F.col("a.id").alias("i"), F.col("b.id").alias("j")).agg(F.sum(F.col("a.w") * F.col("b.w")).alias("s")).where(F.col("s") >= least)
     both = sims.select("i", "j", "s").unionByName(sims.select(F.col("j").alias("i"), F.col("i").alias("j"), "s")).withColumn("sim", F.round("s", 6))
     return top_per_key(both, ["i"], [F.desc("sim"), F.col("j")], k, "rank").select(F.col("i").alias(id_col), F.col("j").alias("related"), "sim", "rank")
 
