@@ -11,6 +11,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
+import re
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -26,6 +27,28 @@ from .textscan import U64, Table, Words, gathered, lower_words, span_hashes, wit
 
 NONE = np.int32(1 << 30)
 
+#: Characters encoded at once, and ids decoded at once.
+CHARS, IDS = 1 << 20, 1 << 18
+GAP = re.compile(r"[\x20\x09-\x0D]")
+
+
+def cut(text: str, limit: int) -> Iterator[str]:
+    """The text in order, in pieces of at most limit characters where white space allows it; else the next white space ends a piece.
+
+    Pieces but the first begin with ASCII white space: no word and no special token holds it, and it joins no letter when
+    a text is normalised, so the ids of the pieces one after another are those of the text."""
+    start = 0
+    while len(text) - start > limit:
+        to = max(text.rfind(c, start + 1, start + limit + 1) for c in " \n\t")
+        if to < 0:
+            later = GAP.search(text, start + limit + 1)
+            if not later:
+                break
+            to = later.start()
+        yield text[start:to]
+        start = to
+    yield text[start:]
+
 
 def default_vocabulary() -> str:
     import public_tokenizers
@@ -178,6 +201,12 @@ class Vocabulary:
         """The bytes of the tokens, each with a space after it."""
         return gathered(self.names, self.name_starts[ids], self.name_lens[ids])
 
+    def decoded(self, ids: np.ndarray) -> Iterator[bytes]:
+        """The tokens with a space between, in parts."""
+        for i in range(0, len(ids), IDS):
+            part = self.spelled(ids[i : i + IDS]).tobytes()
+            yield part if i + IDS < len(ids) else part[:-1]
+
 
 class Lexicon:
     """A minimal acyclic automaton over word bytes, read from a mapped file."""
@@ -299,8 +328,27 @@ class Lexicon:
         return place
 
 
+def unlike(w: Words, other: np.ndarray) -> np.ndarray:
+    """Which words differ in their bytes from the word of the number given for each."""
+    found = []
+    for a in range(0, len(other), 1 << 18):
+        starts, twins = w.starts[a : a + (1 << 18)], w.starts[other[a : a + (1 << 18)]]
+        lens, theirs = w.ends[a : a + (1 << 18)] - starts, w.ends[other[a : a + (1 << 18)]] - twins
+        odd = lens != theirs
+        mine = np.flatnonzero(~odd & (starts != twins))
+        size = lens[mine]
+        at = np.repeat(starts[mine], size) + within(size)
+        wrong = w.data[at] != w.data[at + np.repeat(twins[mine] - starts[mine], size)]
+        if wrong.any():
+            odd[mine[np.repeat(np.arange(len(mine)), size)[wrong]]] = True
+        found.append(np.flatnonzero(odd) + a)
+    return np.concatenate(found) if found else np.zeros(0, np.int64)
+
+
 class Encoder:
-    """Texts to ids: words of a batch, each distinct word once through the lexicon or the merges."""
+    """Texts to ids: words of a batch, each distinct word once through the lexicon or the merges.
+
+    Hashes bring equal words together, and bytes decide: a word that differs from the first of its hash is one of its own."""
 
     def __init__(self, vocab: Vocabulary, lexicon: Lexicon | None):
         self.vocab, self.lexicon = vocab, lexicon
@@ -311,6 +359,13 @@ class Encoder:
         for i in range(0, len(hashes), 1 << 18):
             hashes[i : i + (1 << 18)] = span_hashes(w.data, w.starts[i : i + (1 << 18)], w.ends[i : i + (1 << 18)])
         _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
+        others: dict[bytes, int] = {}
+        for i in unlike(w, first[which]).tolist():
+            word = w.data[w.starts[i] : w.ends[i]].tobytes()
+            if word not in others:
+                others[word] = len(first)
+                first = np.append(first, i)
+            which[i] = others[word]
         starts = w.starts[first]
         lens = w.ends[first] - starts
         counts, begin = np.zeros(len(first), np.int64), np.zeros(len(first), np.int64)
@@ -333,10 +388,17 @@ class Encoder:
         """Without the string of a special token, which the library cuts out before anything else."""
         return "<|" not in text or not any(s in text for s in self.vocab.special)
 
-    def encoded(self, texts: list[str], chars: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, list[bytes] | None]]:
-        """For each run of texts of about so many characters: (first, last, all ids, the place of each text's first id)."""
+    def encoded(self, texts: list[str], chars: int = CHARS) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """For each run of texts of about so many characters: (first, last, all ids, the place of each text's first id).
+
+        A longer text is a run of its own, encoded piece by piece, so that only its ids are held whole."""
         at = 0
         while at < len(texts):
+            if len(texts[at]) > chars:
+                ids = np.concatenate([self.batch([piece])[0] for piece in cut(texts[at], chars)])
+                yield at, at + 1, ids, np.array([0, len(ids)])
+                at += 1
+                continue
             to, held = at, 0
             while to < len(texts) and (held == 0 or held + len(texts[to]) <= chars):
                 held += max(1, len(texts[to]))
@@ -436,7 +498,7 @@ def decode(encoded: DataFrame, path: str | None = None, id_col: str = "doc_id",
         vocab = vocabulary(path)
         for b in batches:
             lists = b.column(1)
-            texts = [vocab.spelled(np.asarray(x.values, np.int64)).tobytes()[:-1].decode() if x.is_valid and len(x.values) else "" for x in lists]
+            texts = [b"".join(vocab.decoded(np.asarray(x.values, np.int64))).decode() if x.is_valid else "" for x in lists]
             yield pa.record_batch([b.column(0), pa.array(texts, pa.string())], ["id", "text"])
 
     rows = encoded.select(F.col(id_col).alias("id"), F.col(ids_col).alias("ids"))
@@ -446,7 +508,8 @@ def decode(encoded: DataFrame, path: str | None = None, id_col: str = "doc_id",
 def round_trip(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", lexicon: str | None = None, with_ids: bool = False) -> DataFrame:
     """(id, n_tokens, ids_sha256, decoded_sha256, on demand ids) for each row of docs: ids as little-endian unsigned 32-bit integers,
     the decoded text in UTF-8. Null and empty texts have no ids. Repeated rows come out each. Only id and text are read;
-    an empty table gives no rows. A text is held whole with about 60 bytes a character while it is encoded."""
+    an empty table gives no rows. Encoding takes about 60 bytes a character, of at most `CHARS` characters at once: longer
+    texts go in pieces cut at white space, and only one without any white space is encoded whole."""
     path = path or default_vocabulary()
     lexicon = lexicon or lexicon_for(docs, text_col, path)
     names = ["id", "n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * with_ids]
@@ -457,10 +520,16 @@ def round_trip(docs: DataFrame, path: str | None = None, id_col: str = "doc_id",
             texts = b.column(1).to_pylist()
             for first, last, ids, bounds in coder.encoded(texts):
                 wide = ids.astype("<u4")
-                sizes = np.concatenate(([0], np.cumsum(coder.vocab.name_lens[ids])))[bounds]
-                spelled = coder.vocab.spelled(ids)
                 a = [hashlib.sha256(wide[s:e]).hexdigest() for s, e in zip(bounds[:-1], bounds[1:], strict=True)]
-                d = [hashlib.sha256(spelled[s : max(s, e - 1)]).hexdigest() for s, e in zip(sizes[:-1], sizes[1:], strict=True)]
+                if last - first == 1:
+                    whole = hashlib.sha256()
+                    for part in coder.vocab.decoded(ids):
+                        whole.update(part)
+                    d = [whole.hexdigest()]
+                else:
+                    sizes = np.concatenate(([0], np.cumsum(coder.vocab.name_lens[ids])))[bounds]
+                    spelled = coder.vocab.spelled(ids)
+                    d = [hashlib.sha256(spelled[s : max(s, e - 1)]).hexdigest() for s, e in zip(sizes[:-1], sizes[1:], strict=True)]
                 columns = [b.column(0)[first:last], pa.array(np.diff(bounds), pa.int64()), pa.array(a), pa.array(d)]
                 if with_ids:
                     columns.append(pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32())))

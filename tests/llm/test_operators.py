@@ -215,6 +215,36 @@ def test_bpe_fuzz():
         assert ids[bounds[i] : bounds[i + 1]].tolist() == tok.encode(t, add_special_tokens=False).ids, t
 
 
+def test_bpe_tells_words_of_one_hash_apart(monkeypatch):
+    import random
+
+    tok, r = library("word_bpe_49k.json"), random.Random(3)
+    few = bpe.span_hashes
+    monkeypatch.setattr(bpe, "span_hashes", lambda *a: few(*a) % np.uint64(5))
+    coder = bpe.Encoder(bpe.vocabulary(bpe.default_vocabulary()), None)
+    texts = [" ".join(r.choice(["walk", "wall", "walks", "é", "e", "12", "a-b"]) for _ in range(30)) for _ in range(20)]
+    ids, bounds = coder.batch(texts)
+    for i, t in enumerate(texts):
+        assert ids[bounds[i] : bounds[i + 1]].tolist() == tok.encode(t, add_special_tokens=False).ids, t
+
+
+def test_bpe_long_texts_go_in_pieces():
+    import random
+
+    tok, coder, r = library("word_bpe_49k.json"), bpe.Encoder(bpe.vocabulary(bpe.default_vocabulary()), None), random.Random(4)
+    some = ["don't ", "Σας", " e\u0301", " \u0301x", "'s", "\n\n", "\t'll", "<|endoftext|>", "<|endof", " text|>", "\x1f", "\u3000", "\xa0", "ab12 ", "x" * 40]
+    texts = ["".join(r.choice(some) for _ in range(r.randrange(200))) for _ in range(60)] + ["x" * 500, " " * 300, "y " + "z" * 200, ""]
+    for t in texts:
+        found = list(bpe.cut(t, 50))
+        assert "".join(found) == t and all(p and p[0] in " \t\n\r\x0b\x0c" for p in found[1:])
+    assert len(list(bpe.cut("ab " * 100, 50))) >= 6
+    for first, last, ids, bounds in coder.encoded(texts, chars=50):
+        for i in range(first, last):
+            mine = ids[bounds[i - first] : bounds[i - first + 1]]
+            assert mine.tolist() == tok.encode(texts[i], add_special_tokens=False).ids, texts[i]
+            assert b"".join(coder.vocab.decoded(mine)).decode() == tok.decode(mine.tolist(), skip_special_tokens=False)
+
+
 def test_token_files(docs, rows, spark):
     tok = library("word_bpe_49k.json")
     got = by_id(token_files.token_files(docs, length=16))
