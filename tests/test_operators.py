@@ -84,6 +84,45 @@ def test_stream_upsert(spark, tmp_path):
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
         upserts.upsert_stream(spark.readStream.schema(schema).parquet(source), target, ["k"], str(tmp_path / "c")).awaitTermination()
     assert sorted(map(tuple, upserts.latest(spark, target).collect())) == [(1, "a"), (2, "c"), (3, "d")]
+    assert sorted(map(tuple, upserts.latest(spark, target, 1).collect())) == [(1, "a"), (2, "b")]
+
+
+def test_stream_upsert_touches_only_its_buckets(spark, tmp_path):
+    import os
+
+    source, target = str(tmp_path / "s"), str(tmp_path / "t")
+    want, schema = {}, "k int, v string"
+    for n, keys in enumerate((range(40), [3], [3, 50], [3])):
+        rows = [(k, f"{n}") for k in keys]
+        want.update(rows)
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+        upserts.upsert_stream(spark.readStream.schema(schema).parquet(source), target, ["k"], str(tmp_path / "c"), buckets=8).awaitTermination()
+    assert sorted(map(tuple, upserts.latest(spark, target).collect())) == sorted(want.items())
+    folders = {b: [f for f in os.listdir(f"{target}/{b}") if f.startswith("bucket=")] for b in os.listdir(target) if b.startswith("batch=")}
+    assert len(folders["batch=000000003"]) == 1 and len(folders["batch=000000000"]) < 8
+    # A batch that was not finished is not read.
+    os.makedirs(f"{target}/batch=000000009/bucket=0")
+    assert upserts.latest(spark, target).count() == len(want)
+
+
+def test_nearest_vectors(spark):
+    import numpy as np
+
+    from loomwright.operators import vectors
+
+    r = np.random.default_rng(1)
+    some = [(i, r.integers(-3, 4, 6).astype(float).tolist()) for i in range(90)] + [(90, None), (91, [0.0] * 6), (92, [1.0] * 6), (93, [2.0] * 6), (None, [1.0] * 6)]
+    rows = spark.createDataFrame(some, "vec_id long, embedding array<float>").repartition(3)
+    valid = [(i, np.array(v) / np.linalg.norm(v)) for i, v in some if i is not None and v and any(v)]
+    got = sorted(map(tuple, vectors.nearest(rows.where("vec_id % 4 = 0"), rows, 3, block=16).select("q", "vec_id", "sim", "rank").collect()))
+    want = []
+    for i, x in valid:
+        if i % 4 == 0:
+            near = sorted((-round(float(x @ y), 5), j) for j, y in valid if j != i)[:3]
+            want += [(i, j, -s, n) for n, (s, j) in enumerate(near, 1)]
+    assert [(q, v, n) for q, v, _, n in got] == sorted((q, v, n) for q, v, _, n in want)
+    assert np.allclose([g[2] for g in got], [w[2] for w in sorted(want)], atol=1e-9)
+    assert vectors.nearest(rows.limit(0), rows, 3).count() == 0
 
 
 def test_full_outer_cards_matches_whole_passages(spark, tmp_path):
