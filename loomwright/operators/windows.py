@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loomwright.functions.rules import let
 
@@ -55,23 +57,26 @@ def even_parts(df: DataFrame, order: Sequence[str], parts: int, keys: Sequence[s
 def greedy_parts(df: DataFrame, keys: Sequence[str], order: str, size: Column, most_rows: int, most_size: int, out: str = "part") -> DataFrame:
     """Greedy packing in order within each key: a part closes before the row that would make it too large or too long.
 
-    The running size starts anew with each part, which no window frame expresses, so it is a fold over the ordered rows
-    of a key (ids and sizes only); keys should be bounded groups, such as one source of one upload."""
-    rows = df.select(*keys, F.col(order).alias("_o"), size.alias("_s")).groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("_o", "_s"))).alias("_rows"))
-    start = F.struct(F.lit(0).alias("part"), F.lit(0).alias("n"), F.lit(0).cast("long").alias("size"))
-
-    def step(acc: Column, x: Column) -> Column:
-        full = (acc["n"] > 0) & ((acc["n"] + 1 > most_rows) | (acc["size"] + x["_s"] > most_size))
-        return F.struct(
-            F.when(full, acc["part"] + 1).otherwise(acc["part"]).alias("part"), F.when(full, 1).otherwise(acc["n"] + 1).alias("n"), F.when(full, x["_s"]).otherwise(acc["size"] + x["_s"]).cast("long").alias("size")
-        )
-
-    # The fold keeps (state, parts so far); parts are read off beside the rows.
-    folded = F.aggregate(
-        "_rows",
-        F.struct(start.alias("at"), F.array().cast("array<int>").alias("parts")),
-        lambda acc, x: F.struct(step(acc["at"], x).alias("at"), F.array_append(acc["parts"], step(acc["at"], x)["part"]).alias("parts")),
-        lambda acc: acc["parts"],
-    )
-    packed = rows.withColumn("_parts", folded).select(*keys, F.explode(F.arrays_zip("_rows", "_parts")).alias("_z"))
-    return packed.select(*keys, F.col("_z._rows._o").alias(order), F.col("_z._rows._s").alias("size"), F.col("_z._parts").alias(out))
+    Returns keys, order, size and the part, from 0. Equal places are taken by size; a null size counts as 0; a row larger
+    than a part has one of its own. The running size starts anew with each part, which no window frame expresses, so an
+    Arrow function reads the rows of a key in order and keeps the state of one part: sorting may spill, and memory does
+    not grow with a key, but all ids and sizes of a key pass through one task."""
+    rows = df.select(*keys, F.col(order), F.coalesce(size.cast("long"), F.lit(0)).alias("size"))
+    dealt = rows.repartition(*keys) if keys else rows.repartition(1)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, part, n, held = None, 0, 0, 0
+        for b in batches:
+            places = zip(*(b.column(i).to_pylist() for i in range(len(keys))), strict=True) if keys else ((),) * b.num_rows
+            parts = []
+            for key, more in zip(places, b.column(len(keys) + 1).to_pylist(), strict=True):
+                if key != last:
+                    last, part, n, held = key, 0, 0, 0
+                elif n + 1 > most_rows or held + more > most_size:
+                    part, n, held = part + 1, 0, 0
+                n, held = n + 1, held + more
+                parts.append(part)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(parts, pa.int32())], [*b.schema.names, out])
+
+    schema = T.StructType([*rows.schema.fields, T.StructField(out, T.IntegerType())])
+    return dealt.sortWithinPartitions(*keys, order, "size").mapInArrow(pack, schema)

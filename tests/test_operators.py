@@ -32,6 +32,25 @@ def test_parts(spark):
     assert [r["part"] for r in packed] == [0, 0, 1, 1, 2, 2, 3]
 
 
+def test_greedy_parts_restart_with_each_part(spark):
+    import random
+
+    r = random.Random(1)
+    rows = [(r.choice(["a", "b", None]), i, r.choice([None, 0, 3, 9, 40])) for i in range(300)]
+    df = spark.createDataFrame(rows, "k string, id int, s int").repartition(3)
+    got = {x["id"]: (x["k"], x["size"], x["part"]) for x in windows.greedy_parts(df, ["k"], "id", F.col("s"), 4, 20).collect()}
+    state, want = {}, {}
+    for k, i, s in rows:
+        part, n, held = state.get(k, (0, 0, 0))
+        if n and (n == 4 or held + (s or 0) > 20):
+            part, n, held = part + 1, 0, 0
+        state[k] = part, n + 1, held + (s or 0)
+        want[i] = k, s or 0, part
+    assert got == want
+    assert {x["part"] for x in windows.greedy_parts(df, [], "id", F.col("s"), 10**6, 10**6).collect()} == {0}
+    assert windows.greedy_parts(df.limit(0), ["k"], "id", F.col("s"), 4, 20).count() == 0
+
+
 def test_upsert_and_top(spark):
     old = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
     new = spark.createDataFrame([(2, "c"), (3, "d")], "k int, v string")
