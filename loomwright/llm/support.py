@@ -41,14 +41,14 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
-def _own_dir(spark: SparkSession) -> str:
+def own_dir(spark: SparkSession) -> str:
     """The part of the shared folder that this application fills."""
     return f"{shared_dir(spark)}/loomwright/{spark.sparkContext.applicationId}"
 
 
 def clean_up(spark: SparkSession) -> None:
     """Remove the tables and files that this application has put into the shared folder. Results that are not yet read or written need them."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_own_dir(spark))
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(own_dir(spark))
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
@@ -61,7 +61,7 @@ def durable(df: DataFrame) -> DataFrame:
 def written(df: DataFrame, name: str) -> DataFrame:
     """As durable, but a compressed Parquet table with known size: for what is wide or read in part."""
     spark = df.sparkSession
-    path = f"{_own_dir(spark)}/{uuid.uuid4().hex}/{name}"
+    path = f"{own_dir(spark)}/{uuid.uuid4().hex}/{name}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -72,7 +72,7 @@ def publish(spark: SparkSession, data: bytes, stem: str) -> str:
     Returns the name for SparkFiles.get, also valid on executors that join later.
     """
     name = f"{stem}-{uuid.uuid4().hex}.bin"
-    uri = f"{_own_dir(spark)}/{name}"
+    uri = f"{own_dir(spark)}/{name}"
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(uri)
     out = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(path, True)

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .bpe import default_vocabulary, encoder, lexicon_for
-from .support import documents, durable, shared_dir, whole_text
+from .support import documents, durable, own_dir, whole_text
 
 #: Ids in a sequence, sequences in a record batch, and the id that ends a document.
 LENGTH, SEQUENCES, END = 2048, 256, 2
@@ -113,7 +113,7 @@ def write(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text
     spark = docs.sparkSession
     path = path or default_vocabulary()
     lexicon = lexicon or lexicon_for(docs, text_col, path)
-    folder = f"{shared_dir(spark)}/loomwright/{uuid.uuid4().hex}/tokens"
+    folder = f"{own_dir(spark)}/{uuid.uuid4().hex}/tokens"
     rows = docs.select(F.col(id_col).alias("id"), whole_text(text_col).alias("text"))
     # Bounds by id alone: the sample that Spark takes for them holds no texts.
     ranged = rows.repartitionByRange(files, "id") if files else rows.repartitionByRange("id")
