@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, fingerprints, language_model, license_scan, mixing, ngram_join, token_counts, token_files, toxicity
+from . import bpe, exact_dedup, filter_audit, fingerprints, language_model, license_scan, mixing, ngram_join, token_counts, token_files, toxicity
 
 QUERIES = {
     "op1_fingerprints": fingerprints.op1_fingerprints,
@@ -15,10 +15,12 @@ QUERIES = {
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_mixing": mixing.op9_mixing,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
+    "op12_filter_audit": filter_audit.op12_filter_audit,
 }
 
 ORACLE_SQL = {
     "op3_license_scan": license_scan.ORACLE,
     "op9_mixing": mixing.ORACLE,
     "op10_exact_dedup": exact_dedup.ORACLE,
+    "op12_filter_audit": filter_audit.ORACLE,
 }
