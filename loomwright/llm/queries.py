@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, filter_audit, fingerprints, language_model, license_scan, mixing, ngram_join, token_counts, token_files, toxicity
+from . import bpe, conversation_repair, exact_dedup, filter_audit, fingerprints, language_model, license_scan, mixing, ngram_join, token_counts, token_files, toxicity
 
 QUERIES = {
     "op1_fingerprints": fingerprints.op1_fingerprints,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_mixing": mixing.op9_mixing,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
     "op12_filter_audit": filter_audit.op12_filter_audit,
+    "op13_conversation_repair": conversation_repair.op13_conversation_repair,
 }
 
 ORACLE_SQL = {
@@ -23,4 +24,5 @@ ORACLE_SQL = {
     "op9_mixing": mixing.ORACLE,
     "op10_exact_dedup": exact_dedup.ORACLE,
     "op12_filter_audit": filter_audit.ORACLE,
+    "op13_conversation_repair": conversation_repair.ORACLE,
 }
