@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, conversation_repair, exact_dedup, filter_audit, fingerprints, language_model, license_scan, mixing, ngram_join, token_counts, token_files, toxicity
+from . import bpe, conversation_repair, exact_dedup, filter_audit, fingerprints, language_model, license_scan, mixing, ngram_join, rank_bpe, token_counts, token_files, toxicity
 
 QUERIES = {
     "op1_fingerprints": fingerprints.op1_fingerprints,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_mixing": mixing.op9_mixing,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
+    "op11_rank_bpe": rank_bpe.op11_rank_bpe,
     "op12_filter_audit": filter_audit.op12_filter_audit,
     "op13_conversation_repair": conversation_repair.op13_conversation_repair,
 }
