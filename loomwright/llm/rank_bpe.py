@@ -27,10 +27,10 @@ from .token_counts import pieces
 LONG = 64
 
 #: Rows that the rounds of one recursive query may add up to, and bytes of short words in one query.
-ROUND_ROWS, WORD_BYTES = 1 << 22, 1 << 18
+ROUND_ROWS, WORD_BYTES = 1 << 22, 1 << 19
 
 #: Words that a task remembers, characters encoded at once, characters of a piece of a long text.
-KNOWN, CHARS, PIECE = 1 << 19, 1 << 20, 1 << 18
+KNOWN, CHARS, PIECE = 1 << 20, 1 << 21, 1 << 18
 
 #: A symbol: neither letter, number nor space.
 STAND_IN = "▓"
@@ -50,7 +50,7 @@ WITH RECURSIVE s AS (
     SELECT s.word, s.pos, CASE WHEN s.pos = (b.best & 4294967295) THEN CAST(b.best >> 32 AS INTEGER) ELSE s.tok END, s.step + 1 FROM s JOIN b ON s.word = b.word WHERE s.pos <> b.gone
   )
 )
-SELECT word, pos, tok, false AS odd FROM (SELECT *, max(step) OVER (PARTITION BY word) AS last FROM s) WHERE step = last ORDER BY word, pos
+SELECT s.word, s.pos, s.tok, false AS odd FROM s JOIN (SELECT word, max(step) AS last FROM s GROUP BY word) z ON s.word = z.word AND s.step = z.last ORDER BY s.word, s.pos
 """
 
 #: As LEFTMOST, but a round contracts every pair of the least rank that a run from the left reaches without overlap. That is
