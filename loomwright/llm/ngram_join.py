@@ -252,6 +252,13 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     count as larger than others; a component of null ids alone has none. Only id and text are read, so other columns may
     have any name. An empty table gives no rows.
     """
+    found, _ = _grouped(docs, id_col, text_col)
+    own = F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component_id"))
+    return found.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), own.alias("component_id"))
+
+
+def _grouped(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, frozenset[int]]:
+    """(id, n, node, root, component_id) for each row: its set, and its group by a name that is never null; and the first halves of keys that several sets share."""
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("id"), whole_text(text_col).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
@@ -339,10 +346,8 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     labels = nodes.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = labels.groupBy("root").agg(F.min("rep").alias("component_id"))
-    classes = labels.join(smallest, "root").select("node", "component_id")
-    return members.join(classes, "node", "left").select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component_id")).alias("component_id")
-    )
+    classes = labels.join(smallest, "root").select("node", "root", "component_id")
+    return members.join(classes, "node", "left").select("id", "n", "node", "root", "component_id"), shared
 
 
 def _frequent(counted: DataFrame, before: str | None = None) -> str:
@@ -356,10 +361,44 @@ def _frequent(counted: DataFrame, before: str | None = None) -> str:
 
 
 def kept_of_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with one row of each group: the one whose id names the component. Rows without n-grams or without id stay."""
-    groups = near_groups(docs, id_col, text_col)
-    gone = groups.where(F.col("component_id") != F.col(id_col)).select(id_col).distinct()
-    return docs.join(gone, id_col, "left_anti")
+    """docs with one row of each group: that of the smallest id, which names the component; null ids come last.
+
+    Rows without n-grams are no group's and stay, repeated ones too. Where rows share an id, or have none, they are told
+    apart by their sets, so a row stays or goes by its own group; of rows with one id and one set, one stays.
+    Columns may have any name.
+    """
+    found, shared = _grouped(docs, id_col, text_col)
+    found = written(found.select("id", "n", "node", "root"), "groups")
+    place = F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("node").alias("node"))
+    first = found.where("n > 0").groupBy("root").agg(F.min(place).alias("first")).select("first.id", "first.node")
+    first = written(first, "first")
+    several = found.groupBy("id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1 or id is null").select(F.col("id").alias("other"))
+    several = written(several, "several")
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")).withColumn("key", F.col("row").getField(id_col))
+    gone = found.where("n > 0 and id is not null").join(first, ["id", "node"], "left_anti").select(F.col("id").alias("other"))
+    if several.limit(1).count() == 0:
+        return rows.join(gone, F.col("key") == F.col("other"), "left_anti").select("row.*")
+
+    again = F.col("key").eqNullSafe(F.col("other"))
+    alone = rows.join(several, again, "left_anti").join(gone.distinct(), F.col("key") == F.col("other"), "left_anti")
+    known = rows.join(several, again, "left_semi").withColumn("sha", F.sha2(whole_text(F.col("row").getField(text_col)), 256))
+    texts = known.select("sha", whole_text(F.col("row").getField(text_col)).alias("text")).dropDuplicates(["sha"])
+    nodes = texts.mapInArrow(released(_named(shared)), "sha string, n long, node long").select(F.col("sha").alias("other_sha"), "n", "node")
+    named = known.join(nodes, F.col("sha") == F.col("other_sha"))
+    first = first.select(F.col("id").alias("first_id"), F.col("node").alias("first_node"))
+    one = named.where("n > 0").join(first, F.col("key").eqNullSafe(F.col("first_id")) & (F.col("node") == F.col("first_node")), "left_semi").dropDuplicates(["key", "node"])
+    return alone.select("row.*").unionByName(one.select("row.*")).unionByName(named.where("n = 0").select("row.*"))
+
+
+def _named(shared: frozenset[int]):
+    """(name, text) to (name, size and node of its set)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sets = [(len(s), _node(set_key(s), shared)) for s in ngram_sets(b.column(1))]
+            yield pa.record_batch([b.column(0), pa.array([n for n, _ in sets], pa.int64()), pa.array([node for _, node in sets], pa.int64())], ["sha", "n", "node"])
+
+    return run
 
 
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
