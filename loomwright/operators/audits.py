@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from loomwright.functions.paths import repo_slug
 from loomwright.functions.rules import text_of
+from loomwright.operators import ranges
 from loomwright.operators.quality import missing
 from loomwright.operators.tagging import COMPONENTS, normalize_component, unlinked_reason, vote_component
 from loomwright.operators.windows import top_per_key
@@ -100,26 +101,8 @@ def needs_split(size: Column, docs: Column, least: int = SPLIT_BYTES, most_docs:
 
 
 def halved(rows: DataFrame, keys: Sequence[str], part: str, order: str, size: Column, most: int = PART_BYTES, out: str = "sub_part") -> DataFrame:
-    """Parts cut into halves, and these again, until each is within `most` bytes or one row; sub parts are numbered from 0 in order.
-
-    Each round looks at all parts at once: sizes are summed by part, and rows of those too large move to one of two halves. A
-    round at least halves a part's rows, so there are as many rounds as the largest part has binary digits."""
-    import math
-
-    w_keys = [*keys, part]
-    from pyspark.sql import Window
-
-    ordered = Window.partitionBy(*w_keys).orderBy(order)
-    work = rows.withColumn("_s", size).withColumn("_at", F.row_number().over(ordered) - 1).withColumn("_path", F.lit(""))
-    largest = work.groupBy(*w_keys).count().agg(F.max("count")).first()[0] or 1
-    for _ in range(math.ceil(math.log2(largest)) if largest > 1 else 0):
-        group = Window.partitionBy(*w_keys, "_path")
-        n, place = F.count(F.lit(1)).over(group), F.row_number().over(group.orderBy("_at")) - 1
-        cut = (F.sum("_s").over(group) > most) & (n > 1)
-        # What is not cut keeps its place in the order of halves.
-        work = work.withColumn("_path", F.concat("_path", F.when(cut & (place >= F.floor(n / 2)), "1").otherwise("0")))
-    numbered = Window.partitionBy(*w_keys).orderBy("_path")
-    return work.withColumn(out, F.dense_rank().over(numbered) - 1).drop("_s", "_at", "_path")
+    """Parts cut into halves, and these again, until each is within `most` bytes or one row; sub parts are numbered from 0 in order. See ranges.halves."""
+    return ranges.halves(rows, [*keys, part], [order], size, most, out)
 
 
 def undeclared_modules(declared: DataFrame, configured: DataFrame) -> DataFrame:

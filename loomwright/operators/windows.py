@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loomwright.functions.rules import let
+from loomwright.durable import stored
+from loomwright.operators import ranges
 
 
 def top_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int, rank: str | None = None) -> DataFrame:
@@ -43,25 +45,51 @@ def ordered_distinct(items: Column, most: int | None = None, fold_case: bool = T
 
 
 def fixed_parts(df: DataFrame, order: Sequence[str], size: int, keys: Sequence[str] = (), out: str = "part") -> DataFrame:
-    """Parts of `size` rows in order within each key, numbered from 0."""
-    w = Window.partitionBy(*keys).orderBy(*order) if keys else Window.orderBy(*order)
-    return df.withColumn(out, F.floor((F.row_number().over(w) - 1) / size).cast("int"))
+    """Parts of `size` rows in order within each key, numbered from 0. Rows are numbered by ranges, so a key may be any part of the table."""
+    placed = ranges.numbered(df, keys, order, "_number")
+    return placed.withColumn(out, F.floor(F.col("_number") / size).cast("int")).drop("_number")
 
 
 def even_parts(df: DataFrame, order: Sequence[str], parts: int, keys: Sequence[str] = (), out: str = "part") -> DataFrame:
-    """So many parts of nearly equal row counts, the larger ones first, numbered from 1."""
-    w = Window.partitionBy(*keys).orderBy(*order) if keys else Window.orderBy(*order)
-    return df.withColumn(out, F.ntile(parts).over(w))
+    """So many parts of nearly equal row counts, the larger ones first, numbered from 1. Rows are numbered by ranges."""
+    placed = ranges.numbered(df, keys, order, "_number")
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    both = ranges._null_safe(placed, counts, keys, "inner")
+    least, more, at = F.floor(F.col("_rows") / parts), F.col("_rows") % parts, F.col("_number")
+    wide = more * (least + 1)
+    part = F.when(at < wide, F.floor(at / (least + 1))).otherwise(more + F.floor((at - wide) / F.greatest(least, F.lit(1))))
+    return both.withColumn(out, (part + 1).cast("int")).drop("_number", "_rows")
 
 
-def greedy_parts(df: DataFrame, keys: Sequence[str], order: str, size: Column, most_rows: int, most_size: int, out: str = "part") -> DataFrame:
+#: Rows of a key that one task packs; larger keys are packed by many.
+ALONE = 1 << 20
+
+
+def greedy_parts(df: DataFrame, keys: Sequence[str], order: str, size: Column, most_rows: int, most_size: int, out: str = "part", alone: int = ALONE) -> DataFrame:
     """Greedy packing in order within each key: a part closes before the row that would make it too large or too long.
 
-    Returns keys, order, size and the part, from 0. Equal places are taken by size; a null size counts as 0; a row larger
-    than a part has one of its own. The running size starts anew with each part, which no window frame expresses, so an
-    Arrow function reads the rows of a key in order and keeps the state of one part: sorting may spill, and memory does
-    not grow with a key, but all ids and sizes of a key pass through one task."""
-    rows = df.select(*keys, F.col(order), F.coalesce(size.cast("long"), F.lit(0)).alias("size"))
+    Returns keys, order, size and the part, from 0. Equal places are taken by size; a null or negative size counts as 0; a row
+    larger than a part has one of its own. The running size starts anew with each part, which no window frame expresses: keys
+    of up to `alone` rows are read in order by an Arrow function with the state of one part, and larger ones are cut by
+    ranges.greedy_starts over many tasks. Both give the same parts."""
+    rows = df.select(*keys, F.col(order), F.greatest(F.coalesce(size.cast("long"), F.lit(0)), F.lit(0)).alias("size"))
+    many = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > alone)
+    if not many.limit(1).count():
+        return _packed(rows, keys, order, most_rows, most_size, out)
+    many = many.select(*keys).withColumn("_many", F.lit(True))
+    sided = ranges._null_safe(rows, many, keys, "left") if keys else rows.withColumn("_many", F.lit(True))
+    small = _packed(sided.where("_many is null").drop("_many"), keys, order, most_rows, most_size, out)
+    large = sided.where("_many").drop("_many")
+    placed = stored(ranges.running(large, keys, [order, "size"], {"_number": F.lit(1), "_sum": F.col("size")}).withColumn("_size", F.col("size")), "placed")
+    starts = ranges.greedy_starts(placed.select(*keys, "_number", "_sum", "_size"), keys, most_rows, most_size).withColumn("_start", F.lit(1))
+    marked = ranges._null_safe(placed, starts, [*keys, "_number"], "left")
+    counted = ranges.running(marked, keys, ["_number"], {"_marks": F.col("_start")})
+    part = (F.col("_marks") + F.coalesce("_start", F.lit(0)) - 1).cast("int")
+    return small.unionByName(counted.select(*keys, order, "size", part.alias(out)))
+
+
+def _packed(rows: DataFrame, keys: Sequence[str], order: str, most_rows: int, most_size: int, out: str) -> DataFrame:
+    """greedy_parts of keys that one task may read."""
     dealt = rows.repartition(*keys) if keys else rows.repartition(1)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
