@@ -9,7 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomwright.durable import stored
 from loomwright.functions.rules import text_of
+from loomwright.operators import tiles
 from loomwright.operators.windows import top_per_key
 
 TERM = "[a-z0-9]{2,}"
@@ -44,7 +46,10 @@ def weights(docs: DataFrame, block: str, id_col: str, text_col: str, pattern: st
     """(block, id, term, w, df): L2-normalised tf * (ln((1 + n) / (1 + df)) + 1), n and df within the block.
 
     With most_terms only so many terms of a block count, the most frequent ones, ties by the term."""
-    tf = docs.select(F.col(block).alias("block"), F.col(id_col).alias("id"), F.explode(terms(F.col(text_col), pattern)).alias("term")).groupBy("block", "id", "term").agg(F.count(F.lit(1)).alias("tf"))
+    # Texts are dealt out by id, so their terms are counted where they are and only counts travel.
+    dealt = docs.select(F.col(block).alias("block"), F.col(id_col).alias("id"), F.col(text_col).alias("text")).repartition("id")
+    tf = dealt.select("block", "id", F.explode(terms(F.col("text"), pattern)).alias("term")).groupBy("block", "id", "term").agg(F.count(F.lit(1)).alias("tf"))
+    tf = stored(tf, "counts")
     df = tf.groupBy("block", "term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("_all"))
     if most_terms:
         df = top_per_key(df, ["block"], [F.desc("_all"), F.col("term")], most_terms)
@@ -58,13 +63,22 @@ def weights(docs: DataFrame, block: str, id_col: str, text_col: str, pattern: st
 def related(docs: DataFrame, block: str, id_col: str, text_col: str, k: int = 3, least: float = 0.4, pattern: str = TERM, most_terms: int | None = None) -> DataFrame:
     """(id, related, sim, rank): for each document the k nearest of its block by cosine, from `least` up, ties by id.
 
-    With most_terms the terms of a block are bounded; without, a term of very many documents joins them all."""
-    w = weights(docs, block, id_col, text_col, pattern, most_terms)
-    a, b = w.alias("a"), w.alias("b")
-    pairs = a.join(b, (F.col("a.block") == F.col("b.block")) & (F.col("a.term") == F.col("b.term")) & (F.col("a.id") < F.col("b.id")))
-    sims = pairs.groupBy(F.col("a.id").alias("i"), F.col("b.id").alias("j")).agg(F.sum(F.col("a.w") * F.col("b.w")).alias("s")).where(F.col("s") >= least)
-    both = sims.select("i", "j", "s").unionByName(sims.select(F.col("j").alias("i"), F.col("i").alias("j"), "s")).withColumn("sim", F.round("s", 6))
-    return top_per_key(both, ["i"], [F.desc("sim"), F.col("j")], k, "rank").select(F.col("i").alias(id_col), F.col("j").alias("related"), "sim", "rank")
+    Ids are unique in a block; rows without a block or an id take no part. See tiles for the join."""
+    vecs = tiles.vectors(weights(docs, block, id_col, text_col, pattern, most_terms))
+    near = tiles.nearest_above(vecs, k, least).select(F.col("id").alias("i"), F.col("other").alias("j"), F.round("dot", 6).alias("sim"))
+    return top_per_key(near, ["i"], [F.desc("sim"), F.col("j")], k, "rank").select(F.col("i").alias(id_col), F.col("j").alias("related"), "sim", "rank")
+
+
+def attached(docs: DataFrame, block: str, id_col: str, text_col: str, valid: Column, k: int = 3, least: float = 0.4, pattern: str = WORD, most_terms: int | None = 5000, out: str = "related_ids") -> DataFrame:
+    """docs with the ids related to each as an array, nearest first. Only valid documents count and are related; others, and those without any, have an empty array.
+
+    A null in `valid` counts as valid."""
+    ok = F.coalesce(valid, F.lit(True))
+    found = related(docs.where(ok), block, id_col, text_col, k, least, pattern, most_terms)
+    lists = found.groupBy(F.col(id_col).alias("_id")).agg(F.array_sort(F.collect_list(F.struct("rank", "related"))).alias("_related"))
+    none = F.array().cast(f"array<{docs.schema[id_col].dataType.simpleString()}>")
+    both = docs.withColumn("_ok", ok).join(lists, F.col(id_col) == F.col("_id"), "left")
+    return both.withColumn(out, F.when(F.col("_ok"), F.coalesce(F.col("_related.related"), none)).otherwise(none)).drop("_ok", "_id", "_related")
 
 
 def titled(title: Column, body: Column) -> Column:
