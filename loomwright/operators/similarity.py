@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from loomwright.durable import stored
 from loomwright.functions.rules import text_of
-from loomwright.operators import tiles
+from loomwright.operators import search_index, tiles
 from loomwright.operators.windows import top_per_key
 
 TERM = "[a-z0-9]{2,}"
@@ -91,19 +91,10 @@ def headed(path: Column, kind: Column, body: Column) -> Column:
     return F.concat(text_of(path), F.lit("\n["), text_of(kind), F.lit("]\n"), text_of(body))
 
 
-def search(queries: DataFrame, query_id: str, query_text: str, docs: DataFrame, id_col: str, text_col: str, k: int = 5, pattern: str = TERM) -> DataFrame:
-    """(query, id, sim, rank): the k best documents of each query; df and n come from the documents."""
-    tf = docs.select(F.col(id_col).alias("id"), F.explode(terms(F.col(text_col), pattern)).alias("term")).groupBy("id", "term").agg(F.count(F.lit(1)).alias("tf"))
-    df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    idf = df.crossJoin(docs.agg(F.count(F.lit(1)).alias("n"))).select("term", (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("idf"))  # one row of n
-    dw = tf.join(idf, "term").select("id", "term", (F.col("tf") * F.col("idf")).alias("w"))
-    dn = dw.groupBy("id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("dn"))
-    qtf = queries.select(F.col(query_id).alias("q"), F.explode(terms(F.col(query_text), pattern)).alias("term")).groupBy("q", "term").agg(F.count(F.lit(1)).alias("tf"))
-    qw = qtf.join(idf, "term").select("q", "term", (F.col("tf") * F.col("idf")).alias("qw"))
-    qn = qw.groupBy("q").agg(F.sqrt(F.sum(F.col("qw") * F.col("qw"))).alias("qn"))
-    dots = qw.join(dw, "term").groupBy("q", "id").agg(F.sum(F.col("qw") * F.col("w")).alias("dot"))
-    sims = dots.join(dn, "id").join(qn, "q").select("q", "id", F.round(F.col("dot") / (F.col("dn") * F.col("qn")), 6).alias("sim"))
-    return top_per_key(sims, ["q"], [F.desc("sim"), F.col("id")], k, "rank").select(F.col("q").alias(query_id), F.col("id").alias(id_col), "sim", "rank")
+def search(queries: DataFrame, query_id: str, query_text: str, docs: DataFrame, id_col: str, text_col: str, k: int = 5, pattern: str = TERM, most_terms: int | None = None) -> DataFrame:
+    """(query, id, sim, rank): the k best documents of each query; df and n come from the documents. Builds an index for this call; see search_index for one that several queries share."""
+    index = search_index.build(docs, id_col, text_col, pattern, most_terms)
+    return search_index.search(queries, query_id, query_text, index, id_col, pattern, k)
 
 
 def tokens(text: Column) -> Column:
