@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loomwright.functions.rules import text_of
 from loomwright.operators.windows import ordered_distinct, prefer
@@ -17,8 +19,6 @@ SOURCE_KEYS = ("title", "name", "url", "externalURL", "repo", "path", "id", "lab
 CONTEXT_KEYS = ("body", "clean_text", "text", "description", "resolver_card_text", "st_ready_text")
 SCORE_COLUMNS = ("quality_index_score_0_to_100", "score_0_to_100", "score")
 GONE = ("deleted", "inactive", "archived", "removed")
-#: How deep a source list may stand in an answer.
-DEPTH = 3
 
 
 def _string(v: Column, path: str) -> Column:
@@ -34,33 +34,39 @@ def answer_text(raw: Column) -> Column:
     return F.coalesce(*first, F.lit(""))
 
 
-def answer_sources(raw: Column) -> Column:
-    """What a JSON response cites, each once: lists of sources at the top or inside objects below it, down to DEPTH; an object's fields are joined by ` | `."""
-    v = F.try_parse_json(raw)
-    none = F.array().cast("array<string>")
-    fields = "struct<" + ",".join(f"`{k}`:string" for k in SOURCE_KEYS) + ">"
-
-    def told(item: Column) -> Column:
-        text = F.to_json(item)
-        record = F.from_json(text, fields)
-        joined = F.trim(F.concat_ws(" | ", *(record[k] for k in SOURCE_KEYS)))
-        return F.when(F.schema_of_variant(item) == "STRING", F.trim(item.cast("string"))).when(text.startswith("{"), joined)
-
-    def lists(node: Column) -> Column:
-        found = [F.coalesce(F.transform(F.try_variant_get(node, f"$.{k}", "array<variant>"), told), none) for k in SOURCE_LISTS]
-        return F.concat(*found)
-
-    def below(nodes: Column) -> Column:
-        """The objects inside objects and lists."""
-        opened = F.transform(nodes, lambda x: F.coalesce(F.map_values(F.try_variant_get(x, "$", "map<string,variant>")), F.try_variant_get(x, "$", "array<variant>"), F.array().cast("array<variant>")))
-        return F.flatten(opened)
-
-    level = F.array(v)
-    found = F.flatten(F.transform(level, lists))
-    for _ in range(DEPTH):
-        level = below(level)
-        found = F.concat(found, F.flatten(F.transform(level, lists)))
-    return F.array_distinct(F.filter(found, lambda s: text_of(s) != ""))
+def cited(node) -> list[str]:
+    """What a parsed response cites, each once, in the order of the document: items of lists under a key of SOURCE_LISTS, in any case and at any depth."""
+    found: dict[str, None] = {}
+    open_ = [node]
+    while open_:
+        node = open_.pop()
+        if isinstance(node, list):
+            open_.extend(reversed(node))
+        elif isinstance(node, tuple):
+            for item in node[0]:
+                told = " | ".join(str(item[k]) for k in SOURCE_KEYS if item.get(k) is not None) if isinstance(item, dict) else item if isinstance(item, str) else ""
+                if told.strip():
+                    found.setdefault(told.strip())
+            open_.append(node[0])
+        elif isinstance(node, dict):
+            open_.extend((v,) if k.lower() in SOURCE_LISTS and isinstance(v, list) else v for k, v in reversed(node.items()))
+    return list(found)
+
+
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def answer_sources(raw: pd.Series) -> pd.Series:
+    """What JSON responses cite, each once: lists of sources at any depth, an object's fields joined by ` | `; none where a text is no JSON.
+
+    A walk in the order of the document, which a variant does not keep, so it runs in Arrow batches."""
+    import json
+
+    def sources(text) -> list[str]:
+        try:
+            return cited(json.loads(text)) if text else []
+        except ValueError:
+            return []
+
+    return raw.map(sources, na_action=None)
 
 
 def context_field(columns: list[str]) -> Column:

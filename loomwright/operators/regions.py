@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomwright.durable import stored
+
 #: The gap over which rectangles are merged, and the bounds of a figure region (fixed values).
 GAP, LEAST_WIDTH, LEAST_HEIGHT, LEAST_SHARE, MOST_SHARE = 40, 180, 140, 0.03, 0.92
 
@@ -43,28 +45,47 @@ def figure_id(repo: Column, path: Column, page: Column, rank: Column) -> Column:
     return F.concat_ws(":", repo, path, F.concat(F.lit("p"), page.cast("string")), F.concat(F.lit("f"), (rank + 1).cast("string")))
 
 
+#: Sides of a page in bins: a hull lies in no more than so many bins a side, and one more.
+BINS = 16
+
+
+def close_pairs(boxes: DataFrame, page: str, gap: int) -> DataFrame:
+    """(page, a, b): the ids of two boxes of a page no farther apart than gap, from boxes (page, id, x1, y1, x2, y2).
+
+    Boxes are entered into the bins of a grid that they reach; only those of one bin are compared."""
+    extent = boxes.groupBy(F.col(page).alias("_p")).agg(F.min("x1").alias("_left"), F.min("y1").alias("_top"), F.greatest(F.max("x2") - F.min("x1"), F.max("y2") - F.min("y1")).alias("_side"))
+    wide = boxes.join(extent, F.col(page).eqNullSafe(F.col("_p"))).withColumn("_bin", F.greatest(F.ceil(F.col("_side") / BINS), F.lit(gap + 1)))
+    bins = lambda low, high, start: F.explode(F.sequence(F.floor((F.col(low) - F.col(start)) / F.col("_bin")), F.floor((F.col(high) + gap - F.col(start)) / F.col("_bin"))))
+    placed = wide.withColumn("_i", bins("x1", "x2", "_left")).withColumn("_j", bins("y1", "y2", "_top")).select(F.col(page).alias("_p"), "_i", "_j", "id", "x1", "y1", "x2", "y2")
+    a, b = placed.alias("a"), placed.alias("b")
+    near = (F.col("a.x1") <= F.col("b.x2") + gap) & (F.col("b.x1") <= F.col("a.x2") + gap) & (F.col("a.y1") <= F.col("b.y2") + gap) & (F.col("b.y1") <= F.col("a.y2") + gap)
+    same = F.col("a._p").eqNullSafe(F.col("b._p")) & (F.col("a._i") == F.col("b._i")) & (F.col("a._j") == F.col("b._j")) & (F.col("a.id") < F.col("b.id"))
+    return a.join(b, same & near).select(F.col("a._p").alias(page), F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct()
+
+
 def merge_close(boxes: DataFrame, page: str, gap: int = GAP) -> DataFrame:
     """(page, x, y, w, h): boxes of a page closer than gap become their hull, again and again until none are.
 
-    A page's boxes are few, so a page is one group."""
-
-    def merge(pdf):
-        import pandas as pd
-
-        left = [[int(v) for v in (r.x, r.y, r.x + r.w, r.y + r.h)] for r in pdf.itertuples()]
-        changed = True
-        while changed:
-            changed, done = False, []
-            for b in sorted(left):
-                for m in done:
-                    if b[0] <= m[2] + gap and m[0] <= b[2] + gap and b[1] <= m[3] + gap and m[1] <= b[3] + gap:
-                        m[:] = [min(m[0], b[0]), min(m[1], b[1]), max(m[2], b[2]), max(m[3], b[3])]
-                        changed = True
-                        break
-                else:
-                    done.append(list(b))
-            left = done
-        return pd.DataFrame([[pdf[page].iloc[0], b[0], b[1], b[2] - b[0], b[3] - b[1]] for b in left], columns=[page, "x", "y", "w", "h"])
-
-    kind = boxes.schema[page].dataType.simpleString()
-    return boxes.select(page, "x", "y", "w", "h").groupBy(page).applyInPandas(merge, f"{page} {kind}, x long, y long, w long, h long")
+    Each round gives every box the smallest id among those close to it and to them, and joins the boxes of one id to their hull; pages
+    without close boxes are done and leave the rounds. Equal boxes are one; rows without a side or a corner are left out. The
+    order of merges does not matter: what must become one hull is decided by the boxes alone."""
+    start = boxes.select(page, F.col("x").cast("long").alias("x1"), F.col("y").cast("long").alias("y1"), (F.col("x") + F.col("w")).cast("long").alias("x2"), (F.col("y") + F.col("h")).cast("long").alias("y2"))
+    start = start.where("x1 + y1 + x2 + y2 is not null").distinct()
+    work, done = stored(start.withColumn("id", F.monotonically_increasing_id()), "boxes"), []
+    while True:
+        pairs = stored(close_pairs(work, page, gap), "pairs")
+        if not pairs.limit(1).count():
+            break
+        both = pairs.select(page, "a", "b").unionByName(pairs.select(page, F.col("b").alias("a"), F.col("a").alias("b")))
+        least = both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("least")).select("id", F.least("id", "least").alias("least"))
+        # The label of the label too, so that chains shorten by more than a box a round.
+        twice = least.join(least.select(F.col("id").alias("least"), F.col("least").alias("further")), "least", "left").select("id", F.coalesce("further", "least").alias("label"))
+        moving = pairs.select(F.col(page).alias("_p")).distinct()
+        done.append(work.join(moving, F.col(page).eqNullSafe(F.col("_p")), "left_anti").drop("id"))
+        active = work.join(moving, F.col(page).eqNullSafe(F.col("_p")), "left_semi").join(twice, "id", "left").withColumn("label", F.coalesce("label", "id"))
+        hulls = active.groupBy(page, "label").agg(F.min("x1").alias("x1"), F.min("y1").alias("y1"), F.max("x2").alias("x2"), F.max("y2").alias("y2"))
+        work = stored(hulls.withColumnRenamed("label", "id").select(page, "x1", "y1", "x2", "y2", "id"), "boxes")
+    out = work.drop("id")
+    for part in done:
+        out = out.unionByName(part)
+    return out.select(page, F.col("x1").alias("x"), F.col("y1").alias("y"), (F.col("x2") - F.col("x1")).alias("w"), (F.col("y2") - F.col("y1")).alias("h"))

@@ -154,7 +154,22 @@ QUERIES = {
 _BOX = "SELECT DISTINCT l_orderkey, (l_partkey * 7) % 900 AS x, (l_suppkey * 13) % 900 AS y, CAST(l_quantity * 4 + 20 AS BIGINT) AS w, CAST(l_linenumber * 20 + 20 AS BIGINT) AS h FROM lineitem"
 _TEMPLATE_ROWS = ", ".join(f"({i}, '{t}')" for i, t in enumerate(TEMPLATES))
 
+_REGION_MERGE = """
+WITH RECURSIVE b AS (SELECT DISTINCT l_orderkey AS page, l_partkey * 7 % 900 AS x1, l_suppkey * 13 % 900 AS y1, CAST(l_quantity * 4 + 20 AS BIGINT) AS w, CAST(l_linenumber * 20 + 20 AS BIGINT) AS h FROM lineitem),
+r AS (
+  SELECT page, 0 AS step, list({'x1': x1, 'y1': y1, 'x2': x1 + w, 'y2': y1 + h}) AS boxes FROM b GROUP BY page
+  UNION ALL
+  SELECT page, step + 1, hulls FROM (
+    SELECT page, step, boxes, list_distinct(list_transform(near, lambda n: {'x1': list_min(list_transform(n, lambda q: q.x1)), 'y1': list_min(list_transform(n, lambda q: q.y1)),
+      'x2': list_max(list_transform(n, lambda q: q.x2)), 'y2': list_max(list_transform(n, lambda q: q.y2))})) AS hulls
+    FROM (SELECT page, step, boxes, list_transform(boxes, lambda p: list_filter(boxes, lambda q: p.x1 <= q.x2 + 40 AND q.x1 <= p.x2 + 40 AND p.y1 <= q.y2 + 40 AND q.y1 <= p.y2 + 40)) AS near FROM r)
+  ) WHERE list_sort(hulls) <> list_sort(boxes)
+),
+f AS (SELECT page, unnest(boxes) AS m FROM r QUALIFY step = max(step) OVER (PARTITION BY page))
+SELECT page AS l_orderkey, m.x1 AS x, m.y1 AS y, m.x2 - m.x1 AS w, m.y2 - m.y1 AS h FROM f"""
+
 ORACLE_SQL = {
+    "region_merge": _REGION_MERGE,
     "strategy_score": """WITH r AS (SELECT event_type, TRY_CAST(props->>'$.k' AS INT) AS k, round(value, 2) AS latency FROM events), g AS (SELECT min(latency) AS lo, max(latency) AS hi FROM r),
       m AS (SELECT event_type, avg(CAST(k % 2 = 0 AS INT)) AS top1, avg(CAST(k % 3 = 0 AS INT)) AS top3, avg(CAST(k % 5 = 0 AS INT)) AS answer, avg(CAST(k % 7 = 0 AS INT)) AS hallucination, (avg(latency) - any_value(lo)) / greatest(any_value(hi) - any_value(lo), 1e-9) AS latency_norm FROM r, g GROUP BY 1)
       SELECT event_type, round(top1, 6) AS top1, round(top3, 6) AS top3, round(answer, 6) AS answer, round(hallucination, 6) AS hallucination, round(latency_norm, 6) AS latency_norm, round(0.4::DOUBLE * top1 + 0.2::DOUBLE * top3 + 0.35::DOUBLE * answer - 0.15::DOUBLE * hallucination - 0.05::DOUBLE * latency_norm, 6) AS score FROM m""",
