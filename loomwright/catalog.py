@@ -8,7 +8,7 @@ from importlib import import_module
 from pyspark.sql import DataFrame, SparkSession
 
 #: Modules with QUERIES and ORACLE_SQL, in the order of the survey's families.
-MODULES: tuple[str, ...] = ("loomwright.plans.linking", "loomwright.plans.cleaning", "loomwright.plans.ranking", "loomwright.plans.retrieval", "loomwright.plans.cards", "loomwright.plans.tagging", "loomwright.plans.support", "loomwright.plans.delivery", "loomwright.plans.repair")
+MODULES: tuple[str, ...] = ("loomwright.plans.linking", "loomwright.plans.cleaning", "loomwright.plans.ranking", "loomwright.plans.retrieval", "loomwright.plans.cards", "loomwright.plans.tagging", "loomwright.plans.support", "loomwright.plans.delivery", "loomwright.plans.repair", "loomwright.plans.cases")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

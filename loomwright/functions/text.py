@@ -83,12 +83,17 @@ def xml_metadata(c: Column, tags: tuple[str, ...]) -> Column:
 
 
 def json_metadata(c: Column, most: int = 20) -> Column:
-    """Name, version, dependency count and first components of a bill of materials; 2000 characters where it is no JSON."""
+    """Name, version and type, the number of dependencies and the first of them of a bill of materials; 2000 characters of what holds none or is no JSON, nothing of a JSON null."""
     v = F.try_parse_json(c)
-    parts = F.from_json(c, "components array<struct<name:string,version:string>>, dependencies array<string>")
-    names = F.transform(F.slice(F.coalesce(parts["components"], F.array()), 1, most), lambda x: F.concat_ws(" ", x["name"], x["version"]))
-    head = F.concat_ws("\n", F.concat(F.lit("name: "), F.try_variant_get(v, "$.metadata.component.name", "string")), F.concat(F.lit("version: "), F.try_variant_get(v, "$.metadata.component.version", "string")), F.concat(F.lit("dependencies: "), F.size(parts["dependencies"])), F.array_join(names, "\n"))
-    return F.when(v.isNull(), F.substring(text_of(c), 1, 2000)).otherwise(head)
+    told = lambda node, key, default: F.coalesce(F.try_variant_get(node, f"$.{key}", "string"), F.lit(default))
+    own = F.try_variant_get(v, "$.metadata.component", "variant")
+    parts = F.try_variant_get(v, "$.components", "array<variant>")
+    names = F.transform(F.slice(parts, 1, most), lambda x: F.concat(F.lit("  - "), told(x, "name", ""), F.lit(" "), told(x, "version", "")))
+    lines = F.concat_ws(
+        "\n", *(F.when(own.isNotNull(), F.concat(F.lit(f"{label}: "), told(own, key, "N/A"))) for label, key in (("Name", "name"), ("Version", "version"), ("Type", "type"))),
+        F.concat(F.lit("Dependencies count: "), F.size(parts)), F.nullif(F.array_join(names, "\n"), F.lit("")), F.when(F.size(parts) > most, F.concat(F.lit("  ... and "), F.size(parts) - most, F.lit(" more"))),
+    )
+    return F.when(v.isNotNull() & (lines != ""), lines).when(F.is_variant_null(v), "").otherwise(F.substring(text_of(c), 1, 2000))
 
 
 def take_images(c: Column) -> Column:

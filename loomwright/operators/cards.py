@@ -50,3 +50,9 @@ def from_templates(templates: DataFrame, values: DataFrame, text_col: str, slots
 def merged(issues: DataFrame, cases: DataFrame, key: str) -> DataFrame:
     """Issue cards and resolver cases on their key; either side may be missing."""
     return issues.join(cases, key, "full_outer")
+
+
+def card_issues(issues: DataFrame, include_all: bool = False, number: str = "issue_number", rescued: str = "rescue_applied") -> DataFrame:
+    """Issues that get a diagnostic card: rescued ones, or all on demand; never one without a number. A missing mark counts as not rescued."""
+    numbered = issues.where(F.col(number).isNotNull())
+    return numbered if include_all else numbered.where(F.coalesce(F.col(rescued), F.lit(False)))

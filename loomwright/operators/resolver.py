@@ -9,7 +9,7 @@ from loomwright.functions.rules import ordered_case, text_of
 from loomwright.functions.text import first_sentence, normalize_path, normalize_whitespace, request_body, unescaped_url
 from loomwright.operators.cards import none_text
 from loomwright.operators.tagging import module_of
-from loomwright.operators.windows import prefer, top_per_key
+from loomwright.operators.windows import prefer
 
 # What a status says, and the last lines of a case's text.
 ASSESSMENTS = (
@@ -97,6 +97,11 @@ def case_text(titles: Column, messages: Column, bodies: Column) -> Column:
     )
 
 
+def request_bodies(prs_of: DataFrame, most: int = 2) -> DataFrame:
+    """(issue_number, pos, pr_number, body) of a case's first requests: of its first numbers those that are known, no later ones in their place."""
+    return prs_of.where(F.col("pos") < most).select("issue_number", "pos", "pr_number", "body")
+
+
 def resolver_cases(cases: DataFrame, commits: DataFrame, prs: DataFrame, documents: DataFrame, base_url: str, reference_only: bool = False) -> DataFrame:
     """Cases with their text, links and file evidence.
 
@@ -108,7 +113,7 @@ def resolver_cases(cases: DataFrame, commits: DataFrame, prs: DataFrame, documen
     prs_of = pr_refs.join(prs.select("pr_number", "title", "body", F.col("github_url").alias("url")), "pr_number")
     repos = kept.select("issue_number", "repo")
     files = files_evidence(with_documents(changed_files(commits_of).join(repos, "issue_number"), documents, base_url, F.col("repo")))
-    bodies = top_per_key(prs_of.select("issue_number", "pos", "pr_number", "body"), ["issue_number"], [F.col("pos")], 2)
+    bodies = request_bodies(prs_of)
     out = kept
     for side in (
         in_order(prs_of, text_of("title"), "_titles"), in_order(prs_of.where("url <> ''"), F.col("url"), "linked_pr_urls"), in_order(bodies, F.struct("pr_number", "body"), "_bodies"),

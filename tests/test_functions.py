@@ -46,6 +46,12 @@ def test_images_truncation_and_rules(spark):
     assert (r["cite"], r["hal"], r["act"], r["ver"], r["work"], r["src"], r["total"]) == (2, 1, 0, 2, 0, 1, 6)
     assert value(spark, text.key_values(F.col("t"), ("A", "B")), t="A: 1\nB: 2\nA: 3") == {"A": "3", "B": "2"}
     assert value(spark, text.json_metadata(F.col("t")), t="no json") == "no json"
+    bill = '{"metadata": {"component": {"name": "n", "version": 1, "type": "lib"}}, "components": [{"name": "a", "version": "2"}], "dependencies": ["x", "y"]}'
+    assert value(spark, text.json_metadata(F.col("t")), t=bill) == "Name: n\nVersion: 1\nType: lib\nDependencies count: 1\n  - a 2"
+    many = '{"components": [' + ", ".join(f'{{"name": "c{i}"}}' for i in range(23)) + "]}"
+    assert value(spark, text.json_metadata(F.col("t")), t=many).split("\n")[0::20] == ["Dependencies count: 23", "  - c19 "]
+    assert value(spark, text.json_metadata(F.col("t")), t=many).endswith("  ... and 3 more")
+    assert value(spark, text.json_metadata(F.col("t")), t='{"metadata": {"component": {}}}') == "Name: N/A\nVersion: N/A\nType: N/A"
 
 
 @pytest.mark.parametrize("given, most, ordered, want", [("aa\n\nbb\n\ncccc", 6, False, ["aa\n\nbb", "cccc"]), ("", 6, False, []), ("aa\n\nxxxxxxxx", 6, False, ["xxxxxx", "aa\n\nxx"]), ("aa\n\nxxxxxxxx", 6, True, ["aa", "xxxxxx", "xx"])])
