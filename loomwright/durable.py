@@ -18,7 +18,7 @@ def shared_folder(spark: SparkSession) -> str:
             raise ValueError("spark.checkpoint.dir is not set: on a cluster it has to name a folder that the driver and all executors share")
         base = current.get() if current.isDefined() else "file://" + tempfile.mkdtemp(prefix="loomwright-")
         sc.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/loomwright/{sc.applicationId}"
+    return f"{base.rstrip('/')}/loomwright-tables/{sc.applicationId}"
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -26,3 +26,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}/{name}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def still_there(df: DataFrame) -> bool:
+    """Whether the files that a stored frame reads are still in their folder."""
+    spark = df.sparkSession
+    files = df.inputFiles()
+    if not files:
+        return True
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(files[0])
+    return bool(path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path))

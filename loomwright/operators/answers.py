@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -91,12 +91,30 @@ def forbidden_found(answer: Column, pattern: str | None) -> Column:
     return F.lit("") if not given else text_of(answer).rlike("(?i)" + given).cast("int").cast("string")
 
 
+@F.pandas_udf(T.StringType())
+def forbidden_flags(answer: pd.Series, pattern: pd.Series) -> pd.Series:
+    """forbidden_found of pairs: a pattern is compiled once in a batch, whatever their number."""
+    import re
+    from functools import lru_cache
+
+    @lru_cache(maxsize=4096)
+    def compiled(given: str):
+        try:
+            return re.compile(given, re.IGNORECASE) if given else None
+        except re.error:
+            return None
+
+    def flag(text, given) -> str:
+        found = compiled((given or "").strip())
+        return "" if found is None else str(int(bool(found.search(text or ""))))
+
+    return pd.Series([flag(*pair) for pair in zip(answer, pattern, strict=True)], dtype=object)
+
+
 def forbidden_by_question(answers: DataFrame, questions: DataFrame, key: str, answer: str, pattern: str, out: str = "hallucination") -> DataFrame:
-    """forbidden_found for every answer with its question's pattern: distinct patterns are few, one for each question."""
-    given = [r[0] for r in questions.select(pattern).where(F.trim(text_of(pattern)) != "").distinct().collect()]
+    """forbidden_found for every answer with its question's pattern; questions may be any number."""
     both = answers.join(questions.select(key, F.col(pattern).alias("_p")), key, "left")
-    value = reduce(lambda c, p: c.when(F.col("_p") == p, forbidden_found(F.col(answer), p)), given, F.when(F.trim(text_of("_p")) == "", ""))
-    return both.withColumn(out, F.coalesce(value, F.lit(""))).drop("_p")
+    return both.withColumn(out, forbidden_flags(F.col(answer), F.col("_p"))).drop("_p")
 
 
 def is_evaluated(columns: tuple[str, ...] = ("has_relevant_doc_top1", "has_relevant_doc_top3", "final_answer_correct", "hallucination", "latency_seconds")) -> Column:
@@ -177,10 +195,12 @@ def flat_run(rows: DataFrame) -> DataFrame:
     )
 
 
-def described(tasks: DataFrame, key: str = "image_id") -> DataFrame:
-    """Task rows by image, the last of an image; rows without one are left out."""
-    named = tasks.where(text_of(F.col(key).cast("string")) != "").withColumn("_at", F.monotonically_increasing_id())
-    return prefer(named, [key], [F.desc("_at")]).drop("_at")
+def described(tasks: DataFrame, key: str = "image_id", order: Sequence[str] = ()) -> DataFrame:
+    """Task rows by image, the last of an image in this order (without one, as they are read); rows without an image are left out."""
+    named = tasks.where(text_of(F.col(key).cast("string")) != "")
+    if order:
+        return prefer(named, [key], [F.desc(c) for c in order])
+    return prefer(named.withColumn("_at", F.monotonically_increasing_id()), [key], [F.desc("_at")]).drop("_at")
 
 
 def sources_of_text(text: Column) -> Column:

@@ -13,10 +13,12 @@ from loomwright.operators.windows import ordered_distinct
 
 # Peripherals that name a component, those that are also plain words, other spellings, and failure patterns.
 COMPONENTS = (
-    "ADC CAN CEC COMP CORDIC CORTEX CRC CRS CRYP DAC DCACHE DCMI DELAYBLOCK DFSDM DMA DMAMUX DMA2D DSI DTS ETH EXTI FDCAN FIREWALL FLASH FMAC FMC GFXMMU GFXTIM "
-    "GPIO GPU2D GTZC HASH HRTIM HSEM HSPI I2C ICACHE IPCC IRDA IWDG JPEG LCD LPGPIO LPTIM LTDC MDF MDIOS MDMA MRSUBG OSPI OPAMP OTFDEC PKA PSSI PWR QSPI RAMCFG RAMECC "
-    "RCC RNG RTC SAI SDMMC SMARTCARD SPDIFRX SPI SWPMI TIM TSC UART UCPD USART USB WWDG XSPI"
-).split()
+    "ADC", "CAN", "CEC", "COMP", "CORDIC", "CORTEX", "CRC", "CRS", "CRYP", "DAC", "DCACHE", "DCMI", "DELAYBLOCK", "DFSDM", "DMA", "DMAMUX", "DMA2D",
+    "DSI", "DTS", "ETH", "EXTI", "FDCAN", "FIREWALL", "FLASH", "FMAC", "FMC", "GFXMMU", "GFXTIM", "GPIO", "GPU2D", "GTZC", "HASH", "HRTIM", "HSEM",
+    "HSPI", "I2C", "ICACHE", "IPCC", "IRDA", "IWDG", "JPEG", "LCD", "LPGPIO", "LPTIM", "LTDC", "MDF", "MDIOS", "MDMA", "MRSUBG", "OSPI", "OPAMP",
+    "OTFDEC", "PKA", "PSSI", "PWR", "QSPI", "RAMCFG", "RAMECC", "RCC", "RNG", "RTC", "SAI", "SDMMC", "SMARTCARD", "SPDIFRX", "SPI", "SWPMI", "TIM",
+    "TSC", "UART", "UCPD", "USART", "USB", "WWDG", "XSPI",
+)
 AMBIGUOUS = ("CAN", "COMP", "TIM")
 ALIASES = {"ETHERNET": "ETH", "USB_OTG": "USB", "TIMER": "TIM", "TIMERS": "TIM"}
 MISSING = ("", "none", "null", "unknown", "other", "n/a", "na")

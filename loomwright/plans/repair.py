@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomwright.durable import shared_folder
+from loomwright.functions.rules import text_of
 from loomwright.operators import answers, payload_repair
 from loomwright.plans.support import made, made_sql
+from loomwright.session import table
+from loomwright.sources import committed
 
 #: Responses that cite at up to fourteen levels: lists in lists, keys in several cases, blanks, numbers and repeats.
 RESPONSES = {
@@ -74,6 +80,20 @@ s AS (SELECT *, replace(coalesce(patched, content), chr(10), chr(92) || 'n') AS
 SELECT doc_id, status, CASE status WHEN 'fixed' THEN md5(patched) WHEN 'relaxed' THEN NULL ELSE md5(content) END AS content, CASE WHEN status <> 'failed' THEN md5(json_extract_string(CASE status WHEN 'relaxed' THEN flat WHEN 'ok' THEN content ELSE patched END, '$.text')) END AS told FROM s
 """
 
-QUERIES = {"nested_sources": nested_sources, "payload_repairs": payload_repairs}
+def array_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents written as one JSON array for each source, and what the files hold when they are read again."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    folder = f"{shared_folder(spark)}/arrays-{uuid.uuid4().hex}"
+    committed.json_array_files(docs, folder, "source")
+    back = committed.read_arrays(spark, folder, "doc_id bigint, source string, text string")
+    return back.groupBy("file").agg(F.count(F.lit(1)).alias("docs"), F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc"), F.sum(F.length(text_of("text"))).alias("chars"), F.md5(F.array_join(F.sort_array(F.collect_list(F.md5(text_of("text")))), "")).alias("texts"))
+
+
+ARRAY_FILES = """
+SELECT regexp_replace(source, '[^A-Za-z0-9.-]', '_', 'g') || '.json' AS file, count(*) AS docs, min(doc_id) AS first_doc, max(doc_id) AS last_doc, CAST(sum(length(coalesce(text, ''))) AS BIGINT) AS chars,
+  md5(string_agg(md5(coalesce(text, '')), '' ORDER BY md5(coalesce(text, '')))) AS texts FROM documents WHERE source IS NOT NULL GROUP BY 1
+"""
+
+QUERIES = {"array_files": array_files, "nested_sources": nested_sources, "payload_repairs": payload_repairs}
 
-ORACLE_SQL = {"nested_sources": NESTED_SOURCES, "payload_repairs": PAYLOAD_REPAIRS}
+ORACLE_SQL = {"array_files": ARRAY_FILES, "nested_sources": NESTED_SOURCES, "payload_repairs": PAYLOAD_REPAIRS}
