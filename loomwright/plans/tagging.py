@@ -41,7 +41,7 @@ def answer_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _N = len(tagging.COMPONENTS)
-_LIST = str(tagging.COMPONENTS)
+_LIST = str(list(tagging.COMPONENTS))
 _TEXT = f"""
 WITH n AS (SELECT o_orderkey AS k, {_LIST} AS c FROM orders),
 t AS (SELECT k AS o_orderkey, c[k * 7 % {_N} + 1] AS label, 'Drivers/' || c[k % {_N} + 1] || CASE WHEN k % 2 = 0 THEN '_HAL_Driver/x.c' ELSE '/CMSIS/x.c' END AS path,
