@@ -73,11 +73,20 @@ def has(tags: Column, *names: str) -> Column:
     return F.arrays_overlap(tags, F.array(*map(F.lit, names)))
 
 
-def field(text: Column, key: str) -> Column:
-    """The value of the last `key: value` line; null without one."""
-    lines = F.filter(F.split(text_of(text), "\n"), lambda x: F.contains(x, F.lit(":")) & (F.trim(F.substring_index(x, ":", 1)) == key))
-    last = F.get(F.reverse(lines), F.lit(0))
-    return F.trim(F.substring(F.trim(last), F.instr(F.trim(last), ":") + 1, F.length(last)))
+def labelled(text: Column) -> Column:
+    """array of struct(key, value) of the `key: value` lines of a text, in order."""
+    lines = F.filter(F.split(text_of(text), "\n"), lambda x: F.contains(x, F.lit(":")))
+
+    def parsed(x: Column) -> Column:
+        bare = F.trim(x)
+        return F.struct(F.trim(F.substring_index(x, ":", 1)).alias("key"), F.trim(F.substring(bare, F.instr(bare, ":") + 1, F.length(bare))).alias("value"))
+
+    return F.transform(lines, parsed)
+
+
+def field(lines: Column, key: str) -> Column:
+    """The value of the last of the labelled lines that has the key; null without one."""
+    return F.get(F.reverse(F.filter(lines, lambda x: x["key"] == key)), F.lit(0))["value"]
 
 
 def normalized_series(c: Column) -> Column:
@@ -233,8 +242,11 @@ def cards(joined: DataFrame, repo: str = "repo", issue: str = "issue", case: str
     i, r = F.col(issue), F.col(case)
     told, solved = text_of(i["st_ready_text"]), text_of(r["resolver_card_text"])
     first = lambda *xs: F.coalesce(*(F.nullif(x, F.lit("")) for x in xs))
-    base = joined.select(F.col(repo).alias("repo"), i.alias("issue"), r.alias("case"), *(field(told, k).alias(f"_i_{n}") for n, k in (("problem", "Problem"), ("context", "Context"), ("root", "Root cause"), ("fix", "Fix"), ("constraints", "Constraints"), ("keywords", "Keywords"))),
-                         *(field(solved, k).alias(f"_r_{n}") for n, k in (("problem", "Problem"), ("context", "Context"), ("signal", "Resolver signal"), ("assessment", "Assessment"), ("candidates", "Candidate PRs"))), technical_body(told).alias("_body"))
+    parsed = joined.select(F.col(repo).alias("repo"), i.alias("issue"), r.alias("case"), labelled(told).alias("_told"), labelled(solved).alias("_solved"), technical_body(told).alias("_body"))
+    base = parsed.select(
+        "repo", "issue", "case", "_body", *(field(F.col("_told"), k).alias(f"_i_{n}") for n, k in (("problem", "Problem"), ("context", "Context"), ("root", "Root cause"), ("fix", "Fix"), ("constraints", "Constraints"), ("keywords", "Keywords"))),
+        *(field(F.col("_solved"), k).alias(f"_r_{n}") for n, k in (("problem", "Problem"), ("context", "Context"), ("signal", "Resolver signal"), ("assessment", "Assessment"), ("candidates", "Candidate PRs"))),
+    )
     i, r = F.col("issue"), F.col("case")
     told, solved = text_of(i["st_ready_text"]), text_of(r["resolver_card_text"])
     title = normalize_whitespace(F.coalesce(first(i["issue_title"], r["issue_title"], F.col("_i_problem"), F.col("_r_problem")), F.lit(UNTITLED)))

@@ -22,6 +22,8 @@ ASSESSMENTS = (
 OTHER_ASSESSMENT = "Potential fix linkage requires validation."
 FILE_LINE = "File evidence: merged PR modifies files even when commit log is merge-heavy"
 LAST_LINE = "Constraints: Validate against exact MCU series, board, firmware package version, and local project config before applying."
+#: The requests of a case whose bodies are shown (fixed value).
+BODIES = 2
 #: What a changed file that is also a document scores above its changes (fixed value).
 MATCHED = 20.0
 
@@ -38,7 +40,8 @@ def linked_commits(cases: DataFrame, commits: DataFrame) -> DataFrame:
     Of several rows with one sha the one with the most changed files stays, then the least message."""
     refs = cases.select("issue_number", F.posexplode("linked_commit_shas").alias("pos", "_sha")).select("issue_number", "pos", F.lower(F.trim("_sha")).alias("sha"))
     known = commits.select(F.lower(F.trim("sha")).alias("sha"), "message", F.col("github_url").alias("url"), "files_changed")
-    known = prefer(known, ["sha"], [F.desc(F.size("files_changed")), F.col("message"), F.col("url")])
+    # Rows of commits carry whole file lists, so those that no case names go before they are ranked.
+    known = prefer(known.join(refs.select("sha").distinct(), "sha", "left_semi"), ["sha"], [F.desc(F.size("files_changed")), F.col("message"), F.col("url")])
     return refs.where("sha <> ''").join(known, "sha").select("issue_number", "pos", "sha", "message", "url", "files_changed")
 
 
@@ -74,9 +77,20 @@ def files_evidence(files: DataFrame) -> DataFrame:
     ).withColumn("files", F.transform("files", lambda f: f.dropFields("a", "b", "seen"))).withColumn("primary_changed_file", F.get("files", F.lit(0)))
 
 
-def in_order(linked: DataFrame, value: Column, name: str) -> DataFrame:
-    """(issue_number, array of the values in the order of the links)."""
-    return linked.groupBy("issue_number").agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", value.alias("v")))), lambda x: x["v"]).alias(name))
+def link_evidence(prs_of: DataFrame, commits_of: DataFrame) -> DataFrame:
+    """One row for each issue: _titles, linked_pr_urls, _bodies (of its first requests), _messages and linked_commit_urls, each in the order of
+    the links. Requests and commits are one table, so an issue is grouped once."""
+    empty = F.lit(None).cast
+    requests = prs_of.select("issue_number", "pos", F.lit(True).alias("is_pr"), F.col("pr_number").cast("long").alias("number"), text_of("title").alias("told"), "url", "body")
+    others = commits_of.select("issue_number", "pos", F.lit(False).alias("is_pr"), empty("long").alias("number"), text_of("message").alias("told"), "url", empty("string").alias("body"))
+    told, url, body = F.col("told"), F.col("url"), F.struct(F.col("number").alias("pr_number"), "body")
+    # collect_list leaves nulls out, so a value that does not belong to an array is null.
+    listed = lambda where, value: F.transform(F.sort_array(F.collect_list(F.when(where, F.struct("pos", value.alias("v"))))), lambda x: x["v"])
+    is_pr, has_url = F.col("is_pr"), F.col("url") != ""
+    return requests.unionByName(others).groupBy("issue_number").agg(
+        listed(is_pr, told).alias("_titles"), listed(is_pr & has_url, url).alias("linked_pr_urls"), listed(is_pr & (F.col("pos") < BODIES), body).alias("_bodies"),
+        listed(~is_pr, told).alias("_messages"), listed(~is_pr & has_url, url).alias("linked_commit_urls"),
+    )
 
 
 def case_text(titles: Column, messages: Column, bodies: Column) -> Column:
@@ -97,7 +111,7 @@ def case_text(titles: Column, messages: Column, bodies: Column) -> Column:
     )
 
 
-def request_bodies(prs_of: DataFrame, most: int = 2) -> DataFrame:
+def request_bodies(prs_of: DataFrame, most: int = BODIES) -> DataFrame:
     """(issue_number, pos, pr_number, body) of a case's first requests: of its first numbers those that are known, no later ones in their place."""
     return prs_of.where(F.col("pos") < most).select("issue_number", "pos", "pr_number", "body")
 
@@ -113,13 +127,7 @@ def resolver_cases(cases: DataFrame, commits: DataFrame, prs: DataFrame, documen
     prs_of = pr_refs.join(prs.select("pr_number", "title", "body", F.col("github_url").alias("url")), "pr_number")
     repos = kept.select("issue_number", "repo")
     files = files_evidence(with_documents(changed_files(commits_of).join(repos, "issue_number"), documents, base_url, F.col("repo")))
-    bodies = request_bodies(prs_of)
-    out = kept
-    for side in (
-        in_order(prs_of, text_of("title"), "_titles"), in_order(prs_of.where("url <> ''"), F.col("url"), "linked_pr_urls"), in_order(bodies, F.struct("pr_number", "body"), "_bodies"),
-        in_order(commits_of, text_of("message"), "_messages"), in_order(commits_of.where("url <> ''"), F.col("url"), "linked_commit_urls"), files,
-    ):
-        out = out.join(side, "issue_number", "left")
+    out = kept.join(link_evidence(prs_of, commits_of), "issue_number", "left").join(files, "issue_number", "left")
     none = F.array().cast("array<string>")
     text = case_text(F.coalesce("_titles", none), F.coalesce("_messages", none), F.coalesce("_bodies", F.array().cast("array<struct<pr_number:bigint,body:string>>")))
     out = out.withColumn("resolver_card_text", text).withColumn("id", F.concat(F.lit("resolver::"), F.col("repo"), F.lit("::issue::"), F.col("issue_number").cast("string")))
