@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomwright.functions.rules import score_band, text_of
-from loomwright.operators import cards, quality, regions
+from loomwright.operators import cards, passages, quality, regions
 from loomwright.session import table
 
 #: Bounds of the score bands, and the question templates.
@@ -53,9 +53,7 @@ def score_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def full_outer_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labels and documents that hold a whole benchmark passage, on the document."""
-    passages = table(spark, sf_dir, "benchmark").select(text_of("text").alias("h")).where("h != ''").distinct()
-    # The benchmark's items are the query set; all documents are held against them.
-    hit = table(spark, sf_dir, "documents").join(passages, F.contains(text_of("text"), F.col("h")), "left_semi").select("doc_id", F.lit(1).alias("leak"))
+    hit = passages.holding(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select("doc_id", F.lit(1).alias("leak"))
     return cards.merged(table(spark, sf_dir, "labels"), hit, "doc_id").select("doc_id", "quality", "leak")
 
 
