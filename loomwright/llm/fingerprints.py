@@ -4,8 +4,9 @@ Native. Each anchor (a common word of one of four languages, or the start of a l
 chain of the next two content words, over other anchors where they stand between; anchor and chain make
 a signature. Where no anchor comes for more than RUN content words, each of them starts a signature with
 the words after it, so that the whole text counts. A document's fingerprint is the sorted set of its
-64-bit signature hashes. near_pairs compares fingerprints partitioned by set length, through Jaccard
-pruned by the lengths; the registered query compares each with two given ones and needs no partitions.
+64-bit signature hashes. near_links compares distinct fingerprints partitioned by set length, through Jaccard
+pruned by the lengths and by rare signatures; the registered query compares each with two given ones and
+needs no partitions.
 """
 
 from __future__ import annotations
@@ -84,21 +85,42 @@ def likeness(a: Column, b: Column, least: float = 0.0) -> Column:
     )
 
 
-def near_pairs(rows: DataFrame, id_col: str, sigs_col: str, near: float = NEAR) -> DataFrame:
-    """(a, b, likeness), a < b, of all pairs of ids whose signature sets have a Jaccard of `near` or more; sets in
-    ascending order, as with_signatures makes them. A null id is in no pair.
-
-    A set meets those of its length class and the next. In it, pairs that reach `near` share one of the first
-    n - ceil(near n) + 1 hashes of each; empty sets, all alike, share a mark."""
-    n = F.size("s")
-    lead = F.when(n > 0, F.slice("s", F.lit(1), (n - F.ceil(n * F.lit(near) - F.lit(1e-9)) + 1).cast("int"))).otherwise(F.array(F.lit(0).cast("long")))
-    sets = durable(rows.select(F.col(id_col).alias("id"), F.col(sigs_col).alias("s")))
-    led = sets.select("id", length_class(F.col("s"), near).alias("class"), F.explode(lead).alias("h"))
+def members(rows: DataFrame, id_col: str, sigs_col: str) -> DataFrame:
+    """(id, class_id) of every id: the least id whose signature set is the same. Empty sets are one class; null ids are in none."""
+    sets = rows.select(F.col(id_col).alias("id"), F.col(sigs_col).alias("s")).where("id is not null")
+    return sets.join(sets.groupBy("s").agg(F.min("id").alias("class_id")), "s").select("id", "class_id").distinct()
+
+
+def near_links(rows: DataFrame, id_col: str, sigs_col: str, near: float = NEAR) -> DataFrame:
+    """(a, b, likeness), a < b, of the pairs of classes, as in `members`, whose sets differ and have a Jaccard of `near` or more.
+
+    Each distinct set is one row, so copies and empty sets, however many, add nothing. A set meets those of its length class and the
+    next. Hashes stand in one global order, the rarest first, and pairs that reach `near` share one of the first n - ceil(near n) + 1
+    of each; a hash of one set alone links nothing. Signatures that a whole corpus shares come last and are seldom met.
+    A row with a null set takes no part. Sets need not be sorted; their members are distinct."""
+    sets = durable(rows.select(F.col(id_col).alias("id"), F.col(sigs_col).alias("s")).where("id is not null and size(s) > 0").groupBy("s").agg(F.min("id").alias("id")))
+    each = sets.select("id", F.explode("s").alias("h"))
+    ordered = each.join(each.groupBy("h").agg(F.count(F.lit(1)).alias("n")), "h").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("n", "h"))).alias("o"))
+    n = F.size("o")
+    lead = F.slice("o", F.lit(1), (n - F.ceil(n * F.lit(near) - F.lit(1e-9)) + 1).cast("int"))
+    led = durable(ordered.select("id", length_class(F.col("o"), near).alias("class"), F.explode(F.transform(F.filter(lead, lambda x: x["n"] > 1), lambda x: x["h"])).alias("h")))
     low = led.select(F.col("id").alias("x"), "h", F.explode(F.array(F.col("class"), F.col("class") + 1)).alias("class"))
     met = low.join(led.withColumnRenamed("id", "y"), ["class", "h"]).where("x != y")
     pairs = met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
     both = pairs.join(sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a").join(sets.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b")
-    return both.select("a", "b", likeness(F.col("sa"), F.col("sb"), near).alias("likeness")).where(F.col("likeness") >= near).distinct()
+    return both.select("a", "b", likeness(F.col("sa"), F.col("sb"), near).alias("likeness")).where(F.col("likeness") >= near)
+
+
+def near_pairs(rows: DataFrame, id_col: str, sigs_col: str, near: float = NEAR) -> DataFrame:
+    """(a, b, likeness), a < b, of all pairs of ids whose signature sets have a Jaccard of `near` or more. A null id is in no pair.
+
+    This writes out near_links for every member, so n copies make n squared pairs; large tables take near_links and members."""
+    of = durable(members(rows, id_col, sigs_col))
+    links = near_links(rows, id_col, sigs_col, near)
+    x, y = of.select(F.col("id").alias("x"), F.col("class_id").alias("a")), of.select(F.col("id").alias("y"), F.col("class_id").alias("b"))
+    across = links.join(x, "a").join(y, "b").select("x", "y", "likeness")
+    inside = x.join(y, F.col("a") == F.col("b")).where("x < y").select("x", "y", F.lit(1.0).alias("likeness"))
+    return across.unionByName(inside).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "likeness").where("a != b").distinct()
 
 
 def ranges(docs: DataFrame, id_col: str) -> list:
