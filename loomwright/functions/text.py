@@ -137,7 +137,11 @@ def normalize_path(c: Column) -> Column:
 
 def blob_url(owner: str, repo: Column, path: Column, ref: str = "master") -> Column:
     """A file's web address, each part of the path percent-encoded, slashes kept."""
-    parts = F.transform(F.split(path, "/"), lambda p: F.replace(F.replace(F.url_encode(p), F.lit("+"), F.lit("%20")), F.lit("%7E"), F.lit("~")))
+    def encoded(part: Column) -> Column:
+        # What a form's encoding writes in another way than an address does.
+        return F.replace(F.replace(F.replace(F.url_encode(part), F.lit("+"), F.lit("%20")), F.lit("%7E"), F.lit("~")), F.lit("*"), F.lit("%2A"))
+
+    parts = F.transform(F.split(path, "/"), encoded)
     return F.concat(F.lit(f"https://github.com/{owner}/"), repo, F.lit(f"/blob/{ref}/"), F.array_join(parts, "/"))
 
 

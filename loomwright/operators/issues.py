@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from loomwright.functions.paths import example_name, file_id
 from loomwright.functions.rules import ANCHOR, board, component, lower_all, series_of, text_of
-from loomwright.functions.text import compact_comments, first_sentence, normalize_whitespace, slugify, strip, truncate_text
+from loomwright.functions.text import blob_url, compact_comments, first_sentence, normalize_whitespace, slugify, strip, truncate_text
 from loomwright.operators.cards import flag_text, none_text
 from loomwright.operators.windows import ordered_distinct
 
@@ -95,6 +95,28 @@ def file_documents(files: DataFrame, least: int = 100) -> DataFrame:
     })
 
 
+#: Columns of a clean file that may be missing, with their types.
+OPTIONAL = {"github_url": "string", "media_urls": "array<string>", "image_records": "array<struct<image_url:string>>", "images_count": "bigint", "content_extractor": "string", "pdf_task_file": "string"}
+
+
+def file_records(files: DataFrame, owner: str, least: int = 100, version: str = "v2.0") -> DataFrame:
+    """The whole record of each clean file: that of file_documents with address, images, extractor and version.
+
+    Columns of OPTIONAL that files do not have count as null. An address that is given stays; else it is made of repository and path,
+    and is null where one of them is missing or empty. Images are counted from their records where no count is given, or 0. Ids hang on
+    repository and path alone; an id by the hash of one interpreter run, which no other run gives again, is not made."""
+    known = files.withColumns({c: F.lit(None).cast(t) for c, t in OPTIONAL.items() if c not in files.columns})
+    docs = file_documents(known.withColumn("path", text_of("path")).withColumn("clean_text", text_of("clean_text")), least)
+    given = lambda c: F.nullif(F.col(c), F.lit(""))
+    slashed = F.regexp_replace(F.replace("path", F.lit("\\"), F.lit("/")), "^/+", "")
+    made = F.when((text_of("repo") != "") & (F.col("path") != ""), blob_url(owner, F.col("repo"), slashed))
+    counted = F.coalesce(F.nullif(F.col("images_count").cast("long"), F.lit(0)), F.size(F.coalesce("image_records", F.array())).cast("long"))
+    return docs.withColumns({
+        "type": F.lit("file"), "github_url": F.coalesce(given("github_url"), made), "ingest_version": F.lit(version), "image_urls": F.coalesce("media_urls", F.array().cast("array<string>")), "images_count": counted,
+        "content_extractor": F.coalesce(given("content_extractor"), F.lit("text")),
+    }).drop("media_urls")
+
+
 def plain_documents(issues: DataFrame, version: str = "v1.0") -> DataFrame:
     """Clean issues as plain documents: id, series and whether a label confirms a bug; no other trait."""
     bug = F.arrays_overlap(lower_all(F.col("labels")), F.array(F.lit("bug"), F.lit("internal bug tracker")))

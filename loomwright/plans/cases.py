@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomwright.functions import text
-from loomwright.operators import cards, diagnostic, resolver, tagging
-from loomwright.plans.support import DIAGNOSTIC, made, made_sql
+from loomwright.operators import cards, diagnostic, issues, resolver, tagging
+from loomwright.plans.support import DIAGNOSTIC, bar, listed, made, made_sql
 
 #: Bills of materials of 0 to 39 components, without a component, without components, other JSON and plain text.
 MATERIALS = {
@@ -37,6 +37,38 @@ SELECT doc_id, md5(told) AS told, CAST(length(told) AS INTEGER) AS chars FROM o
 """
 
 
+#: Documents as clean files: paths with signs that an address encodes, with other slashes, without a path or repository; images with and without a count.
+RECORDS = {
+    "doc_id": "doc_id", "repo": "CASE doc_id % 5 WHEN 0 THEN 'CubeH7' WHEN 1 THEN 'cube_f4' WHEN 2 THEN source WHEN 3 THEN '' END",
+    "path": """CASE doc_id % 7 WHEN 0 THEN concat('/Projects/Examples/ADC ', doc_id, '/main.c') WHEN 1 THEN concat('docs', chr(92), 'a+b*c~', doc_id, '.md') WHEN 2 THEN 'Src/größe #1 & 50%.c' WHEN 3 THEN '' WHEN 4 THEN 'x/Examples'
+      WHEN 5 THEN concat('//Examples/(', coalesce(lang, ''), ')/[', doc_id, ']=@:!.h') END""",
+    "clean_text": "text", "file_type": "CASE doc_id % 3 WHEN 0 THEN 'driver_source' WHEN 1 THEN '' END", "github_url": "CASE doc_id % 11 WHEN 0 THEN concat('https://x/', doc_id) WHEN 1 THEN '' END",
+    "images": "CASE doc_id % 4 WHEN 0 THEN 'u1,u2,u3' WHEN 1 THEN '' WHEN 2 THEN 'u4' END", "images_count": "CASE doc_id % 6 WHEN 0 THEN 0 WHEN 1 THEN 9 END", "content_extractor": "CASE doc_id % 3 WHEN 0 THEN 'pdf' WHEN 1 THEN '' END",
+}
+
+
+def file_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = made(spark, sf_dir, "documents", RECORDS).withColumn("media_urls", F.when(F.col("images").isNotNull(), listed("images")))
+    rows = rows.withColumn("image_records", F.transform("media_urls", lambda u: F.struct(u.alias("image_url")))).drop("images")
+    return issues.file_records(rows, "owner").select(
+        "doc_id", "id", "type", "source_kind", "mcu_package", "mcu_series", "file_type", "path", "github_url", "example_name", "ingest_version", bar("image_urls").alias("images"), "images_count", "content_extractor", "is_valid",
+        F.md5("clean_text").alias("text_md5"),
+    )
+
+
+FILE_RECORDS = f"""
+WITH i AS ({made_sql("documents", RECORDS)}),
+n AS (SELECT *, coalesce(path, '') AS p, replace(coalesce(path, ''), chr(92), '/') AS q, list_filter(string_split(images, ','), lambda x: x <> '') AS u FROM i),
+s AS (SELECT *, regexp_replace(q, '^/+', '') AS bare, string_split(q, '/') AS steps FROM n)
+SELECT doc_id, lower(coalesce(repo, '')) || '-file-' || sha1(lower(coalesce(repo, '')) || ':' || bare)[1:16] AS id, 'file' AS type, 'file' AS source_kind, repo AS mcu_package,
+  CASE WHEN contains(upper(repo), 'H7') THEN 'H7' WHEN contains(upper(repo), 'F4') THEN 'F4' WHEN contains(upper(repo), 'H5') THEN 'H5' END AS mcu_series, coalesce(nullif(file_type, ''), 'other') AS file_type, p AS path,
+  coalesce(nullif(github_url, ''), CASE WHEN repo <> '' AND p <> '' THEN 'https://github.com/owner/' || repo || '/blob/master/' || replace(url_encode(bare), '%2F', '/') END) AS github_url,
+  CASE WHEN list_position(steps, 'Examples') > 0 THEN steps[list_position(steps, 'Examples') + 1] END AS example_name, 'v2.0' AS ingest_version, coalesce(array_to_string(u, '|'), '') AS images,
+  coalesce(nullif(CAST(images_count AS BIGINT), 0), len(u), 0) AS images_count, coalesce(nullif(content_extractor, ''), 'text') AS content_extractor, length(coalesce(text, '')) >= 100 AS is_valid, md5(coalesce(text, '')) AS text_md5
+FROM (SELECT s.*, clean_text AS text FROM s)
+"""
+
+
 def request_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An order's suppliers as its requests, of which every third is not known: bodies of the first two numbers, where they are."""
     refs = spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet").groupBy("l_orderkey").agg(F.sort_array(F.collect_set("l_suppkey")).alias("numbers"))
@@ -95,6 +127,6 @@ SELECT doc_id, CASE WHEN {_ERROR} THEN 'error_message' WHEN {_SYMBOL} THEN 'api_
   CASE WHEN {_ERROR} OR contains(lower(coalesce(tags, '')), 'debug') THEN 'error_message' WHEN {_SYMBOL} THEN 'api_symbol' ELSE 'how_to' END AS by_tags FROM i
 """
 
-QUERIES = {"bill_of_materials": bill_of_materials, "request_bodies": request_bodies, "rescued_cards": rescued_cards, "question_types": question_types}
+QUERIES = {"file_records": file_records, "bill_of_materials": bill_of_materials, "request_bodies": request_bodies, "rescued_cards": rescued_cards, "question_types": question_types}
 
-ORACLE_SQL = {"bill_of_materials": BILL_OF_MATERIALS, "request_bodies": REQUEST_BODIES, "rescued_cards": RESCUED_CARDS, "question_types": QUESTION_TYPES}
+ORACLE_SQL = {"file_records": FILE_RECORDS, "bill_of_materials": BILL_OF_MATERIALS, "request_bodies": REQUEST_BODIES, "rescued_cards": RESCUED_CARDS, "question_types": QUESTION_TYPES}
