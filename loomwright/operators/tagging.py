@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from loomwright.functions.rules import keyword_any, ordered_case, text_of
+from loomwright.functions.rules import keyword_any, let, ordered_case, text_of
 from loomwright.functions.text import normalize_path
 from loomwright.operators.windows import ordered_distinct
 
@@ -30,7 +30,7 @@ FAILURES = (
 
 def normalize_component(raw: Column) -> Column:
     token = F.regexp_replace(F.regexp_replace(F.upper(F.trim(text_of(raw))), "[^A-Z0-9]+", "_"), "^_+|_+$", "")
-    return reduce(lambda c, ab: F.when(token == ab[0], F.lit(ab[1])).otherwise(c), ALIASES.items(), token)
+    return let(token, lambda t: reduce(lambda c, ab: F.when(t == ab[0], F.lit(ab[1])).otherwise(c), ALIASES.items(), t))
 
 
 def infer_component(text: Column) -> Column:
@@ -39,20 +39,28 @@ def infer_component(text: Column) -> Column:
     The first pattern takes a backslash and a b, as the reference's does, so it counts names between underscores alone."""
     t = text_of(text)
 
-    def scored(c: Column) -> Column:
-        counts = [F.regexp_count(t, F.concat(F.lit(a), c, F.lit(b))) for a, b in ((r"(?i)(?:\\b|_)", r"(?:\\b|_)"), ("(?i)", "[_A-Z0-9]+"), ("(?i)HAL_", "[_A-Z0-9]*"), ("(?i)LL_", "[_A-Z0-9]*"))]
-        return F.struct((counts[0] + counts[1] * 2 + (counts[2] + counts[3]) * 3).alias("score"), (counts[0] + counts[1] + counts[2] + counts[3]).alias("hits"), c.alias("component"))
+    def scored(upper: Column, c: Column) -> Column:
+        # A pattern is tried only where its beginning is a part of the text, whatever its case.
+        count = lambda begin, a, b: F.when(reduce(lambda x, y: x | y, (F.contains(upper, F.concat(F.lit(x), c)) for x in begin)), F.regexp_count(t, F.concat(F.lit(a), c, F.lit(b)))).otherwise(0)
+        counts = [count(("\\B", "_"), r"(?i)(?:\\b|_)", r"(?:\\b|_)"), F.regexp_count(t, F.concat(F.lit("(?i)"), c, F.lit("[_A-Z0-9]+"))), count(("HAL_",), "(?i)HAL_", "[_A-Z0-9]*"), count(("LL_",), "(?i)LL_", "[_A-Z0-9]*")]
+        return let(F.array(*counts), lambda n: F.struct((n[0] + n[1] * 2 + (n[2] + n[3]) * 3).alias("score"), (n[0] + n[1] + n[2] + n[3]).alias("hits"), c.alias("component")))
 
-    every = F.filter(F.transform(F.array(*map(F.lit, COMPONENTS)), scored), lambda s: s["hits"] > 0)
+    # Each pattern holds the name itself, so names that are no part of the text have no hits.
+    named = lambda upper: F.transform(F.filter(F.array(*map(F.lit, COMPONENTS)), lambda c: F.contains(upper, c)), lambda c: scored(upper, c))
+    every = F.filter(let(F.upper(t), named), lambda s: s["hits"] > 0)
     # Larger score, then more hits, then the name.
-    ranked = F.array_sort(F.transform(every, lambda s: F.struct((-s["score"]).alias("a"), (-s["hits"]).alias("b"), s["component"].alias("c"))))
-    best = F.get(ranked, F.lit(0))
-    score, hits, plain = -best["a"], -best["b"], best["c"].isin(*AMBIGUOUS)
-    confidence = ordered_case(
-        [(best.isNull(), "none"), ((~plain & (score >= 8) & (hits >= 2)) | (plain & (score >= 20) & (hits >= 6)), "high"), ((~plain & (score >= 4)) | (plain & (score >= 10)), "medium")], "low"
-    )
-    told = F.transform(F.slice(ranked, 1, 3), lambda s: F.concat(s["c"], F.lit("(score="), (-s["a"]).cast("string"), F.lit(",hits="), (-s["b"]).cast("string"), F.lit(")")))
-    return F.struct(best["c"].alias("component"), F.coalesce(score, F.lit(0)).alias("score"), F.coalesce(hits, F.lit(0)).alias("hits"), confidence.alias("confidence"), F.array_join(told, ", ").alias("candidates"))
+    ordered = F.array_sort(F.transform(every, lambda s: F.struct((-s["score"]).alias("a"), (-s["hits"]).alias("b"), s["component"].alias("c"))))
+
+    def told(ranked: Column) -> Column:
+        best = F.get(ranked, F.lit(0))
+        score, hits, plain = -best["a"], -best["b"], best["c"].isin(*AMBIGUOUS)
+        confidence = ordered_case(
+            [(best.isNull(), "none"), ((~plain & (score >= 8) & (hits >= 2)) | (plain & (score >= 20) & (hits >= 6)), "high"), ((~plain & (score >= 4)) | (plain & (score >= 10)), "medium")], "low"
+        )
+        texts = F.transform(F.slice(ranked, 1, 3), lambda s: F.concat(s["c"], F.lit("(score="), (-s["a"]).cast("string"), F.lit(",hits="), (-s["b"]).cast("string"), F.lit(")")))
+        return F.struct(best["c"].alias("component"), F.coalesce(score, F.lit(0)).alias("score"), F.coalesce(hits, F.lit(0)).alias("hits"), confidence.alias("confidence"), F.array_join(texts, ", ").alias("candidates"))
+
+    return let(ordered, told)
 
 
 def vote_component(text: Column, labels: Column) -> Column:
@@ -65,12 +73,19 @@ def vote_component(text: Column, labels: Column) -> Column:
     keywords = known(F.split(F.regexp_extract(t, r"(?im)^Keywords:\s*(.+)$", 1), ","))
     marked = known(F.coalesce(labels, F.array().cast("array<string>")))
     capitals = known(F.regexp_extract_all(t, F.lit(r"\b[A-Z][A-Z0-9_\-/]{1,}\b"), F.lit(0)))
-    names = F.array_distinct(F.concat(keywords, marked, capitals))
-    count = lambda xs, c: F.size(F.filter(xs, lambda x: x == c))
-    votes = F.array_sort(F.transform(names, lambda c: F.struct((-(count(keywords, c) * 3 + count(marked, c) * 2 + count(capitals, c))).alias("v"), c.alias("c"))))
-    best, second = F.get(votes, F.lit(0)), F.get(votes, F.lit(1))
-    enough = -best["v"] >= F.when(best["c"].isin(*AMBIGUOUS), 3).otherwise(2)
-    return F.when(context.isin(*COMPONENTS), context).when(enough & (second.isNull() | (second["v"] != best["v"])), best["c"])
+
+    def counted(found: Column) -> Column:
+        count = lambda xs, c: F.size(F.filter(found[xs], lambda x: x == c))
+        names = F.array_distinct(F.concat(found["keywords"], found["marked"], found["capitals"]))
+        return F.array_sort(F.transform(names, lambda c: F.struct((-(count("keywords", c) * 3 + count("marked", c) * 2 + count("capitals", c))).alias("v"), c.alias("c"))))
+
+    def voted(votes: Column) -> Column:
+        best, second = F.get(votes, F.lit(0)), F.get(votes, F.lit(1))
+        enough = -best["v"] >= F.when(best["c"].isin(*AMBIGUOUS), 3).otherwise(2)
+        return F.when(enough & (second.isNull() | (second["v"] != best["v"])), best["c"])
+
+    votes = let(F.struct(keywords.alias("keywords"), marked.alias("marked"), capitals.alias("capitals")), counted)
+    return let(context, lambda own: F.when(own.isin(*COMPONENTS), own).otherwise(let(votes, voted)))
 
 
 def module_of(path: Column) -> Column:
