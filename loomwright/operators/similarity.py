@@ -6,11 +6,17 @@ norm of each document and the document frequency of each term are aggregates, ne
 
 from __future__ import annotations
 
+import math
+from collections import Counter
+from functools import reduce
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from loomwright.durable import stored
-from loomwright.functions.rules import text_of
+from loomwright.functions.rules import let, text_of
 from loomwright.operators import search_index, tiles
 from loomwright.operators.windows import top_per_key
 
@@ -104,8 +110,7 @@ def tokens(text: Column) -> Column:
 
 def overlap_ratio(a: Column, b: Column) -> Column:
     """Share of a's distinct tokens that are in b; 0 without tokens. Takes token arrays."""
-    a, b = F.array_distinct(a), F.array_distinct(b)
-    return F.when(F.size(a) == 0, F.lit(0.0)).otherwise(F.size(F.array_intersect(a, b)) / F.size(a))
+    return let(F.array_distinct(a), lambda own: F.when(F.size(own) == 0, F.lit(0.0)).otherwise(F.size(F.array_intersect(own, b)) / F.size(own)))
 
 
 def jaccard(a: Column, b: Column) -> Column:
@@ -114,10 +119,14 @@ def jaccard(a: Column, b: Column) -> Column:
     return F.when(union == 0, F.lit(0.0)).otherwise(F.size(F.array_intersect(a, b)) / union)
 
 
+def _plain(text: Column) -> Column:
+    return F.trim(F.regexp_replace(F.lower(text_of(text)), r"\s+", " "))
+
+
 def trigrams(text: Column) -> Column:
-    t = F.trim(F.regexp_replace(F.lower(text_of(text)), r"\s+", " "))
-    none = F.array().cast("array<string>")
-    return F.when(F.length(t) < 3, none).otherwise(F.transform(F.sequence(F.lit(1), F.greatest(F.length(t) - 2, F.lit(1))), lambda i: F.substring(t, i, F.lit(3))))
+    t = _plain(text)
+    # One pass over the text: a character is taken at a time, with the two after it.
+    return F.regexp_extract_all(t, F.lit("(?s)(?=(.{3}))."), F.lit(1))
 
 
 def trigram_counts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -126,37 +135,54 @@ def trigram_counts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return counts.withColumn("norm", F.sqrt(F.sum(F.col("c") * F.col("c")).over(Window.partitionBy("id"))))
 
 
+@F.pandas_udf(DoubleType())
+def _trigram_cosine(a: pd.Series, b: pd.Series) -> pd.Series:
+    def one(x: str, y: str) -> float | None:
+        p, q = (Counter(t[i : i + 3] for i in range(len(t) - 2)) for t in (x, y))
+        dot = sum(n * q[g] for g, n in p.items() if g in q)
+        return dot / (math.sqrt(sum(n * n for n in p.values())) * math.sqrt(sum(n * n for n in q.values()))) if dot else 0.0
+
+    return pd.Series([one(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
+
+
 def semantic_lite(pairs: DataFrame, keys: list[str], a: str, b: str, out: str = "semantic") -> DataFrame:
     """pairs with 0.7 of the tokens' Jaccard and 0.3 of the trigrams' cosine of two texts; 0 where neither has tokens.
 
-    Trigrams are counted by the keys of a pair, which tell pairs apart, so long texts cost what they hold."""
+    A pair alone under its keys is counted in its row. Where several pairs share their keys, their trigrams count together, by rows of keys and trigram."""
+    own = Window.partitionBy(*keys)
+    pairs = pairs.withColumn("_n", F.count(F.lit(1)).over(own))
+    known = reduce(lambda x, y: x & y, (F.col(k).isNotNull() for k in keys))
+    alone = pairs.where((F.col("_n") == 1) & known).withColumn("_cosine", _trigram_cosine(_plain(F.col(a)), _plain(F.col(b))))
+    several = pairs.where((F.col("_n") > 1) | ~known)
 
     def counted(column: str, name: str) -> DataFrame:
-        return pairs.select(*keys, F.explode(trigrams(F.col(column))).alias("_g")).groupBy(*keys, "_g").agg(F.count(F.lit(1)).alias(name))
+        return several.select(*keys, F.explode(trigrams(F.col(column))).alias("_g")).groupBy(*keys, "_g").agg(F.count(F.lit(1)).alias(name))
 
     left, right = counted(a, "_x"), counted(b, "_y")
-    both = left.join(right, [*keys, "_g"], "full_outer").groupBy(*keys).agg(
-        F.sum(F.col("_x") * F.col("_y")).alias("_dot"), F.sqrt(F.sum(F.col("_x") * F.col("_x"))).alias("_a"), F.sqrt(F.sum(F.col("_y") * F.col("_y"))).alias("_b")
-    )
-    ta, tb = tokens(F.col(a)), tokens(F.col(b))
-    cosine = F.coalesce(F.col("_dot") / (F.col("_a") * F.col("_b")), F.lit(0.0))
-    value = F.when((F.size(ta) == 0) & (F.size(tb) == 0), F.lit(0.0)).otherwise(F.least(F.lit(1.0), 0.7 * jaccard(ta, tb) + 0.3 * cosine))
-    return pairs.join(both, keys, "left").withColumn(out, value).drop("_dot", "_a", "_b")
+    both = left.join(right, [*keys, "_g"], "full_outer").groupBy(*keys).agg((F.sum(F.col("_x") * F.col("_y")) / (F.sqrt(F.sum(F.col("_x") * F.col("_x"))) * F.sqrt(F.sum(F.col("_y") * F.col("_y"))))).alias("_cosine"))
+    every = alone.unionByName(several.join(both, keys, "left").select(*alone.columns))
+
+    def value(t: Column) -> Column:
+        return F.when((F.size(t["a"]) == 0) & (F.size(t["b"]) == 0), F.lit(0.0)).otherwise(F.least(F.lit(1.0), 0.7 * jaccard(t["a"], t["b"]) + 0.3 * F.coalesce(F.col("_cosine"), F.lit(0.0))))
+
+    return every.withColumn(out, let(F.struct(tokens(F.col(a)).alias("a"), tokens(F.col(b)).alias("b")), value)).drop("_n", "_cosine")
 
 
 def polarity(toks: Column) -> Column:
     """struct(sign, magnitude) of a token array."""
     diff = F.size(F.filter(toks, lambda t: t.isin(*POSITIVE))) - F.size(F.filter(toks, lambda t: t.isin(*NEGATIVE)))
-    return F.struct(F.signum(diff.cast("double")).cast("int").alias("sign"), F.when(F.size(toks) == 0, F.lit(0.0)).otherwise(F.least(F.lit(1.0), F.abs(diff) / F.size(toks) * 5.0)).alias("magnitude"))
+    return let(diff, lambda d: F.struct(F.signum(d.cast("double")).cast("int").alias("sign"), F.when(F.size(toks) == 0, F.lit(0.0)).otherwise(F.least(F.lit(1.0), F.abs(d) / F.size(toks) * 5.0)).alias("magnitude")))
 
 
 def contradiction(premise: Column, hypothesis: Column) -> Column:
     """How likely two token arrays disagree: opposite polarity over shared tokens."""
-    overlap = overlap_ratio(hypothesis, premise)
-    p, h = polarity(premise), polarity(hypothesis)
-    opposite = (p["sign"] * h["sign"]) == -1
-    value = F.when(opposite & (overlap >= 0.2), 0.6 * overlap + 0.4 * ((p["magnitude"] + h["magnitude"]) / 2.0)).when(overlap < 0.1, 0.0).otherwise(0.15 * overlap)
-    return F.when(F.size(hypothesis) == 0, F.lit(0.0)).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), value)))
+    def value(x: Column) -> Column:
+        overlap, p, h = x["overlap"], x["p"], x["h"]
+        opposite = (p["sign"] * h["sign"]) == -1
+        return F.when(opposite & (overlap >= 0.2), 0.6 * overlap + 0.4 * ((p["magnitude"] + h["magnitude"]) / 2.0)).when(overlap < 0.1, 0.0).otherwise(0.15 * overlap)
+
+    told = let(F.struct(overlap_ratio(hypothesis, premise).alias("overlap"), polarity(premise).alias("p"), polarity(hypothesis).alias("h")), value)
+    return F.when(F.size(hypothesis) == 0, F.lit(0.0)).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), told)))
 
 
 def coherence(lexical: Column, semantic: Column, against: Column, alpha: float = 0.4, beta: float = 0.6, gamma: float = 0.8) -> Column:

@@ -291,9 +291,10 @@ def _turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = made(spark, sf_dir, "conversations", SAID)
     ask = rows.where("role = 'user'").select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("said").alias("ctx"))
     both = rows.where("role = 'assistant'").join(ask, ["conv_id", "turn"])
-    a, c = similarity.tokens(F.col("said")), similarity.tokens(F.col("ctx"))
     told = similarity.semantic_lite(both, ["conv_id", "turn"], "said", "ctx")
-    rows = told.select("conv_id", "turn", similarity.overlap_ratio(a, c).alias("lexical"), "semantic", similarity.contradiction(c, a).alias("against"))
+    told = told.select("conv_id", "turn", "semantic", F.struct(similarity.tokens(F.col("said")).alias("a"), similarity.tokens(F.col("ctx")).alias("c")).alias("t"))
+    scores = rules.let(F.col("t"), lambda t: F.struct(similarity.overlap_ratio(t["a"], t["c"]).alias("lexical"), similarity.contradiction(t["c"], t["a"]).alias("against")))
+    rows = told.select("conv_id", "turn", "semantic", scores.alias("s")).select("conv_id", "turn", "s.lexical", "semantic", "s.against")
     final = F.round(similarity.coherence(F.col("lexical"), F.col("semantic"), F.col("against")), 6)
     return rows.withColumn("coherence_score", final).withColumn("reliability_class", score_band(F.col("coherence_score"), CLASSES, "INSUFFISANT"))
 

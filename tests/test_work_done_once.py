@@ -1,6 +1,11 @@
 """Shared values are computed once a row, and results stay as they were."""
 
-from loomwright.operators import tagging
+import math
+import re
+import time
+from collections import Counter
+
+from loomwright.operators import similarity, tagging
 from pyspark.sql import functions as F
 
 
@@ -22,3 +27,29 @@ def test_votes_search_a_text_once(spark):
     voted = df.select(tagging.vote_component(F.col("t"), F.col("l")).alias("c"))
     assert searches(voted) == 1
     assert [r["c"] for r in voted.collect()] == ["ADC", "TIM", None, "CAN"]
+
+
+def test_trigrams_of_a_long_text_take_one_pass(spark):
+    began = time.perf_counter()
+    n = spark.range(1).select(F.size(similarity.trigrams(F.repeat(F.lit("aé𝒳 "), 100_000))).alias("n")).first()["n"]
+    assert n == 400_000 - 1 - 2
+    assert time.perf_counter() - began < 20
+
+
+def test_pairs_of_one_key_count_their_trigrams_together(spark):
+    rows = [(1, "a𝒳bc timer", "a𝒳b timer works"), (1, "other words", None), (2, "timer works", "timer fails"), (3, "", "ab"), (None, "x y z", "x y z")]
+    got = similarity.semantic_lite(spark.createDataFrame(rows, "k int, a string, b string"), ["k"], "a", "b").collect()
+
+    def cosine(pairs):
+        x, y = (Counter(t[i : i + 3] for p in pairs for t in [p[side] or ""] for i in range(len(t) - 2)) for side in (0, 1))
+        norm = math.sqrt(sum(n * n for n in x.values()) * sum(n * n for n in y.values()))
+        return sum(n * y[g] for g, n in x.items()) / norm if norm else 0.0
+
+    one, two = cosine([r[1:] for r in rows[:2]]), cosine([rows[2][1:]])
+    want = {(1, rows[0][1]): 0.7 / 2 + 0.3 * one, (1, "other words"): 0.3 * one, (2, "timer works"): 0.7 / 3 + 0.3 * two, (3, ""): 0.0, (None, "x y z"): 0.0}
+    tokens = lambda t: set(re.findall(r"[a-z][a-z0-9_\-/]{2,}", t or ""))
+    for k, a, b in rows[:3]:
+        both = tokens(a) | tokens(b)
+        want[(k, a)] = 0.7 * len(tokens(a) & tokens(b)) / len(both) + 0.3 * (one if k == 1 else two)
+    assert {(r["k"], r["a"]) for r in got} == set(want)
+    assert all(math.isclose(r["semantic"], want[r["k"], r["a"]], abs_tol=1e-9) for r in got)
