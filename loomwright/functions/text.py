@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from loomwright.functions.rules import text_of
+from loomwright.functions.rules import let, text_of
 
 
 def normalize_newlines(c: Column) -> Column:
@@ -13,8 +13,8 @@ def normalize_newlines(c: Column) -> Column:
 
 
 def strip(c: Column) -> Column:
-    """White space off both ends; Spark's trim takes spaces alone."""
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    """White space off both ends; Spark's trim takes spaces alone. Only the ends are looked at, so long texts and long runs of blanks cost little."""
+    return F.btrim(c, F.lit(" \t\n\x0b\f\r"))
 
 
 def normalize_whitespace(c: Column) -> Column:
@@ -50,10 +50,12 @@ def _decoder(mark: str, base: int):
 
 def _numeric_entities(c: Column) -> Column:
     """Decimal, then hexadecimal character references."""
-    for mark, digits, base in (("&#", r"\d{1,7}", 10), ("&#x", "[0-9a-fA-F]{1,6}", 16)):
-        found = F.array_distinct(F.regexp_extract_all(c, F.lit(f"{mark}({digits});"), F.lit(1)))
-        c = F.when(F.contains(c, F.lit(mark)), F.reduce(found, c, _decoder(mark, base))).otherwise(c)
-    return c
+    def decoded(t: Column, mark: str, digits: str, base: int) -> Column:
+        found = F.array_distinct(F.regexp_extract_all(t, F.lit(f"{mark}({digits});"), F.lit(1)))
+        return F.when(F.contains(t, F.lit(mark)), F.reduce(found, t, _decoder(mark, base))).otherwise(t)
+
+    # Each step names its text several times, and the text is the outcome of all steps before.
+    return let(let(c, lambda t: decoded(t, "&#", r"\d{1,7}", 10)), lambda t: decoded(t, "&#x", "[0-9a-fA-F]{1,6}", 16))
 
 
 def clean_markdown(c: Column) -> Column:
@@ -69,8 +71,8 @@ def clean_source_code(c: Column) -> Column:
     """C source without its first license comment (searched in 3000 characters), license lines and empty comments."""
     code = text_of(c)
     block = F.regexp_extract(F.substring(code, 1, 3000), r"(?is)/\*\*.*?(?:Copyright|STMicroelectronics|Licensed|SPDX).*?\*/", 0)
-    at = F.instr(code, block)
-    code = F.when(block != "", F.concat(F.substring(code, F.lit(1), at - 1), F.substring(code, at + F.length(block), F.length(code)))).otherwise(code)
+    without = lambda b, at: F.concat(F.substring(code, F.lit(1), at - 1), F.substring(code, at + F.length(b), F.length(code)))
+    code = let(block, lambda b: F.when(b != "", let(F.instr(code, b), lambda at: without(b, at))).otherwise(code))
     code = F.regexp_replace(code, r"(?im)^\s*(\*|//).*(?:Copyright|All rights reserved|Licensed under|SPDX-License|Permission is hereby).*$", "")
     code = F.regexp_replace(code, r"/\*\*?\s*\*/", "")
     return strip(F.regexp_replace(code, r"\n{3,}", "\n\n"))
@@ -78,8 +80,8 @@ def clean_source_code(c: Column) -> Column:
 
 def xml_metadata(c: Column, tags: tuple[str, ...]) -> Column:
     """`tag: value` lines of the tags that are there, else the text of the markup."""
-    lines = F.concat_ws("\n", *(F.when(F.regexp_extract(c, rf"(?is)<{t}[^>]*>(.*?)</{t}>", 1) != "", F.concat(F.lit(f"{t}: "), strip(F.regexp_extract(c, rf"(?is)<{t}[^>]*>(.*?)</{t}>", 1)))) for t in tags))
-    return F.when(lines != "", lines).otherwise(strip_html(c))
+    line = lambda t: let(F.regexp_extract(c, rf"(?is)<{t}[^>]*>(.*?)</{t}>", 1), lambda found: F.when(found != "", F.concat(F.lit(f"{t}: "), strip(found))))
+    return let(F.concat_ws("\n", *map(line, tags)), lambda lines: F.when(lines != "", lines).otherwise(strip_html(c)))
 
 
 def json_metadata(c: Column, most: int = 20) -> Column:
@@ -173,9 +175,11 @@ METADATA_TAGS = ("name", "version", "description", "license", "url", "PackName",
 def register_header(c: Column) -> Column:
     """Of a device's register header the interrupt numbers, base addresses and register structures, under a summary; else its first 5000 characters."""
     code = text_of(c)
-    irq = F.regexp_extract(code, IRQ_ENUM, 1)
-    bases = F.filter(F.transform(F.split(code, "\n"), strip), lambda x: x.rlike(BASE_ADDRESS))
-    structs = F.regexp_extract_all(code, F.lit(REGISTER_STRUCT), F.lit(1))
+    kept = F.struct(F.regexp_extract(code, IRQ_ENUM, 1).alias("irq"), F.filter(F.transform(F.split(code, "\n"), strip), lambda x: x.rlike(BASE_ADDRESS)).alias("bases"), F.regexp_extract_all(code, F.lit(REGISTER_STRUCT), F.lit(1)).alias("structs"))
+    return let(kept, lambda x: _header_of(code, x["irq"], x["bases"], x["structs"]))
+
+
+def _header_of(code: Column, irq: Column, bases: Column, structs: Column) -> Column:
     defines = F.regexp_count(code, F.lit("#define"))
     number = lambda n: F.format_number(n, 0)
     summary = F.concat(
@@ -187,7 +191,7 @@ def register_header(c: Column) -> Column:
         F.when(F.size(bases) > 0, F.array(F.lit(BASE_TITLE), F.array_join(bases, "\n"))).otherwise(F.array().cast("array<string>")),
         F.when(F.size(structs) > 0, F.concat(F.array(F.lit(STRUCT_TITLE)), structs)).otherwise(F.array().cast("array<string>")),
     ))
-    return F.concat(summary, F.when(F.size(sections) > 0, F.array_join(sections, "\n\n")).otherwise(F.substring(code, 1, 5000)))
+    return F.concat(summary, let(sections, lambda x: F.when(F.size(x) > 0, F.array_join(x, "\n\n")).otherwise(F.substring(code, 1, 5000))))
 
 
 def clean_by_type(c: Column, kind: Column, path: Column) -> Column:

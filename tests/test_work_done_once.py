@@ -5,6 +5,7 @@ import re
 import time
 from collections import Counter
 
+from loomwright.functions import text
 from loomwright.operators import similarity, tagging
 from pyspark.sql import functions as F
 
@@ -53,3 +54,11 @@ def test_pairs_of_one_key_count_their_trigrams_together(spark):
         want[(k, a)] = 0.7 * len(tokens(a) & tokens(b)) / len(both) + 0.3 * (one if k == 1 else two)
     assert {(r["k"], r["a"]) for r in got} == set(want)
     assert all(math.isclose(r["semantic"], want[r["k"], r["a"]], abs_tol=1e-9) for r in got)
+
+
+def test_html_steps_stand_once_in_the_plan(spark):
+    df = spark.createDataFrame([("<p>a&#65;&#x42; \x0b</p>\n\t \n<b>c</b>",), ("\f\r\n x \t",), ("&#65;&#65;",)], "t string")
+    told = df.select(text.strip_html(F.col("t")).alias("x"))
+    assert told._jdf.queryExecution().optimizedPlan().toString().count("<[^>]+>") == 1
+    assert [r["x"] for r in told.collect()] == ["aAB\nc", "x", "AA"]
+    assert [r["x"] for r in df.select(text.strip(F.col("t")).alias("x")).collect()][1] == "x"
