@@ -26,6 +26,11 @@ FAILURES = (
     ("callback", "callback_not_reached"), ("busy", "state_stuck_busy"), ("timeout|timed out", "timeout"), ("block|blocking", "blocking_behavior"), ("dma", "dma_path"), ("compile|build", "compile_error"),
     ("crash|hardfault|fault", "crash_fault"), ("regression|upgrade|version", "version_regression"), ("clock", "clocking"), ("pin|gpio|mux", "pinmux"), ("irq|interrupt", "interrupt_path"), ("cache|mpu", "cache_dma"),
 )
+#: Words without which a version pattern is not found, and the pattern.
+VERSIONS = (
+    (("stm32cube",), r"(?i)\b(stm32cube[a-z0-9_-]*)\s*v(?:ersion)?\s*(\d+\.\d+\.\d+)\b"), (("cubemx", "cubeide"), r"(?i)\b(cubemx|cubeide)\s*v?(\d+\.\d+(?:\.\d+)?)\b"),
+    (("hal", "ll", "cmsis"), r"(?i)\b(hal|ll|cmsis)\s*v?(\d+\.\d+(?:\.\d+)?)\b"),
+)
 
 
 def normalize_component(raw: Column) -> Column:
@@ -106,17 +111,21 @@ def api_tags(text: Column, most: int = 8) -> Column:
 
 
 def failure_tags(text: Column, most: int = 8) -> Column:
-    t = F.lower(text_of(text))
-    return F.slice(F.array_compact(F.array(*(F.when(t.rlike(p), F.lit(tag)) for p, tag in FAILURES))), 1, most)
+    # The patterns are plain words, so parts of the text are looked for; it is made and lowered once.
+    found = lambda t: F.array_compact(F.array(*(F.when(keyword_any(t, p.split("|")), F.lit(tag)) for p, tag in FAILURES)))
+    return F.slice(let(F.lower(text_of(text)), found), 1, most)
 
 
 def version_tags(text: Column, most: int = 8) -> Column:
     """NAME vX.Y of packages, tools and stacks."""
-    t = text_of(text)
-    found = []
-    for pattern in (r"(?i)\b(stm32cube[a-z0-9_-]*)\s*v(?:ersion)?\s*(\d+\.\d+\.\d+)\b", r"(?i)\b(cubemx|cubeide)\s*v?(\d+\.\d+(?:\.\d+)?)\b", r"(?i)\b(hal|ll|cmsis)\s*v?(\d+\.\d+(?:\.\d+)?)\b"):
-        found.append(F.zip_with(F.regexp_extract_all(t, F.lit(pattern), F.lit(1)), F.regexp_extract_all(t, F.lit(pattern), F.lit(2)), lambda a, b: F.concat(F.upper(a), F.lit(" v"), b)))
-    return F.slice(F.array_distinct(F.concat(*found)), 1, most)
+
+    def found(t: Column, low: Column, words: tuple[str, ...], pattern: str) -> Column:
+        # A text is searched once and only where one of the words is in it; name and number come from the short match.
+        places = F.when(keyword_any(low, words), F.regexp_extract_all(t, F.lit(pattern), F.lit(0))).otherwise(F.array().cast("array<string>"))
+        return F.transform(places, lambda m: F.concat(F.upper(F.regexp_extract(m, pattern, 1)), F.lit(" v"), F.regexp_extract(m, pattern, 2)))
+
+    every = let(text_of(text), lambda t: let(F.lower(t), lambda low: F.concat(*(found(t, low, *rule) for rule in VERSIONS))))
+    return F.slice(F.array_distinct(every), 1, most)
 
 
 def query_type(question: Column, tags: Column | None = None) -> Column:

@@ -36,9 +36,10 @@ def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str], order: Sequence[
 def ordered_distinct(items: Column, most: int | None = None, fold_case: bool = True) -> Column:
     """Items in order of their first place, each once, at most so many; case-insensitive on demand.
 
-    array_distinct keeps the first place and hashes, so long arrays stay linear."""
+    array_distinct keeps the first place and hashes; places are looked up only where something is repeated."""
     def folded(xs: Column) -> Column:
-        return let(F.transform(xs, F.lower), lambda low: F.transform(F.array_distinct(low), lambda x: F.get(xs, (F.array_position(low, x) - 1).cast("int"))))
+        first = lambda low, once: F.transform(once, lambda x: F.get(xs, (F.array_position(low, x) - 1).cast("int")))
+        return let(F.transform(xs, F.lower), lambda low: let(F.array_distinct(low), lambda once: F.when(F.size(once) == F.size(xs), xs).otherwise(first(low, once))))
 
     out = let(items, folded) if fold_case else F.array_distinct(items)
     return F.slice(out, 1, most) if most else out
