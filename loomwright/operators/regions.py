@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loomwright.durable import stored
 
@@ -63,14 +68,70 @@ def close_pairs(boxes: DataFrame, page: str, gap: int) -> DataFrame:
     return a.join(b, same & near).select(F.col("a._p").alias(page), F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct()
 
 
+#: Rows of a page up to which it is merged in one row of a table; pages of more are merged by joins, in rounds.
+FEW = 64
+
+
 def merge_close(boxes: DataFrame, page: str, gap: int = GAP) -> DataFrame:
     """(page, x, y, w, h): boxes of a page closer than gap become their hull, again and again until none are.
 
-    Each round gives every box the smallest id among those close to it and to them, and joins the boxes of one id to their hull; pages
-    without close boxes are done and leave the rounds. Equal boxes are one; rows without a side or a corner are left out. The
-    order of merges does not matter: what must become one hull is decided by the boxes alone."""
+    Equal boxes are one; rows without a side or a corner are left out. The order of merges does not matter: what must become one
+    hull is decided by the boxes alone. Pages of at most FEW rows are dealt out once and merged where they arrive; of larger ones
+    no task holds a whole page."""
     start = boxes.select(page, F.col("x").cast("long").alias("x1"), F.col("y").cast("long").alias("y1"), (F.col("x") + F.col("w")).cast("long").alias("x2"), (F.col("y") + F.col("h")).cast("long").alias("y2"))
-    start = start.where("x1 + y1 + x2 + y2 is not null").distinct()
+    start = start.where("x1 + y1 + x2 + y2 is not null")
+    large = stored(start.groupBy(F.col(page).alias("_p")).count().where(F.col("count") > FEW).select("_p"), "large")
+    if not large.limit(1).count():
+        return _merge_small(start, page, gap)
+    here = F.col(page).eqNullSafe(F.col("_p"))
+    return _merge_small(start.join(large, here, "left_anti"), page, gap).unionByName(_merge_rounds(start.join(large, here, "left_semi"), page, gap))
+
+
+def _merge_small(start: DataFrame, page: str, gap: int) -> DataFrame:
+    """merge_close of boxes (page, x1, y1, x2, y2) whose pages are small: a page is one row."""
+    sides = ("x1", "y1", "x2", "y2")
+    pages = start.groupBy(page).agg(F.collect_set(F.struct(*sides)).alias("boxes"))
+    schema = T.StructType([start.schema[page], *(T.StructField(c, T.LongType()) for c in ("x", "y", "w", "h"))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(1)
+            corners = np.stack([lists.flatten().field(c).to_numpy(zero_copy_only=False) for c in sides], axis=1).tolist()
+            ends = np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False)).tolist()
+            at, hulls, begin = [], [], 0
+            for i, end in enumerate(ends):
+                found = merged_boxes(corners[begin:end], gap)
+                hulls += found
+                at += [i] * len(found)
+                begin = end
+            x1, y1, x2, y2 = np.array(hulls, dtype=np.int64).reshape(-1, 4).T
+            told = [batch.column(0).take(pa.array(at, pa.int64())), *(pa.array(np.ascontiguousarray(v)) for v in (x1, y1, x2 - x1, y2 - y1))]
+            yield pa.RecordBatch.from_arrays(told, names=[page, "x", "y", "w", "h"])
+
+    return pages.mapInArrow(run, schema)
+
+
+def merged_boxes(boxes: list[list[int]], gap: int) -> list[list[int]]:
+    """The hulls of a page's boxes [x1, y1, x2, y2]: each box takes in the hulls near it until none is near."""
+    hulls: list[list[int]] = []
+    for x1, y1, x2, y2 in boxes:
+        while True:
+            apart = [q for q in hulls if x1 > q[2] + gap or q[0] > x2 + gap or y1 > q[3] + gap or q[1] > y2 + gap]
+            if len(apart) == len(hulls):
+                break
+            near = [q for q in hulls if not (x1 > q[2] + gap or q[0] > x2 + gap or y1 > q[3] + gap or q[1] > y2 + gap)]
+            x1, y1, x2, y2 = min(x1, *(q[0] for q in near)), min(y1, *(q[1] for q in near)), max(x2, *(q[2] for q in near)), max(y2, *(q[3] for q in near))
+            hulls = apart
+        hulls.append([x1, y1, x2, y2])
+    return hulls
+
+
+def _merge_rounds(start: DataFrame, page: str, gap: int) -> DataFrame:
+    """merge_close of boxes (page, x1, y1, x2, y2) on pages of any size.
+
+    Each round gives every box the smallest id among those close to it and to them, and joins the boxes of one id to their hull; pages
+    without close boxes are done and leave the rounds."""
+    start = start.distinct()
     work, done = stored(start.withColumn("id", F.monotonically_increasing_id()), "boxes"), []
     while True:
         pairs = stored(close_pairs(work, page, gap), "pairs")

@@ -97,3 +97,17 @@ def test_hulls_of_close_boxes(spark):
         got[row["page"]].append(tuple(row)[1:])
     assert {p: sorted(b) for p, b in got.items()} == {p: hulls(b, 35) for p, b in pages.items()}
     assert regions.merge_close(df.limit(0), "page").count() == 0
+
+
+def test_small_pages_are_merged_where_they_arrive(spark, monkeypatch):
+    chance = random.Random(3)
+    rows = [(p, chance.randrange(n * 60), chance.randrange(900), chance.randrange(1, 60), chance.randrange(1, 60)) for p, n in [*((str(i), i % 9 + 1) for i in range(40)), (None, 5), ("large", 200)] for _ in range(n)]
+    df = spark.createDataFrame([*rows, *rows[:20], ("0", None, 1, 1, 1)], "page string, x int, y int, w int, h int")
+    written, stored = [], regions.stored
+    monkeypatch.setattr(regions, "stored", lambda d, name: written.append(name) or stored(d, name))
+    got = {tuple(r) for r in regions.merge_close(df.where("page is null or page <> 'large'"), "page").collect()}
+    assert written == ["large"]
+    both = [tuple(r) for r in regions.merge_close(df, "page").collect()]
+    monkeypatch.setattr(regions, "FEW", 0)
+    want = [tuple(r) for r in regions.merge_close(df, "page").collect()]
+    assert len(both) == len(set(both)) and set(both) == set(want) and got == {r for r in want if r[0] != "large"}
