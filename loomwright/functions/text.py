@@ -108,9 +108,12 @@ def take_images(c: Column) -> Column:
 
 def first_sentence(c: Column, most: int = 260) -> Column:
     """Up to the first of . ! ? if that lies within `most` characters, else so many characters."""
-    t = normalize_whitespace(c)
-    end = F.length(F.regexp_extract(t, r"^[^.!?]*[.!?]", 0))
-    return F.when((end > 0) & (end <= most), F.substring(t, F.lit(1), end)).otherwise(F.rtrim(F.substring(t, 1, most)))
+    return lead(normalize_whitespace(c), most)
+
+
+def lead(t: Column, most: int) -> Column:
+    """first_sentence of a text with single spaces; one search, so that the text is named once."""
+    return F.rtrim(F.regexp_extract(t, rf"(?s)^(?:[^.!?]{{0,{most - 1}}}[.!?]|.{{0,{most}}})", 0))
 
 
 def truncate_text(c: Column, most: int) -> Column:
@@ -229,14 +232,17 @@ def compact_comments(c: Column, most: int) -> Column:
 
 def is_talk(c: Column) -> Column:
     """A greeting, thanks or nothing at all: no signal."""
-    t = F.lower(normalize_whitespace(c))
-    return (t == "") | t.rlike(f"^({'|'.join(TALK)})")
+    return is_plain_talk(normalize_whitespace(c))
+
+
+def is_plain_talk(t: Column) -> Column:
+    """is_talk of a text with single spaces."""
+    return F.lower(t).rlike(rf"^(?:\z|{'|'.join(TALK)})")
 
 
 def signal_sentence(c: Column, most: int = 260) -> Column:
     """The first sentence, or nothing if it is talk."""
-    s = first_sentence(c, most)
-    return F.when(is_talk(s), "").otherwise(s)
+    return let(first_sentence(c, most), lambda s: F.when(is_plain_talk(s), "").otherwise(s))
 
 
 def request_body(c: Column, most: int = 1500) -> Column:

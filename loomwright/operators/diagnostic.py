@@ -5,11 +5,13 @@ All of it is Column work on one row of the full outer join, so cards scale with
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomwright.functions.rules import let, ordered_case, text_of
-from loomwright.functions.text import first_sentence, is_talk, normalize_whitespace, slugify, split_items, technical_body
+from loomwright.functions.text import first_sentence, is_plain_talk, lead, normalize_whitespace, slugify, split_items, technical_body
 from loomwright.operators.cards import none_text
 from loomwright.operators.tagging import api_tags, failure_tags, version_tags
 from loomwright.operators.windows import ordered_distinct
@@ -49,9 +51,14 @@ MISSING_WORDS = ("none", "unknown", "other", "n/a")
 SERIES = r"(H\d+|F\d+|L\d+|G\d+|U\d+|WB\d+|WL\d+|MP\d+)"
 
 
+def tidy(items: Column) -> Column:
+    """Items with single spaces."""
+    return F.transform(items, normalize_whitespace)
+
+
 def few(items: Column, most: int) -> Column:
-    """Items with single spaces, without empty ones, each once whatever its case, at most so many."""
-    return ordered_distinct(F.filter(F.transform(items, normalize_whitespace), lambda x: x != ""), most)
+    """Of items that have single spaces those that are not empty, each once whatever its case, at most so many."""
+    return ordered_distinct(F.filter(items, lambda x: x != ""), most)
 
 
 def some(condition: Column | None, *items: Column | str) -> Column:
@@ -66,7 +73,7 @@ def or_else(items: Column, fallback: str) -> Column:
 
 def signal(c: Column, most: int) -> Column:
     """signal_sentence of a text that is computed once."""
-    return let(normalize_whitespace(c), lambda t: let(first_sentence(t, most), lambda s: F.when(is_talk(s), "").otherwise(s)))
+    return let(first_sentence(c, most), lambda s: F.when(is_plain_talk(s), "").otherwise(s))
 
 
 def has(tags: Column, *names: str) -> Column:
@@ -101,24 +108,23 @@ def target_series(series: Column, repo: Column) -> Column:
     return F.when(own.isNotNull(), F.array(own)).when(named != "", F.array(F.concat(F.lit("STM32"), named))).otherwise(F.array().cast("array<string>"))
 
 
-def aliases(issue: Column, body: Column, patterns: Column, apis: Column, versions: Column, title: Column) -> Column:
-    """What users may ask for instead: phrases of known symptoms, then component, board, functions, versions and title."""
-    low = F.lower(body)
+def aliases(component: Column, board: Column, low: Column, patterns: Column, apis: Column, versions: Column, title: Column) -> Column:
+    """What users may ask for instead: phrases of known symptoms, then component, board, functions, versions and title. low: the body in lower case."""
+    word = lambda w: F.contains(low, F.lit(w)) & low.rlike(rf"\b{w}\b")
     spi = F.exists(apis, lambda a: a.startswith("HAL_SPI")) & has(patterns, "dma_path")
     stuck = has(patterns, "state_stuck_busy", "callback_not_reached")
-    sizes = F.slice(F.regexp_extract_all(low, F.lit(r"\b(\d{1,4})\s*bytes?\b"), F.lit(1)), 1, 3)
-    component, board = normalize_whitespace(issue["component"]), normalize_whitespace(issue["board"])
+    sizes = F.when(F.contains(low, F.lit("byte")), F.slice(F.regexp_extract_all(low, F.lit(r"\b(\d{1,4})\s*bytes?\b"), F.lit(1)), 1, 3)).otherwise(F.array().cast("array<string>"))
     named = component != ""
     plain = F.concat(
         some(named, F.concat(component, F.lit(" issue"))), some(named & has(patterns, "compile_error"), F.concat(component, F.lit(" compile error"))),
         some(named & has(patterns, "timeout"), F.concat(component, F.lit(" timeout"))), some(named & has(patterns, "dma_path"), F.concat(component, F.lit(" DMA issue"))),
         some(named & (board != ""), F.concat(board, F.lit(" "), component)), F.flatten(F.transform(F.slice(apis, 1, 4), lambda a: F.array(a, F.concat(a, F.lit(" issue"))))),
-        F.transform(F.slice(versions, 1, 3), lambda v: F.concat(F.lit("version regression "), v)), some(None, first_sentence(title, 120)),
+        F.transform(F.slice(versions, 1, 3), lambda v: F.concat(F.lit("version regression "), v)), some(None, lead(title, 120)),
     )
     return few(
         F.concat(
             some(spi, "HAL_SPI_Transmit_DMA", "SPI DMA transfer"), some(spi & stuck, *BLOCKING_ALIASES), some(stuck & (has(patterns, "dma_path") | spi), *STUCK_ALIASES),
-            some(low.rlike(r"\bsmall\b") & low.rlike(r"\btransfer\b"), "small transfer"), some(low.rlike(r"\btiny\b") & low.rlike(r"\btransfer\b"), "tiny transfer"),
+            some(word("small") & word("transfer"), "small transfer"), some(word("tiny") & word("transfer"), "tiny transfer"),
             F.transform(sizes, lambda n: F.concat(n, F.lit(" bytes"))), few(plain, 12),
             F.when(has(patterns, "version_regression"), F.transform(F.slice(versions, 1, 2), lambda v: F.concat(F.lit("upgrade issue "), v))).otherwise(F.array().cast("array<string>")),
         ),
@@ -126,21 +132,19 @@ def aliases(issue: Column, body: Column, patterns: Column, apis: Column, version
     )
 
 
-def checks(issue: Column, case: Column, patterns: Column) -> Column:
-    component = normalize_whitespace(issue["component"])
+def checks(component: Column, case: Column, patterns: Column) -> Column:
     first_path = F.get(case["linked_file_paths"], F.lit(0))
     return few(
         F.concat(
             some(has(patterns, "callback_not_reached", "state_stuck_busy"), *CALLBACK_CHECKS), some(has(patterns, "compile_error"), COMPILE_CHECK), some(has(patterns, "timeout"), TIMEOUT_CHECK),
-            some(first_path.isNotNull(), F.concat(F.lit("Review the linked fix path and compare your local source against "), first_path)),
+            some(first_path.isNotNull(), normalize_whitespace(F.concat(F.lit("Review the linked fix path and compare your local source against "), first_path))),
             some(component != "", F.concat(F.lit("Validate the exact "), component, F.lit(" configuration on the target board and firmware package"))), some(None, MINIMAL_CHECK),
         ),
         5,
     )
 
 
-def questions(issue: Column, patterns: Column, apis: Column, versions: Column) -> Column:
-    component, series = normalize_whitespace(issue["component"]), normalize_whitespace(issue["mcu_series"])
+def questions(component: Column, series: Column, patterns: Column, apis: Column, versions: Column) -> Column:
     first_api = F.get(apis, F.lit(0))
     return few(
         F.concat(
@@ -157,14 +161,13 @@ def workarounds(fix: Column, candidates: Column, patterns: Column) -> Column:
     return few(F.concat(some(None, signal(fix, 220)), some(text_of(candidates) != "", BRANCH_WORKAROUND), some(has(patterns, "dma_path"), DMA_WORKAROUND), some(None, PIN_WORKAROUND)), 4)
 
 
-def facts(issue: Column, case: Column, root_cause: Column) -> Column:
-    strength = normalize_whitespace(issue["evidence_strength"])
+def facts(issue: Column, case: Column, strength: Column, root_cause: Column) -> Column:
     status = text_of(case["resolution_status"])
     return few(
         F.concat(
-            some(text_of(issue["github_url"]) != "", F.concat(F.lit("Issue evidence exists in "), none_text(issue["repo"]), F.lit(" issue #"), none_text(issue["issue_number"]))), some(issue["rescue_applied"], RESCUED_FACT),
+            some(text_of(issue["github_url"]) != "", normalize_whitespace(F.concat(F.lit("Issue evidence exists in "), none_text(issue["repo"]), F.lit(" issue #"), none_text(issue["issue_number"])))), some(issue["rescue_applied"], RESCUED_FACT),
             some(strength != "", F.concat(F.lit("Issue evidence strength is rated "), strength)),
-            some(status != "", F.concat(F.lit("Resolver linkage status is "), status, F.lit(" with confidence "), F.coalesce(F.nullif(case["link_confidence"], F.lit("")), F.lit("unknown")))),
+            some(status != "", normalize_whitespace(F.concat(F.lit("Resolver linkage status is "), status, F.lit(" with confidence "), F.coalesce(F.nullif(case["link_confidence"], F.lit("")), F.lit("unknown"))))),
             some(F.size(case["linked_commit_shas"]) > 0, LINKED_FACT), some(case["merged_pr_with_file_evidence"], MERGED_FACT), some(None, signal(root_cause, 180)),
         ),
         4,
@@ -175,8 +178,9 @@ def limits(issue: Column, case: Column, constraint: Column) -> Column:
     return few(F.concat(some(None, first_sentence(constraint, 220)), some(issue["rescue_applied"], RESCUED_CONSTRAINT), some(case["link_confidence"].isin("low", "medium"), WEAK_CONSTRAINT), some(None, LAST_CONSTRAINT)), 4)
 
 
-def diagnosis(issue: Column, case: Column, patterns: Column) -> Column:
-    traits = F.concat_ws(", ", *(F.nullif(normalize_whitespace(issue[k]), F.lit("")) for k in ("layer", "component", "issue_kind")))
+def diagnosis(named: Sequence[Column], case: Column, patterns: Column) -> Column:
+    """named: layer, component and kind of the issue."""
+    traits = F.concat_ws(", ", *(F.nullif(x, F.lit("")) for x in named))
     status = text_of(case["resolution_status"])
     found = F.concat(
         some(traits != "", F.concat(F.lit("Observed behavior aligns with "), traits, F.lit(" issue characteristics"))),
@@ -203,11 +207,13 @@ def evidence(issue: Column, case: Column) -> Column:
     return F.slice(F.concat(own, *others), 1, 6)
 
 
-def keywords(issue: Column, case: Column, told: Column, apis: Column, patterns: Column, versions: Column) -> Column:
+def keywords(issue: Column, case: Column, told: Column, named: Sequence[Column], apis: Column, patterns: Column, versions: Column) -> Column:
+    """named: component, layer, kind, severity and board of the issue."""
     none = F.array().cast("array<string>")
-    traits = F.filter(F.array(*(normalize_whitespace(issue[k]) for k in ("component", "layer", "issue_kind", "severity", "board"))), lambda v: ~F.lower(v).isin(*MISSING_WORDS))
-    given = [F.coalesce(x, none) for x in (F.when(issue.isNotNull(), split_items(told)), issue["labels"], traits, case["impacted_modules"], case["impacted_components"], F.array(text_of(case["resolution_status"])))]
-    return few(F.concat(*given, patterns, versions, apis), 14)
+    traits = F.filter(F.array(*named), lambda v: ~F.lower(v).isin(*MISSING_WORDS))
+    own = [F.coalesce(x, none) for x in (F.when(issue.isNotNull(), split_items(told)), issue["labels"])]
+    linked = [F.coalesce(x, none) for x in (case["impacted_modules"], case["impacted_components"], F.array(text_of(case["resolution_status"])))]
+    return few(F.concat(tidy(F.concat(*own)), traits, tidy(F.concat(*linked)), patterns, versions, apis), 14)
 
 
 #: The lines of a card's text: label and the field that it shows.
@@ -250,21 +256,24 @@ def cards(joined: DataFrame, repo: str = "repo", issue: str = "issue", case: str
     i, r = F.col("issue"), F.col("case")
     told, solved = text_of(i["st_ready_text"]), text_of(r["resolver_card_text"])
     title = normalize_whitespace(F.coalesce(first(i["issue_title"], r["issue_title"], F.col("_i_problem"), F.col("_r_problem")), F.lit(UNTITLED)))
-    rows = base.withColumn("title", title).withColumn("issue_number", F.coalesce(i["issue_number"], r["issue_number"]))
+    # What several fields show is made once a row.
+    names = {"component": "component", "board": "board", "layer": "layer", "kind": "issue_kind", "severity": "severity", "series": "mcu_series", "strength": "evidence_strength"}
+    rows = base.select("*", title.alias("title"), F.coalesce(i["issue_number"], r["issue_number"]).alias("issue_number"), F.lower("_body").alias("_i_low"), *(normalize_whitespace(i[k]).alias(f"_i_{n}") for n, k in names.items()))
+    component, board, layer, kind, severity, series, strength = (F.col(f"_i_{n}") for n in names)
     rows = rows.withColumn("api_family_tags", api_tags(F.concat_ws(" ", told, solved)))
     rows = rows.withColumn("technical_pattern_tags", failure_tags(F.concat_ws(" ", "title", text_of("_i_root"), text_of("_i_fix"), "_body", told, solved)))
     rows = rows.withColumn("version_tags", version_tags(F.concat_ws(" ", "title", "_body", text_of("_i_context"), text_of("_i_fix"), told, solved)))
     apis, patterns, versions = F.col("api_family_tags"), F.col("technical_pattern_tags"), F.col("version_tags")
-    rows = rows.withColumn("query_aliases", aliases(i, F.col("_body"), patterns, apis, versions, F.col("title")))
+    rows = rows.withColumn("query_aliases", aliases(component, board, F.col("_i_low"), patterns, apis, versions, F.col("title")))
     sentence = first(signal(F.col("_i_fix"), 220), signal(F.col("title"), 220), F.col("title"))
     leads = F.slice("query_aliases", 1, 2)
     rows = rows.withColumn("_symptom", sentence).withColumn("symptom_summary", F.when((F.size("query_aliases") > 0) & ~F.exists(leads, lambda a: F.contains(F.lower("_symptom"), F.lower(a))), F.concat("_symptom", F.lit(" ("), F.array_join(leads, ", "), F.lit(")."))).otherwise(F.col("_symptom")))
     rows = rows.select(
         "*", first_sentence(first(F.col("_i_context"), F.col("_r_context")), 220).alias("affected_context"), causes(F.col("_i_root"), F.col("_r_assessment"), F.col("_r_signal")).alias("likely_causes"),
-        facts(i, r, F.col("_i_root")).alias("confirmed_facts"), diagnosis(i, r, patterns).alias("plausible_diagnosis"), checks(i, r, patterns).alias("debug_checks"), questions(i, patterns, apis, versions).alias("clarification_questions"),
+        facts(i, r, strength, F.col("_i_root")).alias("confirmed_facts"), diagnosis((layer, component, kind), r, patterns).alias("plausible_diagnosis"), checks(component, r, patterns).alias("debug_checks"), questions(component, series, patterns, apis, versions).alias("clarification_questions"),
         workarounds(F.col("_i_fix"), F.col("_r_candidates"), patterns).alias("possible_workarounds"), limits(i, r, F.col("_i_constraints")).alias("constraints_or_limits"), evidence(i, r).alias("evidence_refs"),
-        few(F.concat(F.col("query_aliases"), keywords(i, r, F.col("_i_keywords"), apis, patterns, versions)), 24).alias("keywords"), few(F.concat(F.col("query_aliases"), apis, patterns, versions), 24).alias("query_anchor_tags"),
-        target_series(i["mcu_series"], F.col("repo")).alias("target_series"), few(some(None, normalize_whitespace(i["component"])), 4).alias("peripheral_tags"),
+        few(F.concat(F.col("query_aliases"), keywords(i, r, F.col("_i_keywords"), (component, layer, kind, severity, board), apis, patterns, versions)), 24).alias("keywords"), few(F.concat(F.col("query_aliases"), apis, patterns, versions), 24).alias("query_anchor_tags"),
+        target_series(i["mcu_series"], F.col("repo")).alias("target_series"), few(some(None, component), 4).alias("peripheral_tags"),
         or_else(F.concat(some(i["rescue_applied"], "rescued_issue"), some(r.isNotNull(), "resolver_case")), "issue").alias("source_types"),
         first(i["evidence_strength"], r["link_confidence"]).alias("evidence_strength"), F.coalesce(i["rescue_applied"], F.lit(False)).alias("rescue_applied"), r["resolution_status"].alias("resolution_status"),
         F.concat(F.lit("diag::"), F.col("repo"), F.lit("::issue::"), F.coalesce(F.col("issue_number").cast("string"), slugify(F.col("title")))).alias("id"), first(i["github_url"], r["issue_url"]).alias("externalURL"),
@@ -282,8 +291,8 @@ def curated(repos: DataFrame, templates: DataFrame, repo: str = "repo") -> DataF
     none = F.array().cast("array<string>")
     rows = both.select(
         F.concat(F.lit("diag::"), "repo", F.lit("::curated::"), "topic_id").alias("id"), "repo", "title", "symptom_summary", F.array("series").alias("target_series"), F.array(F.lit("curated")).alias("source_types"), F.lit(None).cast("long").alias("issue_number"),
-        few(F.col("query_aliases"), 16).alias("query_aliases"), "confirmed_facts", "plausible_diagnosis", "likely_causes", "debug_checks", "possible_workarounds", "constraints_or_limits", none.alias("clarification_questions"),
-        or_else(few(F.concat("plausible_diagnosis", "likely_causes"), 8), NO_HYPOTHESIS).alias("hypotheses"), few(F.concat(few(F.col("query_aliases"), 16), "keywords"), 24).alias("keywords"),
+        few(tidy(F.col("query_aliases")), 16).alias("query_aliases"), "confirmed_facts", "plausible_diagnosis", "likely_causes", "debug_checks", "possible_workarounds", "constraints_or_limits", none.alias("clarification_questions"),
+        or_else(few(tidy(F.concat("plausible_diagnosis", "likely_causes")), 8), NO_HYPOTHESIS).alias("hypotheses"), few(F.concat(few(tidy(F.col("query_aliases")), 16), tidy(F.col("keywords"))), 24).alias("keywords"),
         F.array(F.struct(F.lit("documentation").alias("type"), F.col("doc_url").alias("url"), F.lit("high").alias("confidence"))).alias("evidence_refs"),
     )
     return rows.withColumn("st_ready_text", card_text())

@@ -6,7 +6,7 @@ import time
 from collections import Counter
 
 from loomwright.functions import text
-from loomwright.operators import similarity, tagging
+from loomwright.operators import diagnostic, similarity, tagging
 from pyspark.sql import functions as F
 
 
@@ -72,3 +72,15 @@ def test_tags_search_a_text_once(spark):
     assert [tuple(r) for r in told.orderBy("i").collect()] == [
         (0, ["STM32CUBEF4 v1.2.3", "STM32CUBE_HAL v1.0.0", "CUBEMX v6.1", "CUBEIDE v1.2.3", "HAL v1.2"], ["version_regression"]), (1, [], ["timeout", "pinmux"]), (2, [], []),
     ]
+
+
+def test_sentences_name_a_text_once(spark):
+    df = spark.createDataFrame([("  One  𝒳!  two.",), ("no end\there   ",), ("Hello @you. More",), ("x" * 9 + ". y",), ("\n",), (None,)], "t string")
+    plan = lambda d: d._jdf.queryExecution().optimizedPlan().toString()
+    told = df.select(text.first_sentence(F.col("t"), 9).alias("s"), text.signal_sentence(F.col("t"), 12).alias("g"))
+    assert plan(told).count("regexp_replace(") == 2 and plan(told).count("regexp_extract(") == 2
+    assert [tuple(r) for r in told.collect()] == [("One 𝒳!", "One 𝒳!"), ("no end he", "no end here"), ("Hello @yo", ""), ("x" * 9, "x" * 9 + "."), ("", ""), ("", "")]
+    issue = F.struct(*(F.col("t").alias(k) for k in ("repo", "issue_title", "github_url", "st_ready_text", "component", "board", "layer", "issue_kind", "severity", "mcu_series", "evidence_strength")), F.lit(1).cast("long").alias("issue_number"), F.lit(True).alias("rescue_applied"), F.array("t").alias("labels"))
+    case = F.struct(*(F.col("t").alias(k) for k in ("issue_title", "issue_url", "resolver_card_text", "resolution_status", "link_confidence")), *(F.array("t").alias(k) for k in ("linked_commit_shas", "linked_pr_urls", "linked_commit_urls", "linked_file_paths", "impacted_modules", "impacted_components")), F.lit(1).cast("long").alias("issue_number"), F.lit(True).alias("merged_pr_with_file_evidence"))
+    cards = diagnostic.cards(spark.range(1).select(F.lit("a").alias("t")).select(F.lit("r").alias("repo"), issue.alias("issue"), case.alias("case")).repartition(1))
+    assert cards.select("clarification_questions", "debug_checks", "plausible_diagnosis")._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace(") <= 12
