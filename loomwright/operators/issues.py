@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomwright.functions.paths import example_name, file_id
-from loomwright.functions.rules import ANCHOR, board, component, lower_all, series_of, text_of
-from loomwright.functions.text import blob_url, compact_comments, first_sentence, normalize_whitespace, slugify, strip, truncate_text
+from loomwright.functions.rules import ANCHOR, board, component, let, lower_all, series_of, text_of
+from loomwright.functions.text import blob_url, compact_comments, first_sentence, lead, normalize_whitespace, slugify, strip, truncate_text
 from loomwright.operators.cards import flag_text, none_text
 from loomwright.operators.windows import ordered_distinct
 
@@ -23,15 +23,17 @@ TRAITS = ("mcu_series", "board", "layer", "component", "issue_kind", "severity")
 
 def main_and_comments(c: Column) -> Column:
     """struct(main, comments) of an issue's text: without its title and body head, cut at the `Comments:` line."""
-    bare = strip(F.regexp_replace(text_of(c), r"(?s)^Title:\s*.*?\n\nBody:\n", ""))
     mark = "\n\nComments:\n"
-    at = F.instr(bare, mark)
-    return F.struct(F.when(at > 0, strip(F.substring(bare, F.lit(1), at - 1))).otherwise(bare).alias("main"), F.when(at > 0, strip(F.substring(bare, at + len(mark), F.length(bare)))).otherwise("").alias("comments"))
+
+    def cut(bare: Column, at: Column) -> Column:
+        return F.struct(F.when(at > 0, strip(F.substring(bare, F.lit(1), at - 1))).otherwise(bare).alias("main"), F.when(at > 0, strip(F.substring(bare, at + len(mark), F.length(bare)))).otherwise("").alias("comments"))
+
+    return let(strip(F.regexp_replace(text_of(c), r"(?s)^Title:\s*.*?\n\nBody:\n", "")), lambda bare: let(F.instr(bare, mark), lambda at: cut(bare, at)))
 
 
 def hint(c: Column, most: int) -> Column:
-    """The first sentence of a text without marks of images."""
-    return first_sentence(F.trim(F.regexp_replace(normalize_whitespace(c), r"\[IMAGE ATTACHED\]\s*", "")), most)
+    """The first sentence of a text with single spaces, without marks of images."""
+    return lead(F.trim(F.regexp_replace(c, r"\[IMAGE ATTACHED\]\s*", "")), most)
 
 
 def issue_keywords(labels: Column, main: Column, most: int = 12) -> Column:
@@ -45,12 +47,15 @@ def issue_keywords(labels: Column, main: Column, most: int = 12) -> Column:
 def issue_text(comments_chars: int = 4000) -> Column:
     """The text of an issue's card, from the columns of the issue: repo, mcu_series, board, component, layer, issue_kind, severity,
     evidence_strength, rescue_applied, state, issue_number, issue_title, labels, github_url, clean_text."""
-    both = main_and_comments(F.col("clean_text"))
-    main, comments = normalize_whitespace(both["main"]), normalize_whitespace(compact_comments(both["comments"], comments_chars))
+    told = lambda both: F.struct(normalize_whitespace(both["main"]).alias("main"), normalize_whitespace(compact_comments(both["comments"], comments_chars)).alias("comments"))
+    return let(let(main_and_comments(F.col("clean_text")), told), lambda x: _issue_text(x["main"], x["comments"]))
+
+
+def _issue_text(main: Column, comments: Column) -> Column:
     shown = [("repo", none_text(F.col("repo"))), *((k, none_text(F.col(k))) for k in ("mcu_series", "board", "component", "layer", "issue_kind", "severity", "evidence_strength")),
              ("rescue_applied", flag_text(F.col("rescue_applied"))), ("state", none_text(F.col("state"))), ("issue_number", none_text(F.col("issue_number")))]
     context = F.concat_ws(", ", *(F.concat(F.lit(f"{k}="), v) for k, v in shown))
-    or_text = lambda c, other: F.when(c != "", c).otherwise(other)
+    or_text = lambda c, other: let(c, lambda x: F.when(x != "", x).otherwise(other))
     lines = [
         F.concat(F.lit("Problem: "), normalize_whitespace(F.col("issue_title"))), F.concat(F.lit("Context: "), context), F.concat(F.lit("Source URL: "), or_text(normalize_whitespace(F.col("github_url")), "Not available")),
         F.concat(F.lit("Root cause: "), or_text(hint(or_text(comments, main), 260), NO_CAUSE)), F.concat(F.lit("Fix: "), or_text(hint(main, 320), NO_FIX)), F.lit(ISSUE_CONSTRAINT),
@@ -61,9 +66,11 @@ def issue_text(comments_chars: int = 4000) -> Column:
 
 def issue_markdown(text: Column, title: str) -> Column:
     """A card as Markdown: its first 12 lines as a list under `## Metadata`, the rest as body."""
-    rows = F.split(text_of(text), "\n")
-    head = F.transform(F.slice(rows, 1, 12), lambda x: F.concat(F.lit("- "), x))
-    return F.concat(strip(F.concat_ws("\n", F.lit(f"# {title}"), F.lit(""), F.lit("## Metadata"), F.array_join(head, "\n"), F.lit(""), strip(F.array_join(F.slice(rows, 13, 1 << 30), "\n")))), F.lit("\n"))
+    def told(rows: Column) -> Column:
+        head = F.transform(F.slice(rows, 1, 12), lambda x: F.concat(F.lit("- "), x))
+        return F.concat(strip(F.concat_ws("\n", F.lit(f"# {title}"), F.lit(""), F.lit("## Metadata"), F.array_join(head, "\n"), F.lit(""), strip(F.array_join(F.slice(rows, 13, 1 << 30), "\n")))), F.lit("\n"))
+
+    return let(F.split(text_of(text), "\n"), told)
 
 
 def markdown_name(number: Column, title: Column) -> Column:

@@ -145,7 +145,8 @@ def _issue_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def issue_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _issue_rows(spark, sf_dir).select("k", issues.issue_text(60).alias("text"), issues.issue_markdown(issues.issue_text(60), "Card").alias("markdown"), issues.markdown_name(F.col("issue_number"), F.col("issue_title")).alias("file"))
+    rows = _issue_rows(spark, sf_dir).withColumn("text", issues.issue_text(60))
+    return rows.select("k", "text", issues.issue_markdown(F.col("text"), "Card").alias("markdown"), issues.markdown_name(F.col("issue_number"), F.col("issue_title")).alias("file"))
 
 
 def _ws(c: str) -> str:

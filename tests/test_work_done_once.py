@@ -6,7 +6,7 @@ import time
 from collections import Counter
 
 from loomwright.functions import text
-from loomwright.operators import diagnostic, similarity, tagging
+from loomwright.operators import diagnostic, issues, similarity, tagging
 from pyspark.sql import functions as F
 
 
@@ -84,3 +84,17 @@ def test_sentences_name_a_text_once(spark):
     case = F.struct(*(F.col("t").alias(k) for k in ("issue_title", "issue_url", "resolver_card_text", "resolution_status", "link_confidence")), *(F.array("t").alias(k) for k in ("linked_commit_shas", "linked_pr_urls", "linked_commit_urls", "linked_file_paths", "impacted_modules", "impacted_components")), F.lit(1).cast("long").alias("issue_number"), F.lit(True).alias("merged_pr_with_file_evidence"))
     cards = diagnostic.cards(spark.range(1).select(F.lit("a").alias("t")).select(F.lit("r").alias("repo"), issue.alias("issue"), case.alias("case")).repartition(1))
     assert cards.select("clarification_questions", "debug_checks", "plausible_diagnosis")._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace(") <= 12
+
+
+def test_an_issue_is_cut_once(spark):
+    names = ("repo", "mcu_series", "board", "component", "layer", "issue_kind", "severity", "evidence_strength", "state", "issue_title", "github_url")
+    texts = ["Title: t\n\nBody:\nThe [IMAGE ATTACHED] UART_1  stops. Now\n\nComments:\nIt is TIM_CR1\nthanks,", "\n", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "issue_number long, clean_text string").select("*", *(F.lit("a").alias(n) for n in names), F.lit(True).alias("rescue_applied"), F.array(F.lit("bug")).alias("labels"))
+    card = df.withColumn("text", issues.issue_text()).select("issue_number", "text", issues.issue_markdown(F.col("text"), "Card").alias("markdown"))
+    plan = card._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Title:") == 1 and plan.count("regexp_replace(") <= 10
+    got = [r["text"].split("\n") for r in card.orderBy("issue_number").collect()]
+    assert got[0][3:7] == ["Root cause: It is TIM_CR1", "Fix: The UART_1 stops.", issues.ISSUE_CONSTRAINT, "Keywords: a, bug, IMAGE, ATTACHED, UART_1"]
+    assert got[0][8:] == ["Technical details:", "The [IMAGE ATTACHED] UART_1 stops. Now", "", "Key comments:", "It is TIM_CR1"]
+    for lines in got[1:]:
+        assert lines[3:5] == [f"Root cause: {issues.NO_CAUSE}", f"Fix: {issues.NO_FIX}"] and lines[-1] == "Technical details:"
