@@ -131,9 +131,8 @@ def slugify(c: Column, most: int = 80) -> Column:
 
 def cut_at_space(c: Column, most: int = 1500, mark: str = " [truncated]") -> Column:
     """At most so many characters, cut at the last space, with a mark where cut."""
-    t = strip(text_of(c))
-    head = F.regexp_replace(F.substring(t, 1, most), " [^ ]*$", "")
-    return F.when(F.length(t) <= most, t).otherwise(F.concat(head, F.lit(mark)))
+    head = lambda t: F.regexp_replace(F.substring(t, 1, most), " [^ ]*$", "")
+    return let(strip(text_of(c)), lambda t: F.when(F.length(t) <= most, t).otherwise(F.concat(head(t), F.lit(mark))))
 
 
 def normalize_path(c: Column) -> Column:

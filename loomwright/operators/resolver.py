@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomwright.functions.rules import ordered_case, text_of
+from loomwright.functions.rules import let, ordered_case, text_of
 from loomwright.functions.text import first_sentence, normalize_path, normalize_whitespace, request_body, unescaped_url
 from loomwright.operators.cards import none_text
-from loomwright.operators.tagging import module_of
+from loomwright.operators.tagging import module_of_key
 from loomwright.operators.windows import prefer
 
 # What a status says, and the last lines of a case's text.
@@ -55,7 +55,7 @@ def changed_files(linked: DataFrame) -> DataFrame:
         F.min_by("filename", "seen").alias("filename"), F.max_by("status", F.when(F.col("status").isNotNull(), F.col("seen"))).alias("status"), *(F.sum(c).cast("long").alias(c) for c in ("additions", "deletions", "changes")),
         F.count(F.lit(1)).alias("touched_by_commits"), F.sort_array(F.collect_set("sha")).alias("commit_shas"), F.min("seen").alias("seen"),
     )
-    return grouped.withColumn("path", F.regexp_replace(F.replace("filename", F.lit("\\"), F.lit("/")), "^/+", "")).withColumn("module", module_of(F.col("filename"))).drop("filename")
+    return grouped.withColumn("path", F.regexp_replace(F.replace("filename", F.lit("\\"), F.lit("/")), "^/+", "")).withColumn("module", module_of_key(F.col("path_key"))).drop("filename")
 
 
 def with_documents(files: DataFrame, documents: DataFrame, base_url: str, repo: Column) -> DataFrame:
@@ -100,14 +100,16 @@ def case_text(titles: Column, messages: Column, bodies: Column) -> Column:
     labels = F.array_join(F.coalesce("issue_labels", F.array().cast("array<string>")), ", ")
     leads, heads = kept(F.transform(messages, lambda m: first_sentence(m, 180)), 4), kept(titles, 3)
     told = F.filter(F.transform(bodies, lambda b: F.struct(b["pr_number"].alias("n"), request_body(b["body"]).alias("t"))), lambda b: b["t"] != "")
+    joined = lambda items, mark, label="": let(items, lambda xs: F.when(F.size(xs) > 0, F.concat(F.lit(label), F.array_join(xs, mark))))
+    lines = F.transform(told, lambda b: F.concat(F.lit("PR #"), b["n"].cast("string"), F.lit(" description: "), b["t"]))
     return F.concat_ws(
         "\n", F.concat(F.lit("Problem: Issue #"), none_text(F.col("issue_number")), F.lit(" - "), normalize_whitespace(F.col("issue_title"))),
         F.concat(F.lit("Context: repo="), none_text(F.col("repo")), F.lit(", labels="), F.when(labels != "", labels).otherwise("none"), F.lit(", issue_state="), none_text(F.col("issue_state"))),
         F.concat(F.lit("Resolver signal: resolution_status="), status, F.lit(", confidence="), F.coalesce(F.nullif(F.col("link_confidence"), F.lit("")), F.lit("none")), F.lit(", score="), F.when(F.coalesce("link_score", F.lit(0.0)) == 0, "0").otherwise(F.col("link_score").cast("string"))),
         F.concat(F.lit("Assessment: "), ordered_case([(status == s, t) for s, t in ASSESSMENTS], OTHER_ASSESSMENT)),
-        F.when(F.size(heads) > 0, F.concat(F.lit("Candidate PRs: "), F.array_join(heads, " | "))), F.when(F.size(leads) > 0, F.concat(F.lit("Commit evidence: "), F.array_join(leads, " | "))),
+        joined(heads, " | ", "Candidate PRs: "), joined(leads, " | ", "Commit evidence: "),
         F.when(F.coalesce("merged_pr_with_file_evidence", F.lit(False)), F.lit(FILE_LINE)),
-        F.when(F.size(told) > 0, F.array_join(F.transform(told, lambda b: F.concat(F.lit("PR #"), b["n"].cast("string"), F.lit(" description: "), b["t"])), "\n")), F.lit(LAST_LINE),
+        joined(lines, "\n"), F.lit(LAST_LINE),
     )
 
 

@@ -94,7 +94,11 @@ def vote_component(text: Column, labels: Column) -> Column:
 
 
 def module_of(path: Column) -> Column:
-    p = normalize_path(path)
+    return module_of_key(normalize_path(path))
+
+
+def module_of_key(p: Column) -> Column:
+    """module_of a path that is normalised."""
     known = ordered_case(
         [
             (p == "", "unknown"), (p.startswith("drivers/") & p.contains("hal_driver"), "HAL_Driver"), (p.startswith("drivers/") & p.contains("cmsis"), "CMSIS"), (p.startswith("drivers/"), "Drivers"),

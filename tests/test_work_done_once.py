@@ -98,3 +98,12 @@ def test_an_issue_is_cut_once(spark):
     assert got[0][8:] == ["Technical details:", "The [IMAGE ATTACHED] UART_1 stops. Now", "", "Key comments:", "It is TIM_CR1"]
     for lines in got[1:]:
         assert lines[3:5] == [f"Root cause: {issues.NO_CAUSE}", f"Fix: {issues.NO_FIX}"] and lines[-1] == "Technical details:"
+
+
+def test_a_request_body_is_cut_once(spark):
+    df = spark.createDataFrame([(" <IMG a> one two\n\n\n\nthree ",), ("![x](y)",), (None,)], "t string")
+    told = df.select(text.request_body(F.col("t"), 25).alias("x"))
+    assert told._jdf.queryExecution().optimizedPlan().toString().count("<img") == 1
+    assert [r["x"] for r in told.collect()] == ["[IMAGE ATTACHED] one [truncated]", "[IMAGE ATTACHED]", ""]
+    paths = spark.createDataFrame([("/Drivers/x_HAL_Driver/a.c",), (" \\Top\\b",), (None,)], "p string")
+    assert [r[0] == r[1] for r in paths.select(tagging.module_of(F.col("p")), tagging.module_of_key(text.normalize_path(F.col("p")))).collect()] == [True] * 3
