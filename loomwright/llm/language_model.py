@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .support import documents, local_file, publish, whole_text, written
-from .textscan import TO_LOWER, U64, Table, buffers, row_blocks, span_hashes, splitmix, word_spans
+from .textscan import TO_LOWER, U64, Table, buffers, hashes_with_tails, row_blocks, splitmix, word_spans
 
 #: Class 0 ends (and begins) a text, then the frequent words, then the buckets of other words.
 WORD_CLASSES, BUCKETS = 127, 64
@@ -35,6 +35,8 @@ HELD, SMOOTH = 1 << 20, 0.1
 #: Words with vectors of their own for each square root of the tokens, the least count of such a word, the tokens
 #: of a training task for each such word; what the squared gradients of a row begin with.
 VECTORS, LEAST, SPLIT, PAST = 4, 10, 64, 3.0
+#: The least product of factors that still has all digits of a float32.
+LOWEST = 1e-30
 
 
 @dataclass
@@ -54,12 +56,8 @@ def tokens(column: pa.Array, limit: int = 1 << 21) -> Iterator[Tokens]:
     for a, b in row_blocks(offsets, limit):
         low = TO_LOWER[data[offsets[a] : offsets[b]]]
         starts, ends, before = word_spans(low, offsets[a : b + 1] - offsets[a])
-        hashes = np.empty(len(starts), U64)
-        for i in range(0, len(starts), 1 << 18):
-            hashes[i : i + (1 << 18)] = span_hashes(low, starts[i : i + (1 << 18)], ends[i : i + (1 << 18)])
-        tail = np.maximum(ends - 3, starts)
-        bucket = (span_hashes(low, tail, ends) % U64(BUCKETS)).astype(np.int32) if len(starts) else np.zeros(0, np.int32)
-        yield Tokens(a, b, hashes, bucket, before)
+        hashes, endings = hashes_with_tails(low, starts, ends, 3)
+        yield Tokens(a, b, hashes, (endings % U64(BUCKETS)).astype(np.int32), before)
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,9 +172,9 @@ class Trainer:
     def __init__(self, layout: Layout):
         self.layout, start = layout, layout.matrix()
         self.begin = CONTEXT * layout.numbers
-        #: Behind a row's vector and bias: the squared gradients so far and the touches.
-        self.rows = np.concatenate((start, np.full((len(start), 1), PAST, np.float32), np.zeros((len(start), 1), np.float32)), 1)
-        self.p = self.rows[:, : WIDTH + 1]
+        #: Vector, bias and a 0, so that two numbers at a time can be added as a complex one; squared gradients so far; touches.
+        self.p = np.concatenate((start, np.zeros((len(start), 1), np.float32)), 1)
+        self.squares, self.touches = np.full(len(start), PAST, np.float32), np.zeros(len(start), np.int64)
         self.cumulated = [np.cumsum(x) for x in layout.priors]
         self.log_noise = [(np.log(x) + math.log(NOISE)).astype(np.float32) for x in layout.priors]
         self.draw = np.random.Generator(np.random.PCG64(SEED))
@@ -185,7 +183,8 @@ class Trainer:
         """Of step k of the prediction, from hidden vectors with a 1 behind them: the gradient of hidden, and output rows with their gradients."""
         log_noise = self.log_noise[k]
         noise = np.minimum(np.searchsorted(self.cumulated[k], self.draw.random(NOISE)), len(log_noise) - 1)
-        goal, other = (self.rows.take(self.begin + offset + x, 0)[:, : WIDTH + 1] for x in (chosen, noise))
+        rows = self.begin + offset + np.concatenate((chosen, noise))
+        goal, other = self.p.take(rows[: len(chosen)], 0), self.p.take(rows[len(chosen) :], 0)
         goal[:, WIDTH] -= log_noise[chosen]
         against = -other
         against[:, WIDTH] += log_noise[noise]
@@ -195,17 +194,21 @@ class Trainer:
             np.exp(down, out=down)
         down += 1
         np.divide(-1, down, out=down)
-        grad = np.empty((len(chosen) + NOISE, WIDTH + 1), np.float32)
+        grad = np.empty((len(rows), WIDTH + 2), np.float32)
         np.multiply(up[:, None], hidden, out=grad[: len(chosen)])
-        np.matmul(down.T, hidden, out=grad[len(chosen) :])
+        pushed = grad[len(chosen) :]
+        pushed[:] = 0
+        for i in range(0, len(chosen), 256):
+            pushed += down[i : i + 256].T @ hidden[i : i + 256]
         goal *= up[:, None]
         goal += down @ other
-        return goal, self.begin + offset + np.concatenate((chosen, noise)), grad
+        return goal, rows, grad
 
     def step(self, target: np.ndarray, one: np.ndarray, two: np.ndarray) -> None:
         of = self.layout
-        hidden = self.rows.take(one, 0)[:, : WIDTH + 1]
-        hidden += self.rows.take(of.numbers + two, 0)[:, : WIDTH + 1]
+        two = of.numbers + two
+        hidden = self.p.take(one, 0)
+        hidden += self.p.take(two, 0)
         hidden[:, WIDTH] = 1
         back, r, g = self.contrast(0, 0, of.cls[target], hidden)
         rows, grads = [r], [g]
@@ -217,7 +220,7 @@ class Trainer:
                 rows.append(r)
                 grads.append(g)
         back[:, WIDTH] = 0  # context rows have no bias
-        for part in (one, of.numbers + two):
+        for part in (one, two):
             self.add(part, back)
         self.add(np.concatenate(rows), np.concatenate(grads))
 
@@ -225,14 +228,14 @@ class Trainer:
         order = np.argsort(rows)
         r = rows[order]
         starts = np.flatnonzero(np.concatenate(([True], r[1:] != r[:-1])))
-        g = np.add.reduceat(grads.take(order, 0), starts, axis=0)
+        g = np.add.reduceat(grads.view(np.complex64).take(order, 0), starts, axis=0).view(np.float32)
         u = r[starts]
-        now = self.rows.take(u, 0)
-        now[:, WIDTH + 1] += np.einsum("ij,ij->i", g, g) / WIDTH
-        now[:, WIDTH + 2] += np.diff(np.append(starts, len(r)))
-        g *= (RATE / np.sqrt(now[:, WIDTH + 1]))[:, None]
-        now[:, : WIDTH + 1] += g
-        self.rows[u] = now
+        squares = self.squares[u] + np.einsum("ij,ij->i", g, g) / WIDTH
+        self.squares[u] = squares
+        self.touches[u] += np.diff(starts, append=len(r))
+        g *= (RATE / np.sqrt(squares))[:, None]
+        g += self.p.take(u, 0)
+        self.p[u] = g
 
 
 def _train(name: str):
@@ -252,12 +255,11 @@ def _train(name: str):
         if rest.shape[1]:
             trainer.step(*rest)
         if trainer is not None:
-            touched = trainer.rows[:, WIDTH + 2]
-            at = np.flatnonzero(touched)
+            at = np.flatnonzero(trainer.touches)
             for i in range(0, len(at), 1 << 14):
                 u = at[i : i + (1 << 14)]
-                half = trainer.p[u].astype(np.float16)
-                yield pa.record_batch([pa.array(u), pa.array(touched[u].astype(np.int64)), _binary(half)], ["i", "w", "v"])
+                half = trainer.p[u, : WIDTH + 1].astype(np.float16)
+                yield pa.record_batch([pa.array(u), pa.array(trainer.touches[u]), _binary(half)], ["i", "w", "v"])
 
     return run
 
@@ -355,22 +357,51 @@ def log_softmax(hidden: np.ndarray, out: np.ndarray, bias: np.ndarray, chosen: n
     """Of each row of hidden the logarithm of its chosen output's share among all outputs."""
     s = hidden @ out.T
     s += bias
-    top = max(float(s.max(initial=0)) - 60, 0)  # exp of float32 ends at 88
-    if top:
-        s -= top
+    if s.max(initial=0) > 60:  # exp of float32 ends at 88
+        s -= s.max(1, keepdims=True)
     got = s[np.arange(len(s)), chosen]
     return got - np.log(np.exp(s, out=s) @ np.ones(len(bias), np.float32))
 
 
-def log_probabilities(rows: np.ndarray, context: np.ndarray, out: np.ndarray, bias: np.ndarray, block: int = 1 << 10) -> np.ndarray:
-    """log10 of each token's class after its context, normalised over all classes."""
+def log_probabilities(rows: np.ndarray, context: np.ndarray, out: np.ndarray, bias: np.ndarray, block: int = 1 << 8, held: int = 1 << 16) -> np.ndarray:
+    """log10 of each token's class after its context, normalised over all classes.
+
+    A class's share is the product of what the words one and two before and its bias give it, so the exponentials are
+    taken once for each different word among held tokens. Shares too small for such a product are taken from the sums instead."""
     target, one, two = rows
     out, bias = np.ascontiguousarray(out[:CLASSES]), bias[:CLASSES]
-    result = np.empty(len(target))
-    for i in range(0, len(target), block):
-        hidden = context[0].take(one[i : i + block], 0)
-        hidden += context[1].take(two[i : i + block], 0)
-        result[i : i + block] = log_softmax(hidden, out, bias, target[i : i + block])
+    result, place, every = np.empty(len(target)), np.zeros(len(context[0]), np.int32), np.exp(bias - bias.max())
+
+    def factors(numbers: np.ndarray, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The factors of each different number, and where those of each number are."""
+        place[numbers] = 1
+        kinds = np.flatnonzero(place)
+        place[kinds] = np.arange(len(kinds))
+        which = place[numbers]
+        place[kinds] = 0
+        e = np.empty((len(kinds), CLASSES), np.float32)
+        for i in range(0, len(kinds), 1 << 10):
+            s = vectors.take(kinds[i : i + (1 << 10)], 0) @ out.T
+            if s.max() > 30:  # products of two stay in the range of float32
+                s -= s.max(1, keepdims=True)
+            np.exp(s, out=e[i : i + (1 << 10)])
+        return e, which
+
+    for a in range(0, len(target), held):
+        (e1, w1), (e2, w2) = factors(one[a : a + held], context[0]), factors(two[a : a + held], context[1])
+        for i in range(0, len(w1), block):
+            share = e1.take(w1[i : i + block], 0)
+            share *= e2.take(w2[i : i + block], 0)
+            t = target[a + i : a + i + len(share)]
+            got = share[np.arange(len(share)), t] * every[t]
+            low = np.flatnonzero(got < LOWEST)
+            got[low] = 1
+            with np.errstate(divide="ignore", over="ignore"):  # all factors of a low one may be 0
+                logs = np.log(got / (share @ every))
+            if len(low):
+                at = a + i + low
+                logs[low] = log_softmax(context[0][one[at]] + context[1][two[at]], out, bias, target[at])
+            result[a + i : a + i + len(share)] = logs
     return result / math.log(10)
 
 

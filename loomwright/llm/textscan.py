@@ -89,6 +89,41 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
         return mixed(np.add.reduceat(terms, np.cumsum(lens) - lens) + lens.astype(U64))
 
 
+#: Bytes of a slice of words that are hashed together, and the number that undoes STEP.
+SLICE, UNSTEP = 1 << 16, U64(pow(int(STEP), -1, 1 << 64))
+
+
+@lru_cache(maxsize=1)
+def _slice_powers() -> tuple[np.ndarray, np.ndarray]:
+    with np.errstate(over="ignore"):
+        return np.cumprod(np.full(SLICE, STEP, U64), dtype=U64), np.cumprod(np.concatenate((np.ones(1, U64), np.full(SLICE, UNSTEP, U64))), dtype=U64)
+
+
+def hashes_with_tails(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, tail: int) -> tuple[np.ndarray, np.ndarray]:
+    """What span_hashes gives for rising spans and for the last bytes of each, tail at most. Both are differences of one
+    running sum, from which the power of STEP at the span's beginning is taken out again."""
+    tails = np.maximum(ends - tail, starts)
+    out = np.empty((2, len(starts)), U64)
+    up, down = _slice_powers()
+    i = 0
+    while i < len(starts):
+        a, j = starts[i], int(np.searchsorted(ends, starts[i] + SLICE, "right"))
+        if j <= i:  # longer than a slice
+            j = i + 1
+            out[0, i:j], out[1, i:j] = span_hashes(data, starts[i:j], ends[i:j]), span_hashes(data, tails[i:j], ends[i:j])
+        else:
+            part = data[a : ends[j - 1]]
+            run = np.zeros(len(part) + 1, U64)
+            with np.errstate(over="ignore"):
+                np.cumsum(BYTE_VALUES[part] * up[: len(part)], out=run[1:])
+                to = ends[i:j] - a
+                last = run[to]
+                for k, at in enumerate((starts[i:j] - a, tails[i:j] - a)):
+                    out[k, i:j] = mixed((last - run[at]) * down[at] + (to - at).astype(U64))
+        i = j
+    return out[0], out[1]
+
+
 def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string column without nulls and the offsets of its rows, without copying."""
     kind = np.int64 if pa.types.is_large_string(column.type) else np.int32
