@@ -23,12 +23,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .support import documents, local_file, publish, whole_text
-from .textscan import U64, Table, Words, gathered, lower_words, span_hashes, within
+from .textscan import U64, Table, Words, buffers, gathered, lower_words, released, row_blocks, span_hashes, within
 
 NONE = np.int32(1 << 30)
 
-#: Characters encoded at once, and ids decoded at once.
-CHARS, IDS = 1 << 20, 1 << 18
+#: Characters encoded at once (bytes, of texts made from a column), ids decoded at once, and words hashed or compared at once.
+CHARS, IDS, SPANS = 1 << 20, 1 << 18, 1 << 16
 GAP = re.compile(r"[\x20\x09-\x0D]")
 
 
@@ -50,6 +50,12 @@ def cut(text: str, limit: int) -> Iterator[str]:
     yield text[start:]
 
 
+def runs(column: pa.Array, limit: int = CHARS) -> Iterator[tuple[int, list[str]]]:
+    """(first row, texts) of runs of rows of about limit bytes, one row at least: a batch's texts are never Python strings all at once."""
+    for a, b in row_blocks(buffers(column)[1], limit):
+        yield a, column.slice(a, b - a).to_pylist()
+
+
 def default_vocabulary() -> str:
     import public_tokenizers
 
@@ -199,7 +205,13 @@ class Vocabulary:
 
     def spelled(self, ids: np.ndarray) -> np.ndarray:
         """The bytes of the tokens, each with a space after it."""
-        return gathered(self.names, self.name_starts[ids], self.name_lens[ids])
+        out, at = np.empty(int(self.name_lens[ids].sum()), np.uint8), 0
+        for i in range(0, len(ids), SPANS):
+            part = ids[i : i + SPANS]
+            run = gathered(self.names, self.name_starts[part], self.name_lens[part])
+            out[at : at + len(run)] = run
+            at += len(run)
+        return out
 
     def decoded(self, ids: np.ndarray) -> Iterator[bytes]:
         """The tokens with a space between, in parts."""
@@ -331,9 +343,9 @@ class Lexicon:
 def unlike(w: Words, other: np.ndarray) -> np.ndarray:
     """Which words differ in their bytes from the word of the number given for each."""
     found = []
-    for a in range(0, len(other), 1 << 18):
-        starts, twins = w.starts[a : a + (1 << 18)], w.starts[other[a : a + (1 << 18)]]
-        lens, theirs = w.ends[a : a + (1 << 18)] - starts, w.ends[other[a : a + (1 << 18)]] - twins
+    for a in range(0, len(other), SPANS):
+        starts, twins = w.starts[a : a + SPANS], w.starts[other[a : a + SPANS]]
+        lens, theirs = w.ends[a : a + SPANS] - starts, w.ends[other[a : a + SPANS]] - twins
         odd = lens != theirs
         mine = np.flatnonzero(~odd & (starts != twins))
         size = lens[mine]
@@ -345,6 +357,14 @@ def unlike(w: Words, other: np.ndarray) -> np.ndarray:
     return np.concatenate(found) if found else np.zeros(0, np.int64)
 
 
+def hashed(w: Words) -> np.ndarray:
+    """The words' hashes, by slices, so that little is held a character."""
+    hashes = np.empty(len(w.starts), U64)
+    for i in range(0, len(hashes), SPANS):
+        hashes[i : i + SPANS] = span_hashes(w.data, w.starts[i : i + SPANS], w.ends[i : i + SPANS])
+    return hashes
+
+
 class Encoder:
     """Texts to ids: words of a batch, each distinct word once through the lexicon or the merges.
 
@@ -355,10 +375,7 @@ class Encoder:
 
     def distinct(self, w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(ids of the distinct words, their starts and counts, for each word the number of its distinct word)."""
-        hashes = np.empty(len(w.starts), U64)
-        for i in range(0, len(hashes), 1 << 18):
-            hashes[i : i + (1 << 18)] = span_hashes(w.data, w.starts[i : i + (1 << 18)], w.ends[i : i + (1 << 18)])
-        _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
+        _, first, which = np.unique(hashed(w), return_index=True, return_inverse=True)
         others: dict[bytes, int] = {}
         for i in unlike(w, first[which]).tolist():
             word = w.data[w.starts[i] : w.ends[i]].tobytes()
@@ -406,6 +423,12 @@ class Encoder:
             yield at, to, *self.batch(texts[at:to])
             at = to
 
+    def encoded_rows(self, column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """As encoded, of a text column without nulls."""
+        for at, texts in runs(column):
+            for first, last, ids, bounds in self.encoded(texts):
+                yield at + first, at + last, ids, bounds
+
     def batch(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         odd = [i for i, t in enumerate(texts) if not self.plain(t)]
         w = lower_words(["" if i in odd else t for i, t in enumerate(texts)] if odd else texts)
@@ -437,22 +460,16 @@ def encoder(path: str, lexicon: str | None) -> Encoder:
 def frequent_words(docs: DataFrame, text_col: str = "text", size: int = 1 << 16, per_task: int = 1 << 15) -> list[bytes]:
     """The most frequent words over all texts, at most `size`.
 
-    Every task counts all its words; what it holds and what it returns is bounded (words seen once in a batch of a
-    million characters are not carried on). Which words come out changes the speed of encoding, never its result.
+    Every task counts all its words; what it holds and what it returns is bounded (words seen once in a run of a
+    million bytes are not carried on). Which words come out changes the speed of encoding, never its result.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: Counter = Counter()
         for b in batches:
-            texts, at = b.column(0).to_pylist(), 0
-            while at < len(texts):
-                to, held = at, 0
-                while to < len(texts) and held < 1 << 20:
-                    held += len(texts[to]) + 1
-                    to += 1
-                w = lower_words(texts[at:to])
-                at = to
-                _, first, n = np.unique(span_hashes(w.data, w.starts, w.ends), return_index=True, return_counts=True)
+            for _, texts in runs(b.column(0)):
+                w = lower_words(texts)
+                _, first, n = np.unique(hashed(w), return_index=True, return_counts=True)
                 often = n > 1
                 raw = w.data.tobytes()
                 for s, e, c in zip(w.starts[first[often]].tolist(), w.ends[first[often]].tolist(), n[often].tolist(), strict=True):
@@ -463,7 +480,7 @@ def frequent_words(docs: DataFrame, text_col: str = "text", size: int = 1 << 16,
         top = total.most_common(per_task)
         yield pa.record_batch([pa.array([w for w, _ in top], pa.binary()), pa.array([c for _, c in top], pa.int64())], ["word", "n"])
 
-    counted = docs.select(whole_text(text_col).alias("text")).mapInArrow(count, "word binary, n long")
+    counted = docs.select(whole_text(text_col).alias("text")).mapInArrow(released(count), "word binary, n long")
     top = counted.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(size)
     return [bytes(r["word"]) for r in top.collect()]
 
@@ -482,12 +499,11 @@ def encode(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", tex
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(path, lexicon)
         for b in batches:
-            texts = b.column(1).to_pylist()
-            for first, last, ids, bounds in coder.encoded(texts):
+            for first, last, ids, bounds in coder.encoded_rows(b.column(1)):
                 yield pa.record_batch([b.column(0)[first:last], pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()))], ["id", "ids"])
 
     rows = docs.select(F.col(id_col).alias("id"), whole_text(text_col).alias("text"))
-    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, ids array<int>").withColumnRenamed("id", id_col)
+    return rows.mapInArrow(released(run), f"id {rows.schema['id'].dataType.simpleString()}, ids array<int>").withColumnRenamed("id", id_col)
 
 
 def decode(encoded: DataFrame, path: str | None = None, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -502,7 +518,7 @@ def decode(encoded: DataFrame, path: str | None = None, id_col: str = "doc_id",
             yield pa.record_batch([b.column(0), pa.array(texts, pa.string())], ["id", "text"])
 
     rows = encoded.select(F.col(id_col).alias("id"), F.col(ids_col).alias("ids"))
-    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, text string").withColumnRenamed("id", id_col)
+    return rows.mapInArrow(released(run), f"id {rows.schema['id'].dataType.simpleString()}, text string").withColumnRenamed("id", id_col)
 
 
 def round_trip(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", lexicon: str | None = None, with_ids: bool = False) -> DataFrame:
@@ -517,8 +533,7 @@ def round_trip(docs: DataFrame, path: str | None = None, id_col: str = "doc_id",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(path, lexicon)
         for b in batches:
-            texts = b.column(1).to_pylist()
-            for first, last, ids, bounds in coder.encoded(texts):
+            for first, last, ids, bounds in coder.encoded_rows(b.column(1)):
                 wide = ids.astype("<u4")
                 a = [hashlib.sha256(wide[s:e]).hexdigest() for s, e in zip(bounds[:-1], bounds[1:], strict=True)]
                 if last - first == 1:
@@ -536,7 +551,7 @@ def round_trip(docs: DataFrame, path: str | None = None, id_col: str = "doc_id",
                 yield pa.record_batch(columns, names)
 
     rows = docs.select(F.col(id_col).alias("id"), whole_text(text_col).alias("text"))
-    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string{', ids array<int>' * with_ids}").withColumnRenamed("id", id_col)
+    return rows.mapInArrow(released(run), f"id {rows.schema['id'].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string{', ids array<int>' * with_ids}").withColumnRenamed("id", id_col)
 
 
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -277,7 +277,10 @@ def lower_words(texts: list[str]) -> Words:
     marks = np.flatnonzero(points == BETWEEN)
     before = np.concatenate(([0], np.searchsorted(starts, marks), [len(starts)]))
     if len(data) != len(points):
-        size = 1 + (points >= 0x80).astype(np.int64) + (points >= 0x800) + (points >= 0x10000)
-        at = np.concatenate(([0], np.cumsum(size)))
+        size = (points >= 0x80).view(np.uint8) + (points >= 0x800).view(np.uint8) + (points >= 0x10000).view(np.uint8)
+        at = np.ones(len(points) + 1, np.int64)
+        at[0] = 0
+        at[1:] += size
+        np.cumsum(at, out=at)
         starts, ends = at[starts], at[ends]
     return Words(data, starts, ends, before)

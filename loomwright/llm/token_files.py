@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from .bpe import default_vocabulary, encoder, lexicon_for
 from .support import documents, durable, own_dir, whole_text
+from .textscan import released
 
 #: Ids in a sequence, sequences in a record batch, and the id that ends a document.
 LENGTH, SEQUENCES, END = 2048, 256, 2
@@ -117,7 +118,7 @@ def write(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text
     rows = docs.select(F.col(id_col).alias("id"), whole_text(text_col).alias("text"))
     # Bounds by id alone: the sample that Spark takes for them holds no texts.
     ranged = rows.repartitionByRange(files, "id") if files else rows.repartitionByRange("id")
-    parts = ranged.sortWithinPartitions("id", "text").mapInArrow(partial(_write_part, folder, path, lexicon, length, end), "part int, docs long, n_tokens long")
+    parts = ranged.sortWithinPartitions("id", "text").mapInArrow(released(partial(_write_part, folder, path, lexicon, length, end)), "part int, docs long, n_tokens long")
     parts = durable(parts)
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     return folder, parts.withColumn("start", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))
@@ -134,8 +135,7 @@ def _write_part(folder: str, path: str, lexicon: str, length: int, end: int, bat
         writer = SequenceWriter(sink, length, SEQUENCES)
         index = None
         for b in batches:
-            texts = b.column(1).to_pylist()
-            for first, last, ids, bounds in coder.encoded(texts):
+            for first, last, ids, bounds in coder.encoded_rows(b.column(1)):
                 ended = np.insert(ids.astype(np.uint16), bounds[1:], end)
                 writer.add(ended)
                 sizes = np.diff(bounds) + 1
