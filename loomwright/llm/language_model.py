@@ -225,8 +225,11 @@ class Trainer:
         self.add(np.concatenate(rows), np.concatenate(grads))
 
     def add(self, rows: np.ndarray, grads: np.ndarray) -> None:
-        order = np.argsort(rows)
-        r = rows[order]
+        # Row and place in one number, which sorts faster than places by rows; rows with one number keep their order.
+        keys = rows.astype(np.int64) << 32
+        keys |= np.arange(len(rows))
+        keys.sort()
+        order, r = keys & 0xFFFFFFFF, keys >> 32
         starts = np.flatnonzero(np.concatenate(([True], r[1:] != r[:-1])))
         g = np.add.reduceat(grads.view(np.complex64).take(order, 0), starts, axis=0).view(np.float32)
         u = r[starts]

@@ -54,3 +54,17 @@ def test_added_gradients_are_those_of_each_row():
         assert t.touches[k] == (rows == k).sum() and t.squares[k] == pytest.approx(m.PAST + g @ g / m.WIDTH, rel=1e-4)
         assert t.p[k] == pytest.approx(before[k] + m.RATE / math.sqrt(m.PAST + g @ g / m.WIDTH) * g, abs=1e-4)
     assert not t.p[:, m.WIDTH + 1].any()
+
+
+def test_rows_are_added_in_their_order(monkeypatch):
+    """Equal rows are summed first to last, by sorting numbers: no step sorts places."""
+    layout = m.Layout(np.arange(m.WORD_CLASSES).astype(np.uint64), np.full(m.WORD_CLASSES, 90), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), 50, np.full(m.BUCKETS, 7.0))
+    t, r = m.Trainer(layout), np.random.default_rng(9)
+    rows, grads, want = r.integers(0, 3, 900), np.zeros((900, m.WIDTH + 2), np.float32), t.p.copy()
+    grads[:, : m.WIDTH + 1] = r.normal(0, 1, (900, m.WIDTH + 1))
+    for k in range(3):
+        g = np.add.reduceat(grads[rows == k], [0], axis=0)[0]
+        want[k] += m.RATE / np.sqrt(np.float32(m.PAST) + np.einsum("i,i->", g, g) / m.WIDTH) * g
+    monkeypatch.setattr(m.np, "argsort", None)
+    t.add(rows, grads)
+    assert t.p == pytest.approx(want, abs=1e-6)
